@@ -73,11 +73,17 @@ def infraspecific_marker(c: Column | str, strict: bool = False) -> Column:
     return last_match(c, pattern)
 
 
-def rank_rules(name: Column | str, canonical: Column | str, blanks: Column | str, marker: Column | str) -> Column:
+def rank_rules(
+    name: Column | str,
+    canonical: Column | str,
+    blanks: Column | str,
+    marker: Column | str,
+    suffixes: list[tuple[str, str]] = vocab.UNINOMIAL_SUFFIXES,
+) -> Column:
     """Rank by ending of a one-word name, then marker, then word count; null when none fits."""
     name, canonical, blanks, marker = _col(name), _col(canonical), _col(blanks), _col(marker)
     one_word = blanks == 0
-    cases = [(one_word & canonical.endswith(end), rank) for end, rank in vocab.UNINOMIAL_SUFFIXES]
+    cases = [(one_word & canonical.endswith(end), rank) for end, rank in suffixes]
     cases += [(marker == mark, rank) for mark, rank in vocab.INFRASPECIFIC_MARKERS]
     cases.append((blanks == 1, "species"))
     # a capital first: xAsplenosorus x boydstoniae parses to one word but is no genus

@@ -1,11 +1,11 @@
 """Joins that stay balanced when one key holds a large share of the rows.
 
 ``lookup_join`` is the one equi join of the package. The left side may be
-skewed: keys that hold more than 1/128 of its rows are found in one pass, and
-only those are salted, so the right side is copied for at most 128 keys. Below
-that share adaptive skew handling splits what is left. No side is broadcast by
-hint unless its size has a fixed bound; Spark still broadcasts sides that its
-own statistics show to be small.
+skewed: keys that hold more than 1/128 of its rows are found in one pass over
+the key columns, and only those are salted, so the right side is copied for at
+most a few hundred keys. Below that share adaptive skew handling splits what is
+left. No side is broadcast by hint unless its size has a fixed bound; Spark
+still broadcasts sides that its own statistics show to be small.
 """
 
 from __future__ import annotations
@@ -31,14 +31,32 @@ def _salts(df: DataFrame) -> int:
     return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-def hot_hashes(df: DataFrame, hashed: Column, name: str = "_hash") -> DataFrame:
-    """Hashes of all keys with more than 1/128 of the rows: one pass, at most a few hundred rows.
+def _key_hashes(left: DataFrame, target: DataFrame, pairs: list[tuple[str, str]]) -> tuple[Column, Column]:
+    """Hash of the key on either side; keys that are equal have equal hashes.
 
-    The list may hold colder keys too; salting one of those costs little and
-    changes no result.
+    Numbers of different types, and doubles with their two zeros, go through double.
     """
-    items = df.select(hashed.alias(name)).freqItems([name], 1.0 / HOT_KEYS)
-    return items.select(F.explode(f"{name}_freqItems").alias(name)).distinct()
+    left_types, right_types = dict(left.dtypes), dict(target.dtypes)
+
+    def same(name: str, own: str, other: str) -> Column:
+        if own == other and own not in ("double", "float"):
+            return F.col(name)
+        if "string" in (own, other):
+            raise TypeError(f"join key {name}: {own} against {other}")
+        return F.col(name).cast("double") + F.lit(0.0)
+
+    left_keys = [same(l, left_types[l], right_types[r]) for l, r in pairs]
+    right_keys = [same(r, right_types[r], left_types[l]) for l, r in pairs]
+    return F.xxhash64(*left_keys), F.xxhash64(*right_keys)
+
+
+def hot_hashes(df: DataFrame, hashed: Column) -> list[int]:
+    """Hashes of all keys with more than 1/128 of the rows: one pass, a bounded list.
+
+    The list may hold colder keys too; salting one of those changes no result.
+    """
+    found = df.select(hashed.alias("_hash")).freqItems(["_hash"], 1.0 / HOT_KEYS).first()
+    return sorted(found[0])
 
 
 def lookup_join(
@@ -49,6 +67,8 @@ def lookup_join(
     *,
     residual: Column | None = None,
     null_safe: bool = False,
+    skewed: bool = True,
+    keys_from: DataFrame | None = None,
     salt_by: Sequence[str] | None = None,
     bounded: bool = False,
 ) -> DataFrame:
@@ -56,6 +76,8 @@ def lookup_join(
 
     ``on``: names, or (left name, right name) pairs; right keys are dropped.
     ``residual``: further condition on columns of both sides.
+    ``skewed=False``: the key is unique on the left, so there is nothing to salt.
+    ``keys_from``: cheaper frame with the same left keys, to look for hot ones.
     ``salt_by``: left columns that tell rows of one key apart (default: all).
     ``bounded=True``: the size of ``right`` has a fixed bound; it is broadcast.
     """
@@ -79,29 +101,20 @@ def lookup_join(
         condition = condition & residual
     if bounded:
         return left.join(F.broadcast(target), condition, how).drop(*renamed.values())
-
+    left_hash, right_hash = _key_hashes(left, target, [(l, renamed[r]) for l, r in pairs])
+    hot = hot_hashes(keys_from if keys_from is not None else left, left_hash) if skewed else []
+    if not hot:
+        return left.join(target, condition, how).drop(*renamed.values())
     salts = _salts(left)
-    left_hash = F.xxhash64(*[F.col(l) for l, _ in pairs])
-    right_hash = F.xxhash64(*renamed.values())
-    hot = hot_hashes(left, left_hash)
     spread = F.pmod(F.xxhash64(*[F.col(c) for c in (salt_by or left.columns)]), F.lit(salts))
-    is_hot = F.col("_hot").isNotNull()
-    marked = F.broadcast(hot.withColumn("_hot", F.lit(True)))
-    salted_left = (
-        left.withColumn("_hash", left_hash)
-        .join(marked, "_hash", "left")
-        .withColumn("_salt", F.when(is_hot, spread).otherwise(F.lit(0)).cast("int"))
-        .drop("_hash", "_hot")
-    )
-    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    salted_right = (
-        target.withColumn("_hash", right_hash)
-        .join(marked, "_hash", "left")
-        .withColumn("_right_salt", F.explode(copies))
-        .drop("_hash", "_hot")
-    )
-    joined = salted_left.join(
-        salted_right, condition & (F.col("_salt") == F.col("_right_salt")), how
+    salt = F.when(left_hash.isin(hot), spread).otherwise(F.lit(0)).cast("int")
+    copies = F.when(
+        right_hash.isin(hot), F.sequence(F.lit(0), F.lit(salts - 1))
+    ).otherwise(F.array(F.lit(0)))
+    joined = left.select("*", salt.alias("_salt")).join(
+        target.select("*", F.explode(copies).alias("_right_salt")),
+        condition & (F.col("_salt") == F.col("_right_salt")),
+        how,
     )
     return joined.drop("_salt", "_right_salt", *renamed.values())
 
@@ -164,6 +177,7 @@ def lookup_fill(
     match_to: str,
     match_from: str,
     overwrite: bool = False,
+    keys_from: DataFrame | None = None,
 ) -> DataFrame:
     """Fill ``fill_to`` with ``fill_from`` of the row whose ``match_to`` equals ``match_from``.
 
@@ -171,7 +185,7 @@ def lookup_fill(
     """
     source = df.select(F.col(match_to).alias("_id"), F.col(fill_from).alias("_found"))
     wanted = df if fill_to in df.columns else df.withColumn(fill_to, F.lit(None).cast("string"))
-    joined = lookup_join(wanted, source, [(match_from, "_id")], salt_by=[match_to])
+    joined = lookup_join(wanted, source, [(match_from, "_id")], salt_by=[match_to], keys_from=keys_from)
     order = ("_found", fill_to) if overwrite else (fill_to, "_found")
     return joined.withColumn(fill_to, F.coalesce(*order)).drop("_found").select(*wanted.columns)
 

@@ -45,7 +45,7 @@ def resolve_nodes(
     ``_top`` is the pointer that is still open after ``max_depth`` levels.
     """
     parents = nodes.select(F.col(parent).alias("_parent")).filter("_parent IS NOT NULL")
-    inner = semi_join(nodes, parents, [(id_col, "_parent")], salt_by=[id_col])
+    inner = semi_join(nodes, parents, [(id_col, "_parent")], skewed=False)
     own = F.struct(*[F.when(F.col(rank) == r, F.col(name)).alias(r) for r in ranks])
     known = stage(
         inner.select(F.col(id_col).alias("_id"), own.alias("_lineage"), F.col(parent).alias("_top")), "lineage"
@@ -113,16 +113,19 @@ def attach_lineage(
     df: DataFrame, ranks: Sequence[str] = vocab.LINEAGE_RANKS, max_depth: int = MAX_DEPTH
 ) -> DataFrame:
     """``df`` with genus, tribe, subfamily, family and order on every row."""
-    return lookup_join(df.drop(*ranks), lineage_by_id(df, ranks, max_depth), "taxonID", salt_by=["taxonID"])
+    return lookup_join(df.drop(*ranks), lineage_by_id(df, ranks, max_depth), "taxonID", skewed=False)
 
 
-def rank_chain_join(chain: Sequence[tuple[DataFrame, str, str]]) -> DataFrame:
-    """Chained joins, lowest rank first: (table, its parent key, key of the next table)."""
-    table, parent_key, next_key = chain[0]
-    for upper, upper_parent, upper_next in chain[1:]:
-        table = lookup_join(table, upper, [(parent_key, next_key)])
-        parent_key, next_key = upper_parent, upper_next
-    return table
+def rank_chain_join(top: DataFrame, lowers: Sequence[tuple[DataFrame, str, str]]) -> DataFrame:
+    """Rows of the lowest table with the columns of all tables above.
+
+    ``lowers``: (table, its parent key, key of the table above), highest first.
+    Built from the top, so the large low tables are joined once each.
+    """
+    resolved = top
+    for table, parent_key, upper_key in lowers:
+        resolved = lookup_join(table, resolved, [(parent_key, upper_key)])
+    return resolved
 
 
 def filter_to_level(df: DataFrame, dropped_ranks: Sequence[str] = vocab.BELOW_GENUS_RANKS) -> DataFrame:

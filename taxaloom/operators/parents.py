@@ -214,6 +214,8 @@ def with_parents(taxa: DataFrame, edges: DataFrame) -> DataFrame:
     own = edges.select(F.col("taxonID").alias("_id"), F.col("parentNameUsageID").alias("_own"))
     accepted = edges.select(F.col("taxonID").alias("_id"), F.col("parentNameUsageID").alias("_accepted"))
     base = taxa.drop("parentNameUsageID")
-    joined = lookup_join(base, own, [("taxonID", "_id")], salt_by=["taxonID"])
-    joined = lookup_join(joined, accepted, [("acceptedNameUsageID", "_id")], salt_by=["taxonID"])
+    joined = lookup_join(base, own, [("taxonID", "_id")], skewed=False)
+    joined = lookup_join(
+        joined, accepted, [("acceptedNameUsageID", "_id")], salt_by=["taxonID"], keys_from=base
+    )
     return joined.withColumn("parentNameUsageID", F.coalesce("_own", "_accepted")).drop("_own", "_accepted")

@@ -76,8 +76,8 @@ def summarise_matches(taxa: DataFrame, results: DataFrame) -> DataFrame:
     Exact full name: keep. Name claimed by several requests: drop. Claimed once: keep.
     """
     own = taxa.select("taxonID", "taxonomicStatus", F.col("scientificName").alias("wf_sci_name"))
-    joined = lookup_join(results, own, "taxonID", "inner", salt_by=["taxonID"])
-    counted = add_count(joined, ["name"], "n_ipni_hits", salt_by=["taxonID"])
+    joined = lookup_join(results, own, "taxonID", "inner", skewed=False)
+    counted = add_count(joined, ["name"], "n_ipni_hits", salt_by=["taxonID"], keys_from=results)
     authority_name = F.when(F.col("name").isNotNull(), text.full_name("name", "authors"))
     return counted.withColumn("ipni_sci_name", authority_name).withColumn(
         "keep",
@@ -95,7 +95,7 @@ def replace_names(taxa: DataFrame, summary: DataFrame) -> DataFrame:
         F.col("reference").alias("_reference"),
         text.prefix_url("url").alias("ipniURL"),
     )
-    joined = lookup_join(taxa, kept.withColumn("_kept", F.lit(True)), [("taxonID", "_id")], salt_by=["taxonID"])
+    joined = lookup_join(taxa, kept.withColumn("_kept", F.lit(True)), [("taxonID", "_id")], skewed=False)
     matched = F.col("_kept").isNotNull()
     return joined.withColumns(
         {
@@ -107,12 +107,18 @@ def replace_names(taxa: DataFrame, summary: DataFrame) -> DataFrame:
     ).drop("_name", "_reference", "_kept")
 
 
+def fill_name_usages(taxa: DataFrame, keys_from: DataFrame | None = None) -> DataFrame:
+    """Names of the accepted and of the parent record, looked up by their ids."""
+    for name in ("acceptedNameUsage", "parentNameUsage"):
+        keys_from = keys_from if keys_from is not None else taxa
+        taxa = lookup_fill(taxa, name, "scientificName", "taxonID", f"{name}ID", keys_from=keys_from)
+    return taxa
+
+
 def apply_reference_names(taxa: DataFrame, summary: DataFrame) -> DataFrame:
     """Final taxon table, unsorted: authority names applied and name usages refilled."""
     base = taxa.drop(*vocab.LINEAGE_RANKS, "acceptedNameUsage", "parentNameUsage")
-    named = replace_names(base, summary)
-    named = lookup_fill(named, "acceptedNameUsage", "scientificName", "taxonID", "acceptedNameUsageID")
-    named = lookup_fill(named, "parentNameUsage", "scientificName", "taxonID", "parentNameUsageID")
+    named = fill_name_usages(replace_names(base, summary), keys_from=base)
     return null_parent_for_aliases(named).select(*vocab.OUTPUT_COLUMNS)
 
 

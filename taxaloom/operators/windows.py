@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from taxaloom.operators.joins import lookup_join
 from taxaloom.session import stage
 
-BUCKET_ROWS = 100_000
+BUCKET_ROWS = 10_000
 
 
 def number_rows(df: DataFrame, order: Sequence[Column | str], name: str = "row_no") -> DataFrame:
@@ -143,13 +143,19 @@ def fixed_width_interval(df: DataFrame, start: str, width: float, end: str = "en
     return df.withColumn(end, F.col(start) + F.lit(width))
 
 
-def add_count(df: DataFrame, keys: Sequence[str], name: str = "n", salt_by: Sequence[str] | None = None) -> DataFrame:
+def add_count(
+    df: DataFrame,
+    keys: Sequence[str],
+    name: str = "n",
+    salt_by: Sequence[str] | None = None,
+    keys_from: DataFrame | None = None,
+) -> DataFrame:
     """Group size on every row; null keys form one group.
 
     Counted with partial aggregation and joined back, so no task holds a group.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
-    return lookup_join(df, counts, list(keys), "left", null_safe=True, salt_by=salt_by)
+    return lookup_join(df, counts, list(keys), "left", null_safe=True, salt_by=salt_by, keys_from=keys_from)
 
 
 def status_by_multiplicity(

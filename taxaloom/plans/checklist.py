@@ -5,7 +5,6 @@ from __future__ import annotations
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from taxaloom import vocab
 from taxaloom.functions import text
@@ -57,8 +56,7 @@ def checklist_to_taxa(checklist: DataFrame, strict_markers: bool = False) -> Tax
     everything = columns.union_by_name(flat, columns.select_terms(autonyms))
     taxa = stage(parents.with_parents(everything, parents.parent_edges(assigned)), "taxa")
     full = lineage.attach_lineage(taxa)
-    full = joins.lookup_fill(full, "acceptedNameUsage", "scientificName", "taxonID", "acceptedNameUsageID")
-    full = joins.lookup_fill(full, "parentNameUsage", "scientificName", "taxonID", "parentNameUsageID")
+    full = reconcile.fill_name_usages(full, keys_from=taxa)
     full = columns.assign_const(full, modified=None)
     full = joins.exclude_pairs(
         full,
@@ -73,7 +71,7 @@ def checklist_to_taxa(checklist: DataFrame, strict_markers: bool = False) -> Tax
             quality.rule_unique(checklist, "scientificName", "accepted_name_unique"),
             quality.rule_not_null(checklist, "number"),
             parents.parent_violations(assigned),
-            lineage.depth_violations(taxa.filter(F.col("taxonomicStatus") == "accepted")),
+            # a chain that is too deep or circular never reaches its order
             quality.rule_not_null(full, "order"),
             quality.rule_table(full, check_columns=False),
             quality.rule_parentless(full),
