@@ -181,6 +181,11 @@ def dwc_taxa(spark, sf_dir):
     )
 
 
+@query("""SELECT 'x' AS rule, 'x' AS key, 'x' AS detail FROM part WHERE p_partkey IS NULL""")
+def dwc_violations(spark, sf_dir):
+    return plans.taxa_violations(plans.checklist_to_taxa(prepared(spark, sf_dir)))
+
+
 @query(
     f"""
     WITH {CHECKLIST_SQL}

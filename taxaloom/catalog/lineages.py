@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from taxaloom import vocab
 from taxaloom.catalog.registry import query, table
 from taxaloom.operators import columns, joins, lineage, ordering
+from taxaloom.session import stage
 
 # SQL of the node table; suppliers hang below their nation like customers do
 NODES_SQL = """
@@ -215,19 +216,21 @@ SORTED_SQL = (
 
 
 def sorted_taxa(spark, sf_dir):
+    rows = taxa(spark, sf_dir)
     full = joins.lookup_fill(
-        lineage.attach_lineage(taxa(spark, sf_dir)),
+        lineage.attach_lineage(rows),
         "acceptedNameUsage",
         "scientificName",
         "taxonID",
         "acceptedNameUsageID",
+        keys_from=rows,
     )
     regions = table(spark, sf_dir, "region").select(
         F.col("r_name").alias("scientificName"),
         F.lit("order").alias("taxonRank"),
         (F.col("r_regionkey") * 5 + 1).alias("major_num"),
     )
-    return ordering.hierarchical_sort(full, regions)
+    return ordering.hierarchical_sort(stage(full, "lineage"), regions)
 
 
 @query(SORTED_SQL + """ SELECT id AS "taxonID", higher_tax, sort_order FROM sorted """)

@@ -13,6 +13,7 @@ from taxaloom import vocab
 from taxaloom.catalog.registry import query, table
 from taxaloom.functions import text
 from taxaloom.operators import columns, reconcile
+from taxaloom.session import stage
 
 RANKS = {"ECONOMY": "family", "STANDARD": "subfamily", "SMALL": "genus", "MEDIUM": "species", "LARGE": "variety"}
 
@@ -89,7 +90,7 @@ def authority(spark, sf_dir):
 
 def results(spark, sf_dir):
     requests = reconcile.prepare_match_requests(taxa(spark, sf_dir))
-    return reconcile.match_reference(requests, authority(spark, sf_dir), priority=["ref_id"])
+    return stage(reconcile.match_reference(requests, authority(spark, sf_dir), priority=["ref_id"]), "matches")
 
 
 @query(f"""WITH {TAXA_SQL} SELECT id AS "taxonID", taxon, grp AS ipni_filter FROM requests""")

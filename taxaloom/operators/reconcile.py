@@ -17,6 +17,8 @@ from taxaloom.operators.columns import (
 from taxaloom.operators.joins import lookup_fill, lookup_join
 from taxaloom.operators.windows import add_count, first_hit
 
+ANY_GROUP = ""
+
 
 def parse_names(taxa: DataFrame, column: str = "scientificName") -> DataFrame:
     """Distinct (verbatim, taxon, scientificNameAuthorship): each name is parsed once."""
@@ -29,13 +31,16 @@ def parse_names(taxa: DataFrame, column: str = "scientificName") -> DataFrame:
 
 
 def prepare_match_requests(taxa: DataFrame) -> DataFrame:
-    """(taxonID, taxon, ipni_filter): canonical names to look up, one row per id."""
+    """(taxonID, taxon, ipni_filter): canonical names to look up, one row per id.
+
+    ``taxonID`` is the key of ``taxa``, so rows are distinct without a shuffle.
+    """
     asked = eligible_for_match(exclude_incertae(taxa))
     return asked.select(
         "taxonID",
         names.canonical_name("scientificName").alias("taxon"),
         text.rank_to_group("taxonRank").alias("ipni_filter"),
-    ).distinct()
+    )
 
 
 def match_reference(
@@ -54,16 +59,14 @@ def match_reference(
     the join, so a name with many authority rows never multiplies requests.
     """
     kept = reference.select("match_name", "match_group", *dict.fromkeys([*priority, *columns]))
+    grouped = first_hit(kept, ["match_name", "match_group"], priority)
     # a request without a group takes the best row over all groups
-    grouped = kept.filter(F.col("match_group").isNotNull())
-    ungrouped = kept.withColumn("match_group", F.lit(None).cast("string"))
-    best = first_hit(grouped, ["match_name", "match_group"], priority).unionByName(
-        first_hit(ungrouped, ["match_name", "match_group"], priority)
+    overall = first_hit(grouped, ["match_name"], priority).withColumn("match_group", F.lit(ANY_GROUP))
+    best = grouped.filter(F.col("match_group").isNotNull()).unionByName(overall)
+    asked = requests.withColumn("_group", F.coalesce(F.col(group_col), F.lit(ANY_GROUP)))
+    answers = best.select(
+        F.col("match_name").alias("_match_name"), F.col("match_group").alias("_match_group"), *columns
     )
-    group = F.coalesce(F.col("_match_group"), F.lit(""))
-    asked = requests.withColumn("_group", F.coalesce(F.col(group_col), F.lit("")))
-    answers = best.withColumnsRenamed({"match_name": "_match_name", "match_group": "_match_group"})
-    answers = answers.withColumn("_match_group", group).select("_match_name", "_match_group", *columns)
     joined = lookup_join(
         asked, answers, [(name_col, "_match_name"), ("_group", "_match_group")], salt_by=[id_col]
     )

@@ -18,9 +18,12 @@ HTML_COLUMNS = ["scientificName", "namePublishedIn", "synonyms", "taxonRemarks"]
 
 
 class Taxa(NamedTuple):
+    """Taxon table and the staged tables it was made from."""
+
     taxa: DataFrame
+    checklist: DataFrame
     ranked: DataFrame
-    violations: DataFrame
+    assigned: DataFrame
 
 
 def prepare_checklist(raw: DataFrame, pos: str = "pos") -> DataFrame:
@@ -65,19 +68,24 @@ def checklist_to_taxa(checklist: DataFrame, strict_markers: bool = False) -> Tax
         bounded=True,
     )
     full = stage(full, "taxa")
-    violations = quality.check(
+    return Taxa(full, checklist, ranked, assigned)
+
+
+def taxa_violations(result: Taxa) -> DataFrame:
+    """All rule violations of a finished table; ``quality.enforce`` turns them into an error."""
+    taxa, checklist, _, assigned = result
+    return quality.check(
         [
             quality.rule_not_null(checklist, "taxonRank", rule="rank_not_null"),
             quality.rule_unique(checklist, "scientificName", "accepted_name_unique"),
             quality.rule_not_null(checklist, "number"),
             parents.parent_violations(assigned),
             # a chain that is too deep or circular never reaches its order
-            quality.rule_not_null(full, "order"),
-            quality.rule_table(full, check_columns=False),
-            quality.rule_parentless(full),
+            quality.rule_not_null(taxa, "order"),
+            quality.rule_table(taxa, check_columns=False),
+            quality.rule_parentless(taxa),
         ]
     )
-    return Taxa(full, ranked, violations)
 
 
 def remove_duplicates(taxa: DataFrame, listed: DataFrame) -> DataFrame:
