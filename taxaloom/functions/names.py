@@ -22,7 +22,9 @@ RANK_MARKERS = r"subsp\.|ssp\.|subvar\.|var\.|subf\.|fm\.|forma|f\.|monstr\.|not
 _HYBRID = r"(?:[x×]\s+)?"
 _GENUS = r"^\s*(?:[x×]\s?)?(\p{Lu}[\p{L}\-]+)(?![\p{L}.])"
 _EPITHET = rf"{_HYBRID}((?!(?:{AUTHOR_PARTICLES})\b)\p{{Ll}}[\p{{Ll}}\-]+)(?![\p{{L}}.])"
-_BINOMIAL = rf"{_GENUS}\s+{_EPITHET}"
+# a hybrid genus with a second hybrid sign is read up to the genus only
+_TWO_SIGNS = r"^\s*[x×]\s?\p{Lu}[\p{L}\-]+\s+[x×]\s"
+_BINOMIAL = rf"(?!{_TWO_SIGNS}){_GENUS}\s+{_EPITHET}"
 _TRINOMIAL = rf"{_BINOMIAL}\s+{_EPITHET}"
 _MARKED = rf"\s(?:{RANK_MARKERS})\s*{_EPITHET}"
 
@@ -57,7 +59,7 @@ def authorship(c: Column | str) -> Column:
     epithet = _EPITHET.replace("((?!", "(?:(?!", 1)
     genus = _GENUS.replace("(\\p{Lu}", "(?:\\p{Lu}", 1)
     head = rf"{genus}(?:\s+{epithet}(?:.*\s(?:{RANK_MARKERS})\s*{epithet}|\s+{epithet})?)?"
-    rest = F.when(c.rlike(_GENUS), squish(F.regexp_replace(c, head, "")))
+    rest = F.when(c.rlike(rf"(?!{_TWO_SIGNS}){_GENUS}"), squish(F.regexp_replace(c, head, "")))
     return _override(c, F.nullif(rest, F.lit("")), 1)
 
 

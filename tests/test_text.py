@@ -80,7 +80,8 @@ def test_match_group_tells_no_match_from_empty_match(spark):
         ("Beta prima L. subsp. prima Aut. f. nana M.", "Beta prima prima nana", "M."),
         ("Beta nana L. f. ex M.", "Beta nana", "L. f. ex M."),
         ("Beta nana Hook. f. & Baker", "Beta nana", "Hook. f. & Baker"),
-        ("xAsplenosorus x boydstoniae K. S. Walter", "Asplenosorus boydstoniae", "K. S. Walter"),
+        ("xAsplenosorus x boydstoniae K. S. Walter", "Asplenosorus", None),
+        ("xAsplenosorus pinnatus K. S. Walter", "Asplenosorus pinnatus", "K. S. Walter"),
         ("Alphaceae A.Auth", "Alphaceae", "A.Auth"),
         ("Lomariopsis Fée", "Lomariopsis", "Fée"),
         ("Beta de Vries", "Beta", "de Vries"),
@@ -116,6 +117,7 @@ def test_canonical_name(spark, name, canonical, author):
         ("Beta una D.", "species"),
         ("Oldus X.", "genus"),
         ("xOldus X.", None),
+        ("xAsplenosorus x boydstoniae K. S. Walter", None),
     ],
 )
 def test_rank_from_name(spark, name, rank):
