@@ -92,28 +92,29 @@ def lineage_by_id(
     df: DataFrame, ranks: Sequence[str] = vocab.LINEAGE_RANKS, max_depth: int = MAX_DEPTH
 ) -> DataFrame:
     """(taxonID, rank columns) of all rows; a synonym has the lineage of its accepted record."""
-    accepted_rows = df.filter(F.col("taxonomicStatus") == "accepted")
-    accepted = ancestor_columns(
-        accepted_rows.select("taxonID", "parentNameUsageID", "taxonRank", "scientificName"),
-        ranks=ranks,
-        max_depth=max_depth,
-        strip_author=True,
-    ).select("taxonID", *ranks)
-    aliases = df.filter(not_in("taxonomicStatus", ["accepted"])).select("taxonID", "acceptedNameUsageID")
-    of_aliases = lookup_join(
-        aliases,
-        accepted.withColumnRenamed("taxonID", "_id"),
-        [("acceptedNameUsageID", "_id")],
-        salt_by=["taxonID"],
+    narrow = df.select(
+        "taxonID", "acceptedNameUsageID", "parentNameUsageID", "taxonRank", "scientificName", "taxonomicStatus"
     )
-    return union_by_name(accepted, of_aliases.drop("acceptedNameUsageID"))
+    return attach_lineage(narrow, ranks, max_depth).select("taxonID", *ranks)
 
 
 def attach_lineage(
     df: DataFrame, ranks: Sequence[str] = vocab.LINEAGE_RANKS, max_depth: int = MAX_DEPTH
 ) -> DataFrame:
-    """``df`` with genus, tribe, subfamily, family and order on every row."""
-    return lookup_join(df.drop(*ranks), lineage_by_id(df, ranks, max_depth), "taxonID", skewed=False)
+    """``df`` with genus, tribe, subfamily, family and order on every row.
+
+    Accepted rows look up their parent, synonyms their accepted record; the two
+    parts are stacked, so whole rows are never joined back by their own id.
+    """
+    is_accepted = F.col("taxonomicStatus").eqNullSafe("accepted")
+    columns = [c for c in df.columns if c not in ranks]
+    full = ancestor_columns(
+        df.filter(is_accepted).select(*columns), ranks=ranks, max_depth=max_depth, strip_author=True
+    )
+    of_accepted = full.select(F.col("taxonID").alias("_id"), *ranks)
+    aliases = df.filter(~is_accepted).select(*columns)
+    of_aliases = lookup_join(aliases, of_accepted, [("acceptedNameUsageID", "_id")], salt_by=["taxonID"])
+    return union_by_name(full, of_aliases)
 
 
 def rank_chain_join(top: DataFrame, lowers: Sequence[tuple[DataFrame, str, str]]) -> DataFrame:

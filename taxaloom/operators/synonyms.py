@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from taxaloom.functions import names, text
@@ -21,19 +21,25 @@ SYNONYM_COLUMNS = [
 
 
 def split_synonyms(checklist: DataFrame) -> DataFrame:
-    """One row per packed synonym: accepted id, name, publication, key."""
-    pieces = filter_has_alias_text(checklist).select(
-        "number",
-        F.col("taxonID").alias("acceptedNameUsageID"),
-        F.explode(text.split_multivalue("synonyms")).alias("_piece"),
+    """One row per packed synonym: accepted id, name, publication, key.
+
+    Copies can only come from one packed text (``taxonID`` is the key of the
+    checklist), so they are dropped inside the row and nothing is shuffled.
+    """
+
+    def cited(piece: Column) -> Column:
+        name, publication = text.split_first(piece, r"\[")
+        return F.struct(
+            text.squish(name).alias("scientificName"),
+            text.strip_suffix(publication).alias("namePublishedIn"),
+        )
+
+    cited_names = F.array_distinct(F.transform(text.split_multivalue("synonyms"), cited))
+    split = (
+        filter_has_alias_text(checklist)
+        .select("number", F.col("taxonID").alias("acceptedNameUsageID"), F.explode(cited_names).alias("_cited"))
+        .select("number", "acceptedNameUsageID", "_cited.*")
     )
-    name, publication = text.split_first("_piece", r"\[")
-    split = pieces.select(
-        "number",
-        "acceptedNameUsageID",
-        text.squish(name).alias("scientificName"),
-        text.strip_suffix(publication).alias("namePublishedIn"),
-    ).distinct()
     key = text.content_key("acceptedNameUsageID", "scientificName", "namePublishedIn")
     return split.withColumn("taxonID", key)
 
