@@ -31,31 +31,35 @@ def _salts(df: DataFrame) -> int:
     return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-def _key_hashes(left: DataFrame, target: DataFrame, pairs: list[tuple[str, str]]) -> tuple[Column, Column]:
-    """Hash of the key on either side; keys that are equal have equal hashes.
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _key_hashes(left: DataFrame, target: DataFrame, pairs: list[tuple[str, str]]) -> tuple[str, str]:
+    """SQL hash of the key on either side; keys that are equal have equal hashes.
 
     Numbers of different types, and doubles with their two zeros, go through double.
     """
     left_types, right_types = dict(left.dtypes), dict(target.dtypes)
 
-    def same(name: str, own: str, other: str) -> Column:
+    def same(name: str, own: str, other: str) -> str:
         if own == other and own not in ("double", "float"):
-            return F.col(name)
+            return _quoted(name)
         if "string" in (own, other):
             raise TypeError(f"join key {name}: {own} against {other}")
-        return F.col(name).cast("double") + F.lit(0.0)
+        return f"CAST({_quoted(name)} AS DOUBLE) + 0D"
 
     left_keys = [same(l, left_types[l], right_types[r]) for l, r in pairs]
     right_keys = [same(r, right_types[r], left_types[l]) for l, r in pairs]
-    return F.xxhash64(*left_keys), F.xxhash64(*right_keys)
+    return f"xxhash64({', '.join(left_keys)})", f"xxhash64({', '.join(right_keys)})"
 
 
-def hot_hashes(df: DataFrame, hashed: Column) -> list[int]:
+def hot_hashes(df: DataFrame, hashed: str) -> list[int]:
     """Hashes of all keys with more than 1/128 of the rows: one pass, a bounded list.
 
     The list may hold colder keys too; salting one of those changes no result.
     """
-    found = df.select(hashed.alias("_hash")).freqItems(["_hash"], 1.0 / HOT_KEYS).first()
+    found = df.select(F.expr(hashed).alias("_hash")).freqItems(["_hash"], 1.0 / HOT_KEYS).first()
     return sorted(found[0])
 
 
@@ -106,13 +110,12 @@ def lookup_join(
     if not hot:
         return left.join(target, condition, how).drop(*renamed.values())
     salts = _salts(left)
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in (salt_by or left.columns)]), F.lit(salts))
-    salt = F.when(left_hash.isin(hot), spread).otherwise(F.lit(0)).cast("int")
-    copies = F.when(
-        right_hash.isin(hot), F.sequence(F.lit(0), F.lit(salts - 1))
-    ).otherwise(F.array(F.lit(0)))
-    joined = left.select("*", salt.alias("_salt")).join(
-        target.select("*", F.explode(copies).alias("_right_salt")),
+    listed = ", ".join(f"{h}L" for h in hot)
+    row_hash = f"xxhash64({', '.join(map(_quoted, salt_by or left.columns))})"
+    salt = f"CASE WHEN {left_hash} IN ({listed}) THEN CAST(pmod({row_hash}, {salts}) AS INT) ELSE 0 END"
+    copies = f"CASE WHEN {right_hash} IN ({listed}) THEN sequence(0, {salts - 1}) ELSE array(0) END"
+    joined = left.select("*", F.expr(salt).alias("_salt")).join(
+        target.select("*", F.expr(f"explode({copies})").alias("_right_salt")),
         condition & (F.col("_salt") == F.col("_right_salt")),
         how,
     )
