@@ -196,3 +196,39 @@ def one_to_one_violations(spark, sf_dir):
     customers = table(spark, sf_dir, "customer").select("c_nationkey", "c_name")
     orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey")
     return joins.one_to_one(customers, orders, [("c_nationkey", "o_custkey")])[1]
+
+
+@query(
+    r"""
+    WITH ranked AS (
+      SELECT p_partkey, p_brand, p_type = 'MEDIUM' AS is_species, split_part(p_name, ' ', 2) AS epithet,
+             upper(substr(p_name, 1, 1)) || substr(split_part(p_name, ' ', 1), 2)
+               || translate(regexp_extract(p_brand, '\d+'), '0123456789', 'abcdefghij') AS genus,
+             CASE WHEN p_size <= 25 THEN split_part(p_name, ' ', 2) ELSE 'other' END AS infra FROM part),
+    known AS (SELECT genus, epithet FROM ranked WHERE is_species GROUP BY genus, epithet HAVING COUNT(*) = 1)
+    SELECT DISTINCT p_brand AS number, genus || ' ' || epithet || ' Aut.' AS "scientificName",
+           md5(genus || ' ' || epithet || ' Aut.' || chr(31) || p_brand) AS "taxonID", 'autonym' AS "taxonRemarks"
+    FROM ranked r WHERE NOT is_species AND infra = epithet
+      AND NOT EXISTS (SELECT 1 FROM known k WHERE k.genus = r.genus AND k.epithet = r.epithet)
+    """
+)
+def autonyms(spark, sf_dir):
+    letters = F.translate(F.regexp_extract("p_brand", r"\d+", 0), "0123456789", "abcdefghij")
+    genus = F.concat(F.initcap(text.first_token("p_name")), letters)
+    epithet = text.epithet_token("p_name")
+    is_species = F.col("p_type") == "MEDIUM"
+    infra = F.when(F.col("p_size") <= 25, epithet).otherwise("other")
+    name = F.when(is_species, F.concat_ws(" ", genus, epithet, F.lit("L."))).otherwise(
+        F.concat_ws(" ", genus, epithet, F.lit("ssp."), infra, F.lit("Aut."))
+    )
+    ranked = table(spark, sf_dir, "part").select(
+        F.col("p_partkey").cast("string").alias("taxonID"),
+        F.col("p_brand").alias("number"),
+        name.alias("scientificName"),
+        F.when(is_species, "species").otherwise("subspecies").alias("taxonRank"),
+        F.col("p_brand").alias("namePublishedIn"),
+        F.lit(None).cast("double").alias("major_num"),
+        F.lit(None).cast("double").alias("minor_num"),
+    )
+    made = parents.synthesise_autonyms(ranked)
+    return made.select("number", "scientificName", "taxonID", "taxonRemarks")

@@ -133,7 +133,7 @@ def lineage_wide(spark, sf_dir):
 ALIAS_SQL = """
     taxa AS (
       SELECT id, parent, rank, name, 'accepted' AS status, CAST(NULL AS VARCHAR) AS accepted FROM nodes
-      UNION ALL SELECT 'P' || p_partkey, NULL, NULL, p_name || ' ' || p_partkey, 'synonym', 'S' || (p_partkey % 50) FROM part
+      UNION ALL SELECT 'P' || p_partkey, NULL, NULL, p_name || ' ' || p_partkey, 'synonym', 'S' || p_size FROM part
       UNION ALL SELECT 'L' || p_partkey, NULL, NULL, p_brand || ' ' || p_partkey, 'ambiguous synonym', 'O' || p_partkey FROM part)
 """
 
@@ -152,7 +152,7 @@ def taxa(spark, sf_dir):
             target.alias("acceptedNameUsageID"),
         )
 
-    of_supplier = F.concat(F.lit("S"), F.col("p_partkey") % 50)
+    of_supplier = F.concat(F.lit("S"), "p_size")
     return columns.union_by_name(
         accepted,
         alias("P", "p_name", "synonym", of_supplier),

@@ -15,8 +15,8 @@ DASH = " \\-\\- "
 BULLET = "* "
 HARD_LINE = "  "
 
-# Offset of a line from the sort order of its taxon.
-OFFSETS = {"spacer": -0.5, "header": 0.0, "remarks": 0.1, "synonym": 0.2}
+# Offset of a line from the sort order of its taxon, in tenths.
+OFFSETS = {"spacer": -5, "header": 0, "remarks": 1, "synonym": 2}
 
 
 def cited_name() -> Column:
@@ -49,12 +49,11 @@ def treatment_lines(sorted_taxa: DataFrame) -> DataFrame:
     line, in their own sort order, so no taxon's lines are gathered in one task.
     """
     taxa = sorted_taxa.withColumn("scientificName", names.italicise_name("scientificName", "taxonRank"))
-    place = F.col("sort_order").cast("double")
 
     def lines(df: DataFrame, kind: str, line: Column, part: Column = F.lit(0).cast("long")) -> DataFrame:
         return df.select(
             "taxonID",
-            (place + F.lit(OFFSETS[kind])).alias("sort_order"),
+            ((F.col("sort_order") * 10 + OFFSETS[kind]) / 10).cast("double").alias("sort_order"),
             part.alias("part_order"),
             F.lit(kind).alias("kind"),
             line.alias("line"),

@@ -17,28 +17,32 @@ def read_delimited(spark: SparkSession, path: str, sep: str = "|") -> DataFrame:
     return spark.read.options(**options).csv(path)
 
 
-def read_checklist(spark: SparkSession, path: str, sep: str = "|", pos: str = "pos") -> DataFrame:
-    """Pipe-delimited checklist with clean headers and its file order in ``pos`` (1..n).
+FILE_ORDER = ["x_file", "x_block", "x_row"]
 
-    File order is (file, block, place in the block); the numbered table is
-    written once, and columns without any value are dropped.
-    """
-    raw = clean_names(read_delimited(spark, path, sep).select("*", *_place()).transform(_name_place))
-    order = ["x_file", "x_block", "x_row"]
-    return drop_empty_columns(number_rows(raw, order, pos).drop(*order))
 
+def number_lines(rows: DataFrame, name: str = "pos") -> DataFrame:
+    """Rows of a file scan numbered 1..n in file order: file, block, place in the block.
 
-def _place():
-    return [
+    The numbered table is written once. ``rows`` is the scan itself.
+    """
+    placed = rows.select(
+        "*",
         F.col("_metadata.file_path").alias("x_file"),
         F.col("_metadata.file_block_start").alias("x_block"),
         F.monotonically_increasing_id().alias("x_row"),
-    ]
+    )
+    return number_rows(placed, FILE_ORDER, name).drop(*FILE_ORDER)
 
 
-def _name_place(df: DataFrame) -> DataFrame:
-    # blank fields count as missing, as ``NA`` does
-    return df.withColumns({c: F.nullif(F.col(f"`{c}`"), F.lit("")) for c in df.columns[:-3]})
+def read_checklist(spark: SparkSession, path: str, sep: str = "|", pos: str = "pos") -> DataFrame:
+    """Pipe-delimited checklist with clean headers and its file order in ``pos`` (1..n).
+
+    Blank fields are null, as ``NA`` is; columns without any value are dropped.
+    """
+    numbered = number_lines(read_delimited(spark, path, sep), pos)
+    names = clean_names(numbered.drop(pos)).columns
+    fields = [F.nullif(F.col(f"`{c}`"), F.lit("")).alias(n) for c, n in zip(numbered.columns, names)]
+    return drop_empty_columns(numbered.select(*fields, pos))
 
 
 def read_exclusions(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
