@@ -19,10 +19,12 @@ def raw(spark, *records):
     return spark.createDataFrame(data, "pos long, number string, taxon string, name string, synonyms string")
 
 
-def broken_rules(spark, *records):
+def violations(spark, *records):
+    """{(rule, name)} of a checklist; the name is the key or the detail where the rule gives no id."""
     checklist = plans.prepare_checklist(raw(spark, *records)).cache()
-    found = plans.taxa_violations(plans.checklist_to_taxa(checklist))
-    return {r["rule"] for r in quality.count_violations(found).collect()}
+    result = plans.checklist_to_taxa(checklist)
+    names = {r["taxonID"]: r["scientificName"] for r in result.taxa.collect()}
+    return {(r["rule"], names.get(r["key"], r["key"])) for r in plans.taxa_violations(result).collect()}
 
 
 GOOD = [("001.", "O", "Aales X."), ("001.1000", "F", "Aaceae X."), ("001.1010", "G", "Aus X."), (None, "S", "Aus bus X.")]
@@ -104,28 +106,35 @@ def test_ids_do_not_depend_on_partitions(spark):
 
 
 def test_clean_checklist_has_no_violations_with_one_order(spark):
-    assert broken_rules(spark, *GOOD) == set()
-
-
-@pytest.mark.parametrize(
-    "rule, extra",
-    [
-        ("rank_not_null", ("001.1011", "Q", "Bus X.")),
-        ("accepted_name_unique", (None, "S", "Aus bus X.")),
-        ("parent_missing", ("001.9000", "G", "Zus X.")),
-        ("parent_missing", (None, "V", "Zus bus var. cus X.")),
-        ("ambiguous_parent", ("001.1500", "F", "Baceae X.")),
-    ],
-)
-def test_broken_rules(spark, rule, extra):
-    records = [*GOOD, extra]
-    if rule == "ambiguous_parent":
-        records.append(("001.1600", "G", "Cus X."))
-    assert rule in broken_rules(spark, *records)
-
-
-def test_species_before_any_genus_code(spark):
-    assert {"number_not_null", "parent_missing"} <= broken_rules(spark, (None, "S", "Aus ante X."), *GOOD)
+    assert violations(spark, *GOOD) == set()
+
+
+def test_each_broken_rule_is_reported(spark):
+    found = violations(
+        spark,
+        (None, "S", "Aus ante X."),  # before any genus code
+        *GOOD,
+        ("001.1011", "Q", "Bus X."),  # unknown rank code
+        (None, "S", "Dus bus X."),
+        (None, "S", "Dus bus X."),  # listed twice
+        ("001.9000", "G", "Zus X."),  # outside every band
+        (None, "V", "Zus bus var. cus X."),  # no such species
+        ("001.1500", "F", "Baceae X."),
+        ("001.1600", "G", "Cus X."),  # inside two bands
+    )
+    assert {
+        ("number_not_null", "Aus ante X."),
+        ("parent_missing", "Aus ante X."),
+        ("rank_not_null", "Bus X."),
+        ("accepted_name_unique", "Dus bus X."),
+        ("taxonID_unique", "Dus bus X."),
+        ("parent_missing", "Zus X."),
+        ("parent_missing", "Zus bus var. cus X."),
+        ("ambiguous_parent", "Cus X."),
+        ("parentless_accepted_is_order", "Zus X."),
+        ("order_not_null", "Zus X."),
+    } <= found
+    assert not {n for _, n in found} & {"Aales X.", "Aaceae X.", "Aus X.", "Aus bus X."}
 
 
 def test_missing_reference_and_status(spark):
