@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HOT_KEYS = 128
+SKETCH_GROUPS = 512
 
 Keys = Sequence["str | tuple[str, str]"]
 
@@ -55,12 +56,28 @@ def _key_hashes(left: DataFrame, target: DataFrame, pairs: list[tuple[str, str]]
 
 
 def hot_hashes(df: DataFrame, hashed: str) -> list[int]:
-    """Hashes of all keys with more than 1/128 of the rows: one pass, a bounded list.
+    """Hashes of all keys with more than 1/128 of the rows: one pass, at most a few hundred values.
 
-    The list may hold colder keys too; salting one of those changes no result.
+    Sketches are merged in up to 512 groups of tasks, so no task sees them all. A
+    group keeps its 256 most frequent keys, so what is lost of a key is below
+    1/256 of the rows, and the cut is made at that share.
     """
-    found = df.select(F.expr(hashed).alias("_hash")).freqItems(["_hash"], 1.0 / HOT_KEYS).first()
-    return sorted(found[0])
+    groups = (
+        df.select(F.expr(hashed).alias("_hash"))
+        .groupBy(F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("_group"))
+        .agg(
+            F.expr(f"approx_top_k(_hash, {2 * HOT_KEYS}, {8 * HOT_KEYS})").alias("_top"),
+            F.count(F.lit(1)).alias("_rows"),
+        )
+    )
+    # the entry without item carries the row count of the group
+    entries = groups.select(
+        F.explode(F.expr("concat(_top, array(named_struct('item', CAST(NULL AS BIGINT), 'count', _rows)))")).alias("_e")
+    )
+    sums = entries.groupBy("_e.item").agg(F.sum("_e.count").alias("n"))
+    largest = sums.orderBy(F.col("n").desc()).limit(2 * HOT_KEYS + 1).collect()
+    total = next((r["n"] for r in largest if r["item"] is None), 0)
+    return sorted(r["item"] for r in largest if r["item"] is not None and r["n"] * 2 * HOT_KEYS >= total)
 
 
 def lookup_join(

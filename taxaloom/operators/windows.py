@@ -38,18 +38,13 @@ def number_rows(df: DataFrame, order: Sequence[Column | str], name: str = "row_n
     return numbered.withColumn(name, F.col("_before") + F.col("_index") + 1).drop("_file", "_index", "_before")
 
 
-def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left join on keys that may be null."""
-    names = {k: f"_k_{i}" for i, k in enumerate(keys)}
-    renamed = right.withColumnsRenamed(names)
-    condition = F.lit(True)
-    for key, other in names.items():
-        condition = condition & F.col(key).eqNullSafe(F.col(other))
-    return left.join(renamed, condition, "left").drop(*names.values())
+def _bucketed(df: DataFrame, pos: str, keys: Sequence[str], bucket_rows: int) -> DataFrame:
+    """Adds the key as one never-null struct and the bucket; both compare with plain equality.
 
-
-def _bucketed(df: DataFrame, pos: str, bucket_rows: int) -> DataFrame:
-    return df.withColumn("_b1", F.floor(F.col(pos) / bucket_rows))
+    Windows and joins on them share one partitioning, so rows are shuffled once.
+    """
+    key = F.struct(*[F.col(k) for k in keys]) if keys else F.lit(0)
+    return df.withColumns({"_key": key, "_b1": F.floor(F.col(pos) / bucket_rows)})
 
 
 def carry_forward(
@@ -64,36 +59,30 @@ def carry_forward(
     ``pos`` is a unique whole number (see ``number_rows``), so a bucket holds at
     most ``bucket_rows`` rows whatever the size of a key.
     """
-    keys = list(keys)
-    rows = _bucketed(df, pos, bucket_rows)
+    rows = _bucketed(df, pos, keys, bucket_rows)
 
     def last_known(v: str, order: str) -> Column:
         return F.max_by(F.col(v), F.when(F.col(v).isNotNull(), F.col(order)))
 
+    def before(partition: list[str], order: str):
+        return Window.partitionBy(*partition).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+
     small = (
-        rows.groupBy(*keys, "_b1")
+        rows.groupBy("_key", "_b1")
         .agg(*[last_known(v, pos).alias(v) for v in values])
         .withColumn("_b2", F.floor(F.col("_b1") / bucket_rows))
     )
-    large = small.groupBy(*keys, "_b2").agg(*[last_known(v, "_b1").alias(v) for v in values])
-
-    def before(partition: list[str], order: str):
-        return Window.partitionBy(*partition).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-
-    large = large.select(
-        *keys, "_b2", *[F.last(v, True).over(before(keys, "_b2")).alias(f"_far_{v}") for v in values]
+    large = small.groupBy("_key", "_b2").agg(*[last_known(v, "_b1").alias(v) for v in values])
+    far = large.select(
+        "_key", "_b2", *[F.last(v, True).over(before(["_key"], "_b2")).alias(f"_far_{v}") for v in values]
     )
-    small = _same(small, large, [*keys, "_b2"]).select(
-        *keys,
-        "_b1",
-        *[
-            F.coalesce(F.last(v, True).over(before([*keys, "_b2"], "_b1")), f"_far_{v}").alias(f"_in_{v}")
-            for v in values
-        ],
+    near = small.withColumns({v: F.last(v, True).over(before(["_key", "_b2"], "_b1")) for v in values})
+    carried = near.join(far, ["_key", "_b2"], "left").select(
+        "_key", "_b1", *[F.coalesce(v, f"_far_{v}").alias(f"_in_{v}") for v in values]
     )
-    here = Window.partitionBy(*keys, "_b1").orderBy(pos).rowsBetween(Window.unboundedPreceding, 0)
+    here = Window.partitionBy("_key", "_b1").orderBy(pos).rowsBetween(Window.unboundedPreceding, 0)
     filled = rows.withColumns({v: F.last(v, True).over(here) for v in values})
-    joined = _same(filled, small, [*keys, "_b1"])
+    joined = filled.join(carried, ["_key", "_b1"], "left")
     return joined.withColumns({v: F.coalesce(v, f"_in_{v}") for v in values}).select(*df.columns)
 
 
@@ -106,21 +95,22 @@ def next_value(
     bucket_rows: int = BUCKET_ROWS,
 ) -> DataFrame:
     """``value`` of the next row by ``pos`` within ``keys``; null on the last row."""
-    keys = list(keys)
-    rows = _bucketed(df, pos, bucket_rows).withColumn("_v", F.struct(F.col(value).alias("v")))
+    rows = _bucketed(df, pos, keys, bucket_rows).withColumn("_v", F.struct(F.col(value).alias("v")))
     small = (
-        rows.groupBy(*keys, "_b1")
+        rows.groupBy("_key", "_b1")
         .agg(F.min_by("_v", pos).alias("_first"))
         .withColumn("_b2", F.floor(F.col("_b1") / bucket_rows))
     )
-    large = small.groupBy(*keys, "_b2").agg(F.min_by("_first", "_b1").alias("_first"))
-    large = large.select(
-        *keys, "_b2", F.lead("_first").over(Window.partitionBy(*keys).orderBy("_b2")).alias("_far")
+    large = small.groupBy("_key", "_b2").agg(F.min_by("_first", "_b1").alias("_first"))
+    far = large.select(
+        "_key", "_b2", F.lead("_first").over(Window.partitionBy("_key").orderBy("_b2")).alias("_far")
+    )
+    near = small.withColumn("_near", F.lead("_first").over(Window.partitionBy("_key", "_b2").orderBy("_b1")))
+    carried = near.join(far, ["_key", "_b2"], "left").select(
+        "_key", "_b1", F.coalesce("_near", "_far").alias("_out")
     )
-    near = F.lead("_first").over(Window.partitionBy(*keys, "_b2").orderBy("_b1"))
-    small = _same(small, large, [*keys, "_b2"]).select(*keys, "_b1", F.coalesce(near, "_far").alias("_out"))
-    here = Window.partitionBy(*keys, "_b1").orderBy(pos)
-    joined = _same(rows.withColumn("_next", F.lead("_v").over(here)), small, [*keys, "_b1"])
+    here = Window.partitionBy("_key", "_b1").orderBy(pos)
+    joined = rows.withColumn("_next", F.lead("_v").over(here)).join(carried, ["_key", "_b1"], "left")
     return joined.withColumn(name, F.coalesce("_next", "_out")["v"]).select(*df.columns, name)
 
 
