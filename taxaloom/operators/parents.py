@@ -131,29 +131,40 @@ def _parents(ranked: DataFrame, rank: str, *extra: str) -> DataFrame:
     return filter_rank(ranked, rank).select(F.col("taxonID").alias("parentNameUsageID"), *extra)
 
 
+def _single(parents: DataFrame, *keys: str) -> DataFrame:
+    """One ``_parent`` (smallest id, number of candidates) per key.
+
+    Parents that share a key are merged before any join, so a name or code that
+    is listed very often never multiplies its children.
+    """
+    merged = F.struct(F.min("parentNameUsageID").alias("id"), F.count(F.lit(1)).alias("n"))
+    return parents.groupBy(*keys).agg(merged.alias("_parent"))
+
+
 def _bands(ranked: DataFrame, rank: str) -> DataFrame:
-    rows = _parents(ranked, rank, "major_num", F.col("minor_num").alias("start"))
+    rows = _single(_parents(ranked, rank, "major_num", F.col("minor_num").alias("start")), "major_num", "start")
     return fixed_width_interval(rows, "start", BAND_WIDTHS[rank])
 
 
 def order_bands(ranked: DataFrame) -> DataFrame:
     """Orders with the range of major numbers they cover, up to the next order."""
-    orders = _parents(ranked, "order", F.col("major_num").alias("start"))
-    starts = orders.select("start").filter("start IS NOT NULL").distinct()
-    return lookup_join(orders, next_start_interval(starts, "start", "start"), "start")
+    orders = _single(_parents(ranked, "order", F.col("major_num").alias("start")), "start")
+    return next_start_interval(orders.filter("start IS NOT NULL"), "start", "start")
 
 
 def assign_parents(ranked: DataFrame, autonyms: DataFrame) -> DataFrame:
-    """(taxonID, taxonRank, scientificName, parentNameUsageID) of every accepted row.
+    """(taxonID, taxonRank, scientificName, parentNameUsageID, n_parents) of every accepted row.
 
-    A row without a parent keeps a null, and one with several parents appears
-    several times: the parent rules report both.
+    A row without a parent keeps a null, and ``n_parents`` above one, or a row in
+    several bands, means that the choice is open: the parent rules report both.
     """
     families = range_parent(
         filter_rank(ranked, "family"), order_bands(ranked), "major_num", "taxonID"
     )
     subfamilies = equi_parent(
-        filter_rank(ranked, "subfamily"), _parents(ranked, "family", "major_num"), ["major_num"]
+        filter_rank(ranked, "subfamily"),
+        _single(_parents(ranked, "family", "major_num"), "major_num"),
+        ["major_num"],
     )
     tribes = banded_parent(
         filter_rank(ranked, "tribe"), _bands(ranked, "subfamily"), ["major_num"], "minor_num", "taxonID"
@@ -164,26 +175,33 @@ def assign_parents(ranked: DataFrame, autonyms: DataFrame) -> DataFrame:
         ["major_num"],
         "minor_num",
         "taxonID",
-        "parentNameUsageID",
+        "_parent",
     )
     all_species = union_by_name(filter_rank(ranked, "species"), autonyms)
-    species = equi_parent(all_species, _parents(ranked, "genus", "number"), ["number"])
-    by_epithet = all_species.select(
-        F.col("taxonID").alias("parentNameUsageID"),
-        text.first_token("scientificName").alias("genericName"),
-        text.epithet_token("scientificName").alias("specificEpithet"),
-    )
-    lower = filter_rank(ranked, *vocab.INFRASPECIFIC_RANKS).withColumns(
-        {
-            "genericName": text.first_token("scientificName"),
-            "specificEpithet": text.epithet_token("scientificName"),
-        }
+    species = equi_parent(all_species, _single(_parents(ranked, "genus", "number"), "number"), ["number"])
+    epithets = {
+        "genericName": text.first_token("scientificName"),
+        "specificEpithet": text.epithet_token("scientificName"),
+    }
+    by_epithet = _single(
+        all_species.select(
+            F.col("taxonID").alias("parentNameUsageID"), *[c.alias(name) for name, c in epithets.items()]
+        ),
+        *epithets,
     )
-    infraspecific = equi_parent(lower, by_epithet, ["genericName", "specificEpithet"])
-    orders = filter_rank(ranked, "order").withColumn("parentNameUsageID", F.lit(None).cast("string"))
-    wanted = ["taxonID", "taxonRank", "scientificName", "parentNameUsageID"]
+    lower = filter_rank(ranked, *vocab.INFRASPECIFIC_RANKS).withColumns(epithets)
+    infraspecific = equi_parent(lower, by_epithet, list(epithets))
+    none = F.lit(None).cast("struct<id: string, n: bigint>")
+    orders = filter_rank(ranked, "order").withColumn("_parent", none)
+    wanted = ["taxonID", "taxonRank", "scientificName", "_parent"]
     parts = [orders, families, subfamilies, tribes, genera, species, infraspecific]
-    return union_by_name(*[part.select(*wanted) for part in parts])
+    return union_by_name(*[part.select(*wanted) for part in parts]).select(
+        "taxonID",
+        "taxonRank",
+        "scientificName",
+        F.col("_parent.id").alias("parentNameUsageID"),
+        F.col("_parent.n").alias("n_parents"),
+    )
 
 
 def parent_edges(assigned: DataFrame) -> DataFrame:
@@ -194,8 +212,9 @@ def parent_edges(assigned: DataFrame) -> DataFrame:
 
 def parent_violations(assigned: DataFrame) -> DataFrame:
     """Rows without a parent (orders may have none) and rows with more than one."""
-    from taxaloom.operators.quality import check, rule_predicate, rule_unique
+    from taxaloom.operators.quality import check, rule_predicate
 
+    choices = assigned.groupBy("taxonID").agg(F.sum("n_parents").alias("n_parents"))
     return check(
         [
             rule_predicate(
@@ -204,7 +223,7 @@ def parent_violations(assigned: DataFrame) -> DataFrame:
                 "parent_missing",
                 detail=F.col("scientificName"),
             ),
-            rule_unique(assigned, "taxonID", "ambiguous_parent"),
+            rule_predicate(choices, F.col("n_parents") > 1, "ambiguous_parent", detail=F.col("n_parents")),
         ]
     )
 

@@ -121,6 +121,9 @@ def test_each_broken_rule_is_reported(spark):
         (None, "V", "Zus bus var. cus X."),  # no such species
         ("001.1500", "F", "Baceae X."),
         ("001.1600", "G", "Cus X."),  # inside two bands
+        (None, "S", "Cus dus X."),
+        (None, "S", "Cus dus Y."),
+        (None, "V", "Cus dus var. eus X."),  # its species is listed twice
     )
     assert {
         ("number_not_null", "Aus ante X."),
@@ -131,6 +134,7 @@ def test_each_broken_rule_is_reported(spark):
         ("parent_missing", "Zus X."),
         ("parent_missing", "Zus bus var. cus X."),
         ("ambiguous_parent", "Cus X."),
+        ("ambiguous_parent", "Cus dus var. eus X."),
         ("parentless_accepted_is_order", "Zus X."),
         ("order_not_null", "Zus X."),
     } <= found
