@@ -152,6 +152,17 @@ def inner_join(left: DataFrame, right: DataFrame, on: Keys | str, **options) ->
     return lookup_join(left, right, on, "inner", **options)
 
 
+def one_per_key(df: DataFrame, *keys: str) -> DataFrame:
+    """Smallest row per key, so that a join on the key cannot multiply rows.
+
+    The join needs the same shuffle, and copies are merged before it.
+    """
+    rest = [c for c in df.columns if c not in keys]
+    if not rest:
+        return df.distinct()
+    return df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_row")).select(*keys, "_row.*")
+
+
 def many_to_one(left: DataFrame, right: DataFrame, on: Keys | str, **options) -> tuple[DataFrame, DataFrame]:
     """(left join, violations): the right key must not repeat.
 
@@ -161,12 +172,8 @@ def many_to_one(left: DataFrame, right: DataFrame, on: Keys | str, **options) ->
     from taxaloom.operators.quality import rule_cardinality
 
     keys = [r for _, r in _pairs(on)]
-    rest = [c for c in right.columns if c not in keys]
-    if rest:
-        single = right.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_row")).select(*keys, "_row.*")
-    else:
-        single = right.distinct()
-    return lookup_join(left, single, on, **options), rule_cardinality(right, keys, "right_key_repeats")
+    joined = lookup_join(left, one_per_key(right, *keys), on, **options)
+    return joined, rule_cardinality(right, keys, "right_key_repeats")
 
 
 def one_to_one(left: DataFrame, right: DataFrame, on: Keys | str, **options) -> tuple[DataFrame, DataFrame]:
@@ -201,9 +208,9 @@ def lookup_fill(
 ) -> DataFrame:
     """Fill ``fill_to`` with ``fill_from`` of the row whose ``match_to`` equals ``match_from``.
 
-    Only nulls are filled unless ``overwrite``. ``match_to`` is a unique id.
+    Only nulls are filled unless ``overwrite``. ``match_to`` is an id; if it repeats, the smallest value counts.
     """
-    source = df.select(F.col(match_to).alias("_id"), F.col(fill_from).alias("_found"))
+    source = one_per_key(df.select(F.col(match_to).alias("_id"), F.col(fill_from).alias("_found")), "_id")
     wanted = df if fill_to in df.columns else df.withColumn(fill_to, F.lit(None).cast("string"))
     joined = lookup_join(wanted, source, [(match_from, "_id")], salt_by=[match_to], keys_from=keys_from)
     order = ("_found", fill_to) if overwrite else (fill_to, "_found")

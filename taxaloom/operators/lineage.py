@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from taxaloom import vocab
 from taxaloom.functions.text import first_token, not_in
 from taxaloom.operators.columns import union_by_name
-from taxaloom.operators.joins import lookup_join, semi_join
+from taxaloom.operators.joins import lookup_join, one_per_key, semi_join
 from taxaloom.session import stage
 
 MAX_DEPTH = 8
@@ -47,9 +47,8 @@ def resolve_nodes(
     parents = nodes.select(F.col(parent).alias("_parent")).filter("_parent IS NOT NULL")
     inner = semi_join(nodes, parents, [(id_col, "_parent")], skewed=False)
     own = F.struct(*[F.when(F.col(rank) == r, F.col(name)).alias(r) for r in ranks])
-    known = stage(
-        inner.select(F.col(id_col).alias("_id"), own.alias("_lineage"), F.col(parent).alias("_top")), "lineage"
-    )
+    pointers = inner.select(F.col(id_col).alias("_id"), own.alias("_lineage"), F.col(parent).alias("_top"))
+    known = stage(one_per_key(pointers, "_id"), "lineage")
     for _ in range(math.ceil(math.log2(max(2, max_depth)))):
         above = known.select(
             F.col("_id").alias("_above"), F.col("_lineage").alias("_far"), F.col("_top").alias("_next")
@@ -111,7 +110,7 @@ def attach_lineage(
     full = ancestor_columns(
         df.filter(is_accepted).select(*columns), ranks=ranks, max_depth=max_depth, strip_author=True
     )
-    of_accepted = full.select(F.col("taxonID").alias("_id"), *ranks)
+    of_accepted = one_per_key(full.select(F.col("taxonID").alias("_id"), *ranks), "_id")
     aliases = df.filter(~is_accepted).select(*columns)
     of_aliases = lookup_join(aliases, of_accepted, [("acceptedNameUsageID", "_id")], salt_by=["taxonID"])
     return union_by_name(full, of_aliases)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from taxaloom import vocab
 from taxaloom.functions import text
 from taxaloom.operators.columns import filter_rank
-from taxaloom.operators.joins import lookup_join
+from taxaloom.operators.joins import lookup_join, one_per_key
 from taxaloom.operators.windows import number_rows
 
 NULL_TEXT = "NA"
@@ -57,7 +57,8 @@ def higher_tax_key() -> Column:
 
 def hierarchical_sort(taxa: DataFrame, ranked: DataFrame) -> DataFrame:
     """``taxa`` with ``order_rank``, ``higher_tax`` and ``sort_order`` 1..n down the hierarchy."""
-    joined = lookup_join(taxa, order_ranks(ranked), "order", salt_by=["taxonID"])
+    ranks = one_per_key(order_ranks(ranked), "order")
+    joined = lookup_join(taxa, ranks, "order", salt_by=["taxonID"])
     keyed = joined.withColumn("higher_tax", higher_tax_key())
     return number_rows(keyed, [F.col("higher_tax"), *interleave_order()], "sort_order")
 

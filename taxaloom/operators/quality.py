@@ -128,11 +128,11 @@ def rule_parentless(df: DataFrame) -> DataFrame:
         "parentless_accepted_is_order",
         detail=F.col("taxonRank"),
     )
-    from taxaloom.operators.joins import lookup_join
+    from taxaloom.operators.joins import lookup_join, one_per_key
 
     alias = df.filter(orphan & (F.col("taxonomicStatus") == "synonym")).select("taxonID", "acceptedNameUsageID")
     ranks = df.select(F.col("taxonID").alias("_id"), F.col("taxonRank").alias("_rank"))
-    joined = lookup_join(alias, ranks, [("acceptedNameUsageID", "_id")])
+    joined = lookup_join(alias, one_per_key(ranks, "_id"), [("acceptedNameUsageID", "_id")])
     return accepted.unionByName(
         rule_predicate(
             joined, ~F.col("_rank").eqNullSafe("order"), "parentless_synonym_of_order", detail=F.col("_rank")

@@ -14,7 +14,7 @@ from taxaloom.operators.columns import (
     exclude_incertae,
     null_parent_for_aliases,
 )
-from taxaloom.operators.joins import lookup_fill, lookup_join
+from taxaloom.operators.joins import lookup_fill, lookup_join, one_per_key
 from taxaloom.operators.windows import add_count, first_hit
 
 ANY_GROUP = ""
@@ -79,7 +79,7 @@ def summarise_matches(taxa: DataFrame, results: DataFrame) -> DataFrame:
     Exact full name: keep. Name claimed by several requests: drop. Claimed once: keep.
     """
     own = taxa.select("taxonID", "taxonomicStatus", F.col("scientificName").alias("wf_sci_name"))
-    joined = lookup_join(results, own, "taxonID", "inner", skewed=False)
+    joined = lookup_join(results, one_per_key(own, "taxonID"), "taxonID", "inner", skewed=False)
     counted = add_count(joined, ["name"], "n_ipni_hits", salt_by=["taxonID"], keys_from=results)
     authority_name = F.when(F.col("name").isNotNull(), text.full_name("name", "authors"))
     return counted.withColumn("ipni_sci_name", authority_name).withColumn(
@@ -98,7 +98,8 @@ def replace_names(taxa: DataFrame, summary: DataFrame) -> DataFrame:
         F.col("reference").alias("_reference"),
         text.prefix_url("url").alias("ipniURL"),
     )
-    joined = lookup_join(taxa, kept.withColumn("_kept", F.lit(True)), [("taxonID", "_id")], skewed=False)
+    kept = one_per_key(kept, "_id").withColumn("_kept", F.lit(True))
+    joined = lookup_join(taxa, kept, [("taxonID", "_id")], skewed=False)
     matched = F.col("_kept").isNotNull()
     return joined.withColumns(
         {

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from taxaloom import vocab
 from taxaloom.functions import names
-from taxaloom.operators.joins import lookup_join
+from taxaloom.operators.joins import lookup_join, one_per_key
 from taxaloom.operators.ordering import NULL_TEXT
 
 # Marks of the treatment text.
@@ -70,7 +70,7 @@ def treatment_lines(sorted_taxa: DataFrame) -> DataFrame:
         F.col("sort_order").alias("_part"),
         hard_line(F.concat(F.lit("= "), cited_name())).alias("_line"),
     )
-    places = taxa.select(F.col("taxonID").alias("_id"), "sort_order")
+    places = one_per_key(taxa.select(F.col("taxonID").alias("_id"), "sort_order"), "_id")
     placed = lookup_join(aliases, places, [("taxonID", "_id")])
     synonyms = lines(placed, "synonym", F.col("_line"), F.col("_part"))
     return headers.unionByName(spacers).unionByName(remarks).unionByName(synonyms)
