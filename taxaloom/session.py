@@ -4,9 +4,17 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import warnings
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: folder per application where the session names none (local sessions only)
+_OWN_FOLDERS: dict[str, str] = {}
+#: handles that are recording just now, outermost first
+_RECORDING: list["Staged"] = []
+
 
 def local_session(cores: int | str = 8, app: str = "taxaloom", **conf: str) -> SparkSession:
     """Local session for tests and the bench; a cluster brings its own session."""
@@ -29,15 +37,66 @@ def local_session(cores: int | str = 8, app: str = "taxaloom", **conf: str) -> S
 def scratch_dir(spark: SparkSession) -> str:
     """Shared folder for staged tables: ``spark.checkpoint.dir`` of the session.
 
-    Only a local session without that setting gets a folder of its own.
+    Only a local session without that setting gets a folder of its own, kept for the application's
+    life. On a cluster the setting is required; a path without a scheme, or a ``file:`` path, must
+    be a mount that all executors share, and is warned about.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
+    local = spark.conf.get("spark.master", "").startswith("local")
     if path:
+        if not local and (path.startswith("file:") or "://" not in path):
+            warnings.warn(f"{path}: staged tables need a folder that all executors share", stacklevel=2)
         return path.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not local:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    path = tempfile.mkdtemp(prefix="taxaloom-")
-    spark.conf.set("spark.checkpoint.dir", path)
+    app = spark.sparkContext.applicationId
+    if app not in _OWN_FOLDERS:
+        _OWN_FOLDERS[app] = tempfile.mkdtemp(prefix="taxaloom-")
+    return _OWN_FOLDERS[app]
+
+
+class Staged:
+    """Paths written while a handle records; ``release`` deletes exactly those."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def release(self) -> None:
+        """Delete the written tables. Frames that read them must have been stored before."""
+        for path in self.paths:
+            delete_path(self.spark, path)
+        self.paths = []
+
+
+@contextmanager
+def recording(spark: SparkSession) -> Iterator[Staged]:
+    """Record what is staged inside the block::
+
+        with recording(spark) as staged:
+            plan(...).write.parquet(out)
+        staged.release()
+    """
+    handle = Staged(spark)
+    _RECORDING.append(handle)
+    try:
+        yield handle
+    finally:
+        _RECORDING.remove(handle)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store its path names."""
+    jvm = spark._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def stage_path(spark: SparkSession, tag: str = "stage") -> str:
+    """New path in the shared folder, known to the handles that are recording."""
+    path = f"{scratch_dir(spark)}/taxaloom/{tag}-{uuid.uuid4().hex}"
+    for handle in _RECORDING:
+        handle.paths.append(path)
     return path
 
 
@@ -47,6 +106,7 @@ def stage(df: DataFrame, tag: str = "stage") -> DataFrame:
     One file per task and in task order, so a sorted frame keeps its order in
     (file number, row index).
     """
-    path = f"{scratch_dir(df.sparkSession)}/taxaloom/{tag}-{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    path = stage_path(spark, tag)
     df.write.option("maxRecordsPerFile", 0).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
