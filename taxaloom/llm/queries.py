@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from taxaloom.llm import decontamination, langid, sentencepiece_bpe, sharding
+from taxaloom.llm import decontamination, langid, minhash, sentencepiece_bpe, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -44,6 +44,32 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_bpe.digests(docs, model_file()).drop("text")
 
 
+@query(
+    r"""
+WITH RECURSIVE doc AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\x{20}\x{09}-\x{0D}]+'), lambda x: x <> '') AS w FROM documents),
+shingle AS (
+  SELECT DISTINCT doc_id, list_aggregate(w[i:i + least(len(w), 5) - 1], 'string_agg', ' ') AS s
+  FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 4, 1))) AS i FROM doc WHERE len(w) > 0)),
+size_ AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY 1),
+both_ AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c
+  FROM shingle x JOIN shingle y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY 1, 2),
+link AS (
+  SELECT a, b FROM both_ JOIN size_ p ON p.doc_id = a JOIN size_ q ON q.doc_id = b WHERE 100 * c >= 85 * (p.n + q.n - c)),
+edge AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM doc UNION SELECT r.doc_id, e.b FROM reach r JOIN edge e ON e.a = r.other),
+root AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY 1)
+SELECT doc.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, doc.doc_id = component_id AS kept
+FROM doc LEFT JOIN size_ USING (doc_id) JOIN root USING (doc_id)"""
+)
+def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of every document."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query(
     r"""
 WITH doc AS (
