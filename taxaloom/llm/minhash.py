@@ -63,6 +63,11 @@ class _WordHashes(dict):
 _WORDS = _WordHashes()
 
 
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    """64-bit hashes of words."""
+    return np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
+
+
 def _mixed(h: np.ndarray) -> np.ndarray:
     h = h ^ (h >> np.uint64(33))
     h = h * np.uint64(0xFF51AFD7ED558CCD)
@@ -76,7 +81,7 @@ def shingles(text: bytes | None, size: int = SHINGLE) -> np.ndarray:
     words = text.lower().split() if text else []  # bytes: A-Z only; split at space and \\t..\\r only
     if not words:
         return np.empty(0, np.uint64)
-    hashes = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
+    hashes = word_hashes(words)
     size_ = min(size, len(words))
     n = len(words) - size_ + 1
     total = np.full(n, size_, np.uint64) * _place[63]

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from taxaloom.llm import decontamination, langid, minhash, sentencepiece_bpe, sharding
+from taxaloom.llm import decontamination, importance, langid, licenses, minhash, pivots, sentencepiece_bpe, sharding, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -37,6 +37,15 @@ def model_file() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+@query()
+def op2_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Importance weight and draw of every document; rows labelled as good are the target."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg((F.min("quality") == 1).alias("target"))
+    marked = docs.join(labels, "doc_id", "left").withColumn("target", F.coalesce("target", F.lit(False)))
+    return importance.resample(marked, "target")
+
+
 @query()
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids and decoded text of every document, as digests."""
@@ -109,6 +118,47 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _canonical(text: str) -> str:
+    """SQL for a text in canonical form, lines kept."""
+    sql = f"translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    sql = rf"regexp_replace(replace({sql}, chr(13), chr(10)), '(?m)^[ \t]*(copyright|\(c\)|\x{{00A9}})[^\n]*$', '', 'g')"
+    sql = rf"regexp_replace({sql}, '[^a-z0-9\x{{0080}}-\x{{10FFFF}}\n]+', ' ', 'g')"
+    for old, new in licenses.SPELLINGS:
+        sql = rf"regexp_replace({sql}, '\b{old}\b', '{new}', 'g')"
+    return sql
+
+
+_KNOWN = ", ".join("('{}', '{}')".format(name, text.replace("'", "''")) for name, text in licenses.KNOWN)
+
+
+@query(
+    rf"""
+WITH known AS (
+  SELECT md5(trim(regexp_replace({_canonical("t")}, '[ 
+]+', ' ', 'g'))) AS digest, min(l) AS license
+  FROM (VALUES {_KNOWN}) AS k(l, t) GROUP BY 1),
+doc AS (SELECT doc_id, {_canonical("coalesce(text, '')")} AS lines FROM documents),
+whole AS (SELECT doc_id, md5(trim(regexp_replace(lines, '[ 
+]+', ' ', 'g'))) AS text_digest FROM doc),
+line AS (
+  SELECT doc_id, license FROM (
+    SELECT doc_id, md5(trim(regexp_replace(unnest(string_split(lines, chr(10))), ' +', ' ', 'g'))) AS digest FROM doc)
+  JOIN known USING (digest)),
+lines AS (SELECT doc_id, string_agg(DISTINCT license, ',' ORDER BY license) AS names, count(*) AS n FROM line GROUP BY 1)
+SELECT whole.doc_id, text_digest, license, coalesce(names, '') AS line_licenses, CAST(coalesce(n, 0) AS BIGINT) AS n_lines
+FROM whole LEFT JOIN known ON digest = text_digest LEFT JOIN lines ON lines.doc_id = whole.doc_id"""
+)
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licenses that documents, or lines of theirs, are entirely."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calibrated toxicity score of every document."""
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query()
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from labelled rows outside the held-out fold."""
@@ -119,6 +169,21 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    """
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+link AS (SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y ON x.vec_id <> y.vec_id AND list_cosine_similarity(x.e, y.e) >= 0.9),
+reach(vec_id, other) AS (SELECT vec_id, vec_id FROM v UNION SELECT r.vec_id, l.b FROM reach r JOIN link l ON l.a = r.other),
+root AS (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY 1),
+n AS (SELECT a AS vec_id, count(*) AS n_links FROM link GROUP BY 1)
+SELECT vec_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
+FROM v LEFT JOIN n USING (vec_id) JOIN root USING (vec_id)"""
+)
+def op9_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all embeddings."""
+    return pivots.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @query()
 def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 24 contiguous shards of near-equal bytes."""
