@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from taxaloom.llm.arrow import Work, add_columns, texts
+from taxaloom.llm.components import checked
+from taxaloom.session import stage
 
 UNKNOWN = "und"
 #: characters of labelled text per language
@@ -179,7 +181,7 @@ def labelled_sample(
         "most", F.least(F.lit(1.0), F.lit(2.0 * SAMPLE_ROWS) / F.col("n"))
     )
     unit = (F.pmod(F.col("h"), F.lit(1 << 20)) / float(1 << 20)).alias("unit")
-    near = ids.join(share, "lang").where(unit < F.col("most"))
+    near = ids.join(checked(stage(share, "shares")), "lang").where(unit < F.col("most"))
     first = Window.partitionBy("lang").orderBy("h", "id")
     chosen = near.withColumn("place", F.row_number().over(first)).where(F.col("place") <= SAMPLE_ROWS)
     rows = (

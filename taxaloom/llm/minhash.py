@@ -283,3 +283,20 @@ def _result(sets: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame
     )
     found = found.select("id", "n_shingles", F.coalesce("root", "rep").alias("component_id"))
     return found.withColumn("kept", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents without near-duplicates: of each component the row of the smallest id stays, and of rows
+    that repeat an id the one with the smallest text."""
+    columns = docs.columns
+    found = stage(near_duplicates(docs, id_col, text_col), "found")
+    gone = stage(found.where("not kept").select(id_col).distinct(), "gone")
+    left = docs.join(checked(gone), id_col, "left_anti")
+    several = found.where(F.col("kept") & F.col(id_col).isNotNull()).groupBy(id_col).agg(F.count("*").alias("n")).where("n > 1")
+    several = stage(several.select(id_col), "several")
+    if several.isEmpty():
+        return left.select(columns)
+    small = checked(several)
+    rows = left.join(small, id_col, "left_semi").select(columns)
+    one = rows.groupBy(id_col).agg(F.min_by(F.struct(*columns), text_col).alias("row")).select("row.*")
+    return left.join(small, id_col, "left_anti").select(columns).unionByName(one)

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from taxaloom.llm import decontamination, importance, langid, licenses, minhash, pivots, sentencepiece_bpe, sharding, toxicity
+from taxaloom.llm import decontamination, importance, langid, licenses, minhash, pii, pivots, sentencepiece_bpe, sharding, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -37,6 +37,19 @@ def model_file() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+@query()
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data in every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find(docs, pii.fit(docs))
+    return found.select(
+        "doc_id",
+        *(pii.count(F.col("base"), kind).alias(f"n_{kind}") for kind in pii.KINDS),
+        F.sha2(pii.joined(F.col("base")), 256).alias("base_sha256"),
+        pii.joined(F.col("spans")).alias("spans"),
+    )
+
+
 @query()
 def op2_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Importance weight and draw of every document; rows labelled as good are the target."""
