@@ -10,30 +10,35 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from taxaloom.llm import decontamination, langid, minhash, pii, sentencepiece_bpe
+from taxaloom.llm.arrow import beside
 from taxaloom.llm.queries import model_file, table
 from taxaloom.session import stage
 
+#: columns that the stages read; the others pass beside them
+OWN = ["doc_id", "text"]
+
 
 def known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents whose language can't be told, since they have no text or no letters."""
-    found = langid.identify(docs, langid.labelled_sample(docs))
-    return found.where(F.col("lang_pred") != langid.UNKNOWN).select(docs.columns)
+    samples = langid.labelled_sample(docs)
+    known = F.col("lang_pred") != langid.UNKNOWN
+    return beside(docs, OWN, lambda d: langid.identify(d, samples).where(known))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of near-duplicates."""
-    return minhash.keep_one(docs)
+    return beside(docs, OWN, minhash.keep_one)
 
 
 def contamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents of which a twentieth or more stands in benchmark windows."""
-    scanned = decontamination.scan(docs, table(spark, sf_dir, "benchmark"))
-    return scanned.where(~decontamination.contaminated()).select(docs.columns)
+    benchmark = table(spark, sf_dir, "benchmark")
+    return beside(docs, OWN, lambda d: decontamination.scan(d, benchmark).where(~decontamination.contaminated()))
 
 
 def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Write the kind of personal data in its place."""
-    return pii.redact(docs, pii.fit(docs))
+    return beside(docs, OWN, lambda d: pii.redact(d, pii.fit(d)))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -62,3 +62,10 @@ def add_columns(df: DataFrame, text_col: str, added: str, make: Callable[[], Wor
                 yield pa.RecordBatch.from_arrays(batch.columns + extra, names=batch.schema.names + fields.names)
 
     return df.mapInArrow(run, schema)
+
+
+def beside(docs: DataFrame, own: list[str], work: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Apply ``work`` while all columns but ``own`` have names that no operator uses, and give the columns back."""
+    names = docs.columns
+    hidden = docs.toDF(*(c if c in own else f"_beside_{i}" for i, c in enumerate(names)))
+    return work(hidden).select(hidden.columns).toDF(*names)
