@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -69,3 +70,42 @@ def beside(docs: DataFrame, own: list[str], work: Callable[[DataFrame], DataFram
     names = docs.columns
     hidden = docs.toDF(*(c if c in own else f"_beside_{i}" for i, c in enumerate(names)))
     return work(hidden).select(hidden.columns).toDF(*names)
+
+
+def whole_cells(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, list[tuple[int, int]]]]:
+    """Tables with whole cells, and the row range of each cell; rows come sorted by the cells' keys.
+
+    A cell that goes on in the next batch is held back until it is complete.
+    """
+
+    def edges(table: pa.Table | pa.RecordBatch) -> np.ndarray:
+        change = np.zeros(max(0, table.num_rows - 1), bool)
+        for k in keys:
+            change |= np.diff(table.column(k).to_numpy()) != 0
+        return np.flatnonzero(change) + 1
+
+    held: list[pa.RecordBatch] = []
+
+    def complete() -> Iterator[tuple[pa.Table, list[tuple[int, int]]]]:
+        if held:
+            table = pa.Table.from_batches(held).combine_chunks()
+            cuts = [0, *edges(table).tolist(), table.num_rows]
+            yield table, list(zip(cuts[:-1], cuts[1:], strict=True))
+
+    def last(batch: pa.RecordBatch, row: int) -> tuple:
+        return tuple(batch.column(k)[row].as_py() for k in keys)
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        inner = edges(batch)
+        if len(inner):
+            held.append(batch.slice(0, int(inner[-1])))
+            yield from complete()
+            held = [batch.slice(int(inner[-1]))]
+        elif held and last(held[-1], -1) != last(batch, 0):
+            yield from complete()
+            held = [batch]
+        else:
+            held.append(batch)
+    yield from complete()

@@ -3,10 +3,10 @@
 1. Every text becomes the set of its 64-bit shingle hashes; texts with equal sets (by a 128-bit digest)
    are one class, and only the class's smallest id goes on.
 2. Signatures are cut into bands; representatives that agree on a band share a bucket.
-3. First every representative is compared with the smallest one of all its buckets. Then, in rounds,
-   each bucket that still holds several components compares members outside its largest component
-   with the members of other components, a few at a time, until no such pair is left. So no bucket
-   is paired with itself, and no link between components is lost.
+3. First every representative is compared with the smallest one of all its buckets, which leaves most
+   buckets with one component. In the others, members outside the largest component are compared with all members
+   of other components, in blocks of at most ``BLOCK`` texts. Pairs never leave a block, only links between
+   components do. So no bucket is paired with itself, and no link between components is lost.
 4. A pair is pruned when, after a batch of signature rows, the posterior probability (uniform prior) that the
    similarity reaches the threshold falls below ``MISS``. Survivors are verified on their full sets.
 
@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from taxaloom.llm.arrow import Work, add_columns, utf8
+from taxaloom.llm.arrow import Work, add_columns, utf8, whole_cells
 from taxaloom.llm.components import checked, components
 from taxaloom.session import stage
 
@@ -41,8 +41,10 @@ HASHES = BANDS * BAND_ROWS
 BATCH = 36
 #: chance, per look, to lose a pair at the threshold
 MISS = 1e-6
-#: members of a bucket that are compared with all others in the first round
-CENTRES = 16
+#: texts, and shingles of all texts, in one block of a bucket
+BLOCK, BLOCK_SHINGLES = 512, 1_000_000
+#: pairs of a block from which on shared shingles are counted by a matrix product
+PAIRS = 400
 #: words whose hash a Python worker remembers
 CACHE_WORDS = 500_000
 
@@ -208,10 +210,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = stage(linkable.groupBy("digest").agg(F.min("id").alias("rep")), "classes")
     # buckets of representatives; those with one member are dropped
     reps = linkable.join(classes, "digest").where("id = rep").dropDuplicates(["digest"])
-    reps = stage(reps.select("id", "sig", "bands"), "reps")
-    banded = reps.select("id", F.explode("bands").alias("bucket"))
+    reps = stage(reps.select("id", F.col("n_shingles").alias("n"), "sig", "bands"), "reps")
+    banded = reps.select("id", "n", F.explode("bands").alias("bucket"))
     shared = banded.groupBy("bucket").agg(F.min("id").alias("centre"), F.max("id").alias("last")).where("centre < last")
-    members = stage(banded.join(shared, "bucket").select("bucket", "id", "centre"), "members")
+    members = stage(banded.join(shared, "bucket").select("bucket", "id", "n", "centre"), "members")
     candidates = stage(members.select("id").distinct(), "candidates")
     small = checked(candidates)
     sigs = stage(reps.join(small, "id", "left_semi").select("id", "sig"), "sigs")
@@ -226,52 +228,133 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     several = own.groupBy("id").agg(F.min("rep").alias("a"), F.max("rep").alias("last")).where("a < last")
     same = own.join(several.select("id", "a"), "id").select("a", F.col("rep").alias("b"))
     labels = components(found.unionByName(same))
-    centres = CENTRES
-    open_ = members.select("bucket", "id").withColumn("done", F.lit(False))
-    while True:
-        now = stage(
-            open_.join(labels.select(F.col("node").alias("id"), "root"), "id", "left").select(
-                "bucket", "id", "done", F.coalesce("root", "id").alias("comp")
-            ),
-            "open",
-        )
-        # a bucket is settled when its members that weren't compared with all others are one component
-        sizes = now.where(~F.col("done")).groupBy("bucket", "comp").agg(F.count("*").alias("n"))
-        mixed = sizes.groupBy("bucket").agg(
-            F.count("*").alias("parts"), F.sum("n").alias("all"), F.max(F.struct("n", "comp")).alias("largest")
-        )
-        mixed = stage(
-            mixed.where("parts > 1").select("bucket", "largest.comp", (F.col("all") - F.col("largest.n")).alias("others")),
-            "mixed",
-        )
-        if mixed.isEmpty():
-            break
-        rows_ = now.join(mixed.select("bucket", F.col("comp").alias("largest"), "others"), "bucket")
-        unit = F.pmod(F.xxhash64("bucket", "id", F.lit(centres)), F.col("others"))
-        rows_ = stage(
-            rows_.withColumn("centre", ~F.col("done") & (F.col("comp") != F.col("largest")) & (unit < centres)), "rows"
-        )
-        chosen = rows_.where("centre").select("bucket", F.col("id").alias("b"), F.col("comp").alias("comp_b"))
-        pairs = (
-            rows_.where(~F.col("done"))
-            .join(chosen, "bucket")
-            .where("comp <> comp_b")
-            .select(F.greatest("id", "b").alias("a"), F.least("id", "b").alias("b"))
-            .distinct()
-        )
-        found = _links(stage(pairs, "pairs"), sigs, texts)
-        open_ = rows_.select("bucket", "id", (F.col("done") | F.col("centre")).alias("done"))
-        labels = _relabelled(labels, found)
-        centres *= 2
+
+    # buckets that hold several components
+    now = stage(
+        members.join(labels.select(F.col("node").alias("id"), "root"), "id", "left").select(
+            "bucket", "id", "n", F.coalesce("root", "id").alias("comp")
+        ),
+        "open",
+    )
+    sizes = now.groupBy("bucket", "comp").agg(F.count("*").alias("rows"), F.sum("n").alias("n"))
+    mixed = sizes.groupBy("bucket").agg(
+        F.count("*").alias("parts"), F.sum("rows").alias("rows"), F.sum("n").alias("n"), F.max(F.struct("rows", "n", "comp")).alias("top")
+    )
+    blocks = lambda rows, n: F.greatest(F.ceil(rows / BLOCK), F.ceil(n / BLOCK_SHINGLES), F.lit(1)).cast("int")
+    mixed = mixed.where("parts > 1").select(
+        "bucket",
+        F.col("top.comp").alias("largest"),
+        blocks(F.col("rows") - F.col("top.rows"), F.col("n") - F.col("top.n")).alias("others"),
+        blocks(F.col("top.rows"), F.col("top.n")).alias("major"),
+    )
+    open_ = now.join(mixed, "bucket")
+    # blocks 0 .. others - 1 hold members outside the largest component, the next ones its members
+    outside = F.col("comp") != F.col("largest")
+    block = F.when(outside, F.pmod(F.xxhash64("id"), F.col("others"))).otherwise(
+        F.col("others") + F.pmod(F.xxhash64("id"), F.col("major"))
+    )
+    partners = F.sequence(F.lit(0), F.when(outside, F.col("others") + F.col("major") - 1).otherwise(F.col("others") - 1))
+    cells = open_.withColumn("block", block.cast("int")).withColumn("other", F.explode(partners))
+    cells = stage(
+        cells.select("bucket", "id", "comp", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")),
+        "cells",
+    )
+    if not cells.isEmpty():
+        linked = stage(_cell_links(cells, sigs, texts), "links")
+        if not linked.isEmpty():
+            known = labels.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
+            labels = components(known.unionByName(linked))
     return _result(sets, classes, labels).withColumnRenamed("id", id_col)
 
 
-def _relabelled(labels: DataFrame, found: DataFrame) -> DataFrame:
-    """Labels after new links: components of the links and of the labels so far."""
-    if found.isEmpty():
-        return labels
-    known = labels.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
-    return components(known.unionByName(found.select("a", "b")))
+def _cell_links(cells: DataFrame, sigs: DataFrame, texts: DataFrame) -> DataFrame:
+    """(a, b): links between components that members of a cell's two blocks have."""
+    looks = fewest_matches()
+
+    def run(batches):
+        for whole, ranges in whole_cells(batches, ["bucket", "i", "j"]):
+            i, j, block, comp, ids = (whole[c].to_numpy() for c in ("i", "j", "block", "comp", "id"))
+            sig = np.frombuffer(b"".join(whole["sig"].to_pylist()), np.uint16).reshape(-1, HASHES)
+            found: dict = {}  # shingles of the texts that a survivor needs
+            raw = whole["text"].cast(pa.binary())
+
+            def of(row: int, found=found, raw=raw) -> np.ndarray:
+                if row not in found:
+                    found[row] = shingles(raw[row].as_py())
+                return found[row]
+
+            out: tuple[list, list] = ([], [])
+            for s, e in ranges:
+                found.clear()
+                left = np.flatnonzero(block[s:e] == i[s]) + s
+                right = left if i[s] == j[s] else np.flatnonzero(block[s:e] == j[s]) + s
+                for a, b in _verified_pairs(left, right, comp, ids, sig, of, looks):
+                    out[0].append(int(comp[a]))
+                    out[1].append(int(comp[b]))
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], names=["a", "b"])
+
+    wide = cells.join(sigs, "id").join(texts, "id").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    columns = ["bucket", "i", "j", "block", "comp", "id", "sig", "text"]
+    return wide.select(*columns).mapInArrow(run, "a long, b long").distinct()
+
+
+def _verified_pairs(left, right, comp, ids, sig, of, looks):
+    """Pairs of rows of different components that are similar enough: the first of every pair of components
+    that is not connected by earlier ones of this cell."""
+    if not len(left) or not len(right):
+        return
+    alive = comp[left][:, None] != comp[right][None, :]
+    if right is left:
+        alive &= ids[left][:, None] < ids[right][None, :]
+    p, q = np.nonzero(alive)
+    x, y = left[p], right[q]
+    matches, done = np.zeros(len(x), np.int64), 0
+    for n, fewest in looks:
+        for k in range(0, len(x), 100_000):  # so many pairs at once
+            part = slice(k, k + 100_000)
+            matches[part] += (sig[x[part], done:n] == sig[y[part], done:n]).sum(1)
+        keep = matches >= fewest
+        x, y, matches, done = x[keep], y[keep], matches[keep], n
+    if not len(x):
+        return
+    order = np.argsort(-matches, kind="stable")  # likely links first, so that later pairs are connected already
+    x, y = x[order], y[order]
+    root: dict[int, int] = {}
+
+    def find(c: int) -> int:
+        while root.get(c, c) != c:
+            c = root[c]
+        return c
+
+    shared = _shared_counts(x, y, of) if len(x) > PAIRS else None
+    for k, (a, b) in enumerate(zip(x.tolist(), y.tolist(), strict=True)):
+        ca, cb = find(int(comp[a])), find(int(comp[b]))
+        if ca == cb:
+            continue
+        common = len(np.intersect1d(of(a), of(b), assume_unique=True)) if shared is None else int(shared[k])
+        if 100 * common >= PERCENT * (len(of(a)) + len(of(b)) - common):
+            root[max(ca, cb)] = min(ca, cb)
+            yield a, b
+
+
+def _shared_counts(x: np.ndarray, y: np.ndarray, of) -> np.ndarray:
+    """Number of shared shingles of each pair of rows, from products of incidence matrices of columns in turn."""
+    rows = np.unique(np.concatenate((x, y)))
+    at = {int(r): k for k, r in enumerate(rows)}
+    sets = [of(int(r)) for r in rows]
+    owner = np.repeat(np.arange(len(rows)), [len(s) for s in sets])
+    values, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    several = times > 1  # a shingle of one text is shared by none
+    number = np.cumsum(several) - 1
+    kept = several[column]
+    owner, column = owner[kept], number[column[kept]]
+    product = np.zeros((len(rows), len(rows)), np.float32)
+    for start in range(0, int(several.sum()), 8_192):
+        part = (column >= start) & (column < start + 8_192)
+        marks = np.zeros((len(rows), 8_192), np.float32)
+        marks[owner[part], column[part] - start] = 1
+        product += marks @ marks.T
+    return product[[at[int(r)] for r in x], [at[int(r)] for r in y]]
 
 
 def _result(sets: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:

@@ -27,6 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from taxaloom.llm.arrow import whole_cells
 from taxaloom.llm.components import components
 from taxaloom.session import stage
 
@@ -138,54 +139,27 @@ def _verified(pivots_of_list: list[int], units: np.ndarray, prefixes: list, rep:
 def _verify(cells: DataFrame, cosine: float) -> DataFrame:
     """Links per vector and cell. Rows come sorted, so a cell is a run of rows."""
 
-    def flush(rows: list[pa.RecordBatch]):
-        if not rows:
-            return [], [], []
-        whole = pa.Table.from_batches(rows).combine_chunks()
-        key, i, j = (whole[c].to_numpy() for c in ("key", "i", "j"))
-        starts = np.flatnonzero(np.concatenate(([True], (np.diff(key) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0))))
-        ends = np.append(starts[1:], len(key))
-        rep, weight, own = (whole[c].to_numpy() for c in ("rep", "weight", "own"))
-        column, prefixes = whole["embedding"].combine_chunks(), whole["prefix"].to_pylist()
-        column = column.chunk(0) if isinstance(column, pa.ChunkedArray) else column
-        units: list = [None] * len(key)
-        for length, at in _by_length(column).items():
-            for row, values in zip(at.tolist(), unit(_matrix(column, at, length)), strict=True):
-                units[row] = values
-        out = ([], [], [])
-        for s, e in zip(starts.tolist(), ends.tolist(), strict=True):
-            if e - s < 2:
-                continue
-            left = own[s:e] == i[s]
-            if i[s] != j[s] and (left.all() or not left.any()):
-                continue
-            found = _verified(_subset(int(key[s])), np.stack(units[s:e]), prefixes[s:e], rep[s:e], weight[s:e], left, cosine)
-            for row, links, root in found:
-                out[0].append(rep[s + row])
-                out[1].append(links)
-                out[2].append(root)
-        return out
-
     def run(batches):
-        names = ["rep", "links", "root"]
-        held: list[pa.RecordBatch] = []
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            # all but the last cell of the batch are complete
-            key, i, j = (batch[c].to_numpy() for c in ("key", "i", "j"))
-            same = (key == key[-1]) & (i == i[-1]) & (j == j[-1])
-            cut = int(np.argmax(same))
-            if cut:
-                held.append(batch.slice(0, cut))
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in flush(held)], names=names)
-                held = [batch.slice(cut)]
-            elif held and (held[-1]["key"][-1].as_py(), held[-1]["i"][-1].as_py(), held[-1]["j"][-1].as_py()) != (key[0], i[0], j[0]):
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in flush(held)], names=names)
-                held = [batch]
-            else:
-                held.append(batch)
-        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in flush(held)], names=names)
+        for whole, cells_ in whole_cells(batches, ["key", "i", "j"]):
+            key, i, j, rep, weight, own = (whole[c].to_numpy() for c in ("key", "i", "j", "rep", "weight", "own"))
+            prefixes = whole["prefix"].to_pylist()
+            column = whole["embedding"].combine_chunks()
+            column = column.chunk(0) if isinstance(column, pa.ChunkedArray) else column
+            units: list = [None] * len(key)
+            for length, at in _by_length(column).items():
+                for row, values in zip(at.tolist(), unit(_matrix(column, at, length)), strict=True):
+                    units[row] = values
+            out: tuple[list, list, list] = ([], [], [])
+            for s, e in cells_:
+                left = own[s:e] == i[s]
+                if e - s < 2 or (i[s] != j[s] and (left.all() or not left.any())):
+                    continue
+                found = _verified(_subset(int(key[s])), np.stack(units[s:e]), prefixes[s:e], rep[s:e], weight[s:e], left, cosine)
+                for row, links, root in found:
+                    out[0].append(rep[s + row])
+                    out[1].append(links)
+                    out[2].append(root)
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], names=["rep", "links", "root"])
 
     return cells.mapInArrow(run, "rep long, links long, root long")
 
