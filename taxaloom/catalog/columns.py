@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from taxaloom.catalog.registry import query, table
 from taxaloom.functions import text
-from taxaloom.operators import columns, joins, quality, summary
+from taxaloom.operators import columns, quality, summary
 
 # type of a part -> rank code, to run the rank operators on the part table
 TYPE_CODES = {"ECONOMY": "O", "STANDARD": "F", "SMALL": "SF", "MEDIUM": "G", "LARGE": "S", "PROMO": "V"}
@@ -123,11 +123,8 @@ def null_parent_for_aliases(spark, sf_dir):
 def count_and_sum(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem")
     keys = ["l_returnflag", "l_linestatus"]
-    counted = summary.count_by(lines, *keys)
     open_line = F.when(F.col("l_linestatus") == "O", F.col("l_linenumber"))
-    total = summary.sum_by(lines, open_line, *keys, name="open_lines")
-    # one row per flag and status
-    return joins.lookup_join(counted, total, keys, skewed=False)
+    return summary.count_and_sum_by(lines, open_line, *keys, name="open_lines")
 
 
 @query(
@@ -146,16 +143,21 @@ def count_and_sum(spark, sf_dir):
 def quality_report(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem")
     fulfilled = table(spark, sf_dir, "orders").filter("o_orderstatus = 'F'")
-    numbered = lines.withColumn("number", F.nullif("l_linenumber", F.lit(3)))
     key = "l_orderkey"
+    missing = F.nullif("l_linenumber", F.lit(3)).isNull()
     return quality.count_violations(
         quality.check(
             [
                 quality.rule_unique_rows(lines, ["l_orderkey", "l_linenumber"], "line_key_unique"),
-                quality.rule_not_null(numbered, "number", key, "key_not_null"),
-                quality.rule_in_values(lines, "l_returnflag", ["A", "N"], key, "flag_in_values"),
+                quality.row_rules(
+                    lines,
+                    [
+                        quality.predicate(missing, "key_not_null", key),
+                        quality.in_values("l_returnflag", ["A", "N"], key, "flag_in_values"),
+                        quality.predicate(F.col("l_discount") < F.col("l_tax"), "discount_below_tax", key),
+                    ],
+                ),
                 quality.rule_membership(lines, "l_orderkey", fulfilled, "o_orderkey", "l_partkey", "order_resolves"),
-                quality.rule_predicate(lines, F.col("l_discount") < F.col("l_tax"), "discount_below_tax", key),
                 quality.rule_cardinality(lines, ["l_partkey"], "one_order_per_part"),
             ]
         )

@@ -39,7 +39,7 @@ def range_parent(spark, sf_dir):
 def open_interval_parent(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
     starts = events.filter("event_type = 'signup'").select("user_id", F.col("event_id").alias("start"))
-    bands = windows.next_start_interval(starts, "start", "start", ["user_id"])
+    bands = windows.next_start_interval(starts, "start", "start", ["user_id"], dense=True)
     bands = bands.withColumn("end", F.col("end") + 1).withColumn("parent", F.col("start"))
     found = joins.interval_join(
         events.select("event_id", "user_id"), bands, "event_id", "event_id", on=["user_id"]

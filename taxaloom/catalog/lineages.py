@@ -200,7 +200,7 @@ SORTED_SQL = (
       FROM chain GROUP BY id),
     keyed AS (
       SELECT t.*, a.name AS accepted_name,
-             concat_ws(' | ', lpad(CAST(r_regionkey * 5 + 1 AS VARCHAR), 2, '0'),
+             concat_ws(' | ', coalesce(lpad(CAST(r_regionkey * 5 + 1 AS VARCHAR), 2, '0'), 'NA'),
                coalesce(CASE WHEN t.rank = 'order' THEN '0' WHEN t.rank IS NOT NULL THEN '1' END, 'NA'), coalesce(family, 'NA'),
                coalesce(CASE WHEN t.rank = 'family' THEN '0' WHEN t.rank IS NOT NULL THEN '1' END, 'NA'), coalesce(subfamily, 'NA'),
                coalesce(CASE WHEN t.rank = 'subfamily' THEN '0' WHEN t.rank IS NOT NULL THEN '1' END, 'NA'), 'NA',

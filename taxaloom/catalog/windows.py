@@ -48,7 +48,7 @@ def _purchases(spark, sf_dir):
 )
 def next_start_intervals(spark, sf_dir):
     starts = table(spark, sf_dir, "events").select("user_id", "event_type", F.col("event_id").alias("start"))
-    return windows.next_start_interval(starts, "start", "start", ["user_id", "event_type"])
+    return windows.next_start_interval(starts, "start", "start", ["user_id", "event_type"], dense=True)
 
 
 @query(

@@ -1,11 +1,12 @@
 """Joins that stay balanced when one key holds a large share of the rows.
 
-``lookup_join`` is the one equi join of the package. The left side may be
-skewed: keys that hold more than 1/128 of its rows are found in one pass over
-the key columns, and only those are salted, so the right side is copied for at
-most a few hundred keys. Below that share adaptive skew handling splits what is
-left. No side is broadcast by hint unless its size has a fixed bound; Spark
-still broadcasts sides that its own statistics show to be small.
+``lookup_join`` is the one equi join of the package. Where the caller names a
+stored table that holds the left keys (``keys_from``), keys with more than 1/128
+of its rows are found in one narrow pass over it, and only those are salted, so
+the right side is copied for at most a few hundred keys. Elsewhere adaptive skew
+handling splits large partitions: the left side is never evaluated just to look
+for hot keys. No side is broadcast by hint unless its size has a fixed bound;
+Spark still broadcasts sides that its own statistics show to be small.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ SKETCH_GROUPS = 512
 Keys = Sequence["str | tuple[str, str]"]
 
 
-def _pairs(on: Keys | str) -> list[tuple[str, str]]:
+def key_pairs(on: Keys | str) -> list[tuple[str, str]]:
     on = [on] if isinstance(on, str) else on
     return [(k, k) if isinstance(k, str) else tuple(k) for k in on]
 
@@ -97,14 +98,14 @@ def lookup_join(
 
     ``on``: names, or (left name, right name) pairs; right keys are dropped.
     ``residual``: further condition on columns of both sides.
+    ``keys_from``: stored frame with the same left keys, to look for hot ones.
     ``skewed=False``: the key is unique on the left, so there is nothing to salt.
-    ``keys_from``: cheaper frame with the same left keys, to look for hot ones.
     ``salt_by``: left columns that tell rows of one key apart (default: all).
     ``bounded=True``: the size of ``right`` has a fixed bound; it is broadcast.
     """
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join: {how}")
-    pairs = _pairs(on)
+    pairs = key_pairs(on)
     renamed = {r: f"_right_{i}" for i, (_, r) in enumerate(pairs)}
     target = right.select(
         *[F.col(r).alias(n) for r, n in renamed.items()],
@@ -123,7 +124,7 @@ def lookup_join(
     if bounded:
         return left.join(F.broadcast(target), condition, how).drop(*renamed.values())
     left_hash, right_hash = _key_hashes(left, target, [(l, renamed[r]) for l, r in pairs])
-    hot = hot_hashes(keys_from if keys_from is not None else left, left_hash) if skewed else []
+    hot = hot_hashes(keys_from, left_hash) if skewed and keys_from is not None else []
     if not hot:
         return left.join(target, condition, how).drop(*renamed.values())
     salts = _salts(left)
@@ -171,7 +172,7 @@ def many_to_one(left: DataFrame, right: DataFrame, on: Keys | str, **options) ->
     """
     from taxaloom.operators.quality import rule_cardinality
 
-    keys = [r for _, r in _pairs(on)]
+    keys = [r for _, r in key_pairs(on)]
     joined = lookup_join(left, one_per_key(right, *keys), on, **options)
     return joined, rule_cardinality(right, keys, "right_key_repeats")
 
@@ -181,7 +182,7 @@ def one_to_one(left: DataFrame, right: DataFrame, on: Keys | str, **options) ->
     from taxaloom.operators.quality import rule_cardinality
 
     joined, violations = many_to_one(left, right, on, **options)
-    left_keys = [l for l, _ in _pairs(on)]
+    left_keys = [l for l, _ in key_pairs(on)]
     return joined, violations.unionByName(rule_cardinality(left, left_keys, "left_key_repeats"))
 
 
@@ -229,13 +230,19 @@ def parent_for_alias(
 
 # --- interval joins -------------------------------------------------------
 
-_OPEN_LEVEL = 63
+# band sizes are powers of two; bands of 2^62 and more, and open ones, share one cell per key
+_OPEN_LEVEL = 9_999
+_LARGEST_LEVEL, _SMALLEST_LEVEL = 62, -1_022
 
 
 def _level(start: Column, end: Column) -> Column:
-    width = F.greatest(end - start, F.lit(1.0))
-    exact = F.least(F.ceil(F.log2(width)), F.lit(62)).cast("int")
-    return F.when(width == float("inf"), F.lit(_OPEN_LEVEL)).otherwise(exact)
+    """Power of two that a band fits in, but not below what a double tells apart at its place."""
+    place = F.greatest(F.abs(start), F.abs(end))
+    finest = F.when(place > 0, F.floor(F.log2(place)) - 51).otherwise(_SMALLEST_LEVEL)
+    width = end - start
+    exact = F.when(width > 0, F.ceil(F.log2(width))).otherwise(_SMALLEST_LEVEL)
+    level = F.greatest(exact, finest, F.lit(_SMALLEST_LEVEL)).cast("int")
+    return F.when(width >= float(2**_LARGEST_LEVEL), F.lit(_OPEN_LEVEL)).otherwise(level)
 
 
 def _cell(value: Column, level: Column) -> Column:
@@ -256,35 +263,29 @@ def interval_join(
 ) -> DataFrame:
     """Bands that hold ``point``: ``start <= point < end`` (``<=`` when ``closed``).
 
-    A band of width up to 2^k is filed in the at most three cells of that size
-    it touches, and a point looks into one cell per band size, so the join is an
-    equi join on (keys, size, cell) and never compares all pairs of a key. The
-    sizes in use, at most 64, are read first. ``id_col`` is unique in ``points``.
+    A band is filed in the at most three cells of its own size that it touches, whatever that size is, and a
+    point looks into one cell per band size in use, so the join is an equi join on (keys, size, cell) and
+    never compares all pairs of a key. The sizes in use are read first. Matching runs over (id, point, keys)
+    only, each different one once, and is joined back, so rows that repeat an id keep their own matches.
+    Cells with very many points are left to adaptive skew handling, which copies no bands.
     """
     low, high, at = F.col(start).cast("double"), F.col(end).cast("double"), F.col(point).cast("double")
-    pairs = _pairs(on)
-    level = _level(low, high)
-    cells = F.when(level == _OPEN_LEVEL, F.array(F.lit(0).cast("long"))).otherwise(
-        F.sequence(_cell(low, level), _cell(high, level))
-    )
-    filed = (
-        bands.filter(low.isNotNull() & (high >= low))
-        .withColumn("_level", level)
-        .withColumn("_cell", F.explode(cells))
-    )
-    levels = sorted(
-        r[0] for r in bands.filter(low.isNotNull() & (high >= low)).select(level).distinct().collect()
+    pairs = key_pairs(on)
+    sound = bands.filter(low.isNotNull() & (high >= low))
+    filed = sound.withColumn("_level", _level(low, high)).withColumn(
+        "_cell", F.explode(F.sequence(_cell(low, F.col("_level")), _cell(high, F.col("_level"))))
     )
+    levels = sorted(r[0] for r in sound.select(_level(low, high)).distinct().collect())
     inside = (low <= at) & ((at <= high) if closed else (at < high))
-    keys = [*pairs, ("_level", "_level"), ("_cell", "_cell")]
-    probe_level = F.explode(F.array(*[F.lit(n) for n in levels or [0]]))
-    probes = points.withColumn("_level", probe_level).withColumn("_cell", _cell(at, F.col("_level")))
-    if len(levels) <= 1 or how == "inner":
-        return lookup_join(probes, filed, keys, how, residual=inside, salt_by=[id_col]).drop("_level", "_cell")
-    # several band sizes: match first, then attach, so that a miss gives one row only
     needed = list(dict.fromkeys([id_col, point, *[l for l, _ in pairs]]))
     band_columns = [c for c in bands.columns if c not in {r for _, r in pairs}]
-    matched = lookup_join(
-        probes.select(*needed, "_level", "_cell"), filed, keys, "inner", residual=inside, salt_by=[id_col]
-    ).select(F.col(id_col).alias("_point_id"), *band_columns)
-    return points.join(matched, F.col(id_col) == F.col("_point_id"), "left").drop("_point_id")
+    asked = points.select(*needed).filter(at.isNotNull() & ~F.isnan(at)).distinct()
+    probes = asked.withColumn("_level", F.explode(F.array(*[F.lit(n) for n in levels or [0]]))).withColumn(
+        "_cell", _cell(at, F.col("_level"))
+    )
+    keys = [*pairs, ("_level", "_level"), ("_cell", "_cell")]
+    matched = lookup_join(probes, filed, keys, "inner", residual=inside).select(
+        *[F.col(c).alias(f"_point_{i}") for i, c in enumerate(needed)], *band_columns
+    )
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_point_{i}")) for i, c in enumerate(needed)])
+    return points.join(matched, same, how).drop(*[f"_point_{i}" for i in range(len(needed))])

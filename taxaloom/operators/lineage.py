@@ -10,12 +10,9 @@ from pyspark.sql import functions as F
 
 from taxaloom import vocab
 from taxaloom.functions.text import first_token, not_in
-from taxaloom.operators.columns import union_by_name
 from taxaloom.operators.joins import lookup_join, one_per_key, semi_join
 from taxaloom.session import stage
 
-MAX_DEPTH = 8
-
 
 def pivot_wider_rank(
     df: DataFrame, id_col: str, rank: str, value: str, ranks: Sequence[str] = vocab.LINEAGE_RANKS
@@ -36,24 +33,29 @@ def _merged(near: str, far: str, ranks: Sequence[str]) -> Column:
 
 
 def resolve_nodes(
-    nodes: DataFrame, id_col: str, parent: str, rank: str, name: str, ranks: Sequence[str], max_depth: int = MAX_DEPTH
+    nodes: DataFrame, id_col: str, parent: str, rank: str, name: str, ranks: Sequence[str]
 ) -> DataFrame:
-    """(_id, _lineage, _top) of the nodes that have children.
+    """(_id, _lineage, _top) of the nodes that have children, written once.
 
-    Pointer doubling: each round joins the table with itself and doubles the
-    number of levels known, so depth 8 takes three joins over inner nodes only.
-    ``_top`` is the pointer that is still open after ``max_depth`` levels.
+    Pointer doubling: each round joins the table with itself and doubles the number of levels known.
+    Rounds go on until no pointer is open, however deep the tree is. After ``log2`` of the number of inner
+    nodes, plus one, only circles can be open: they keep their ``_top`` (see ``circle_violations``).
     """
     parents = nodes.select(F.col(parent).alias("_parent")).filter("_parent IS NOT NULL")
     inner = semi_join(nodes, parents, [(id_col, "_parent")], skewed=False)
     own = F.struct(*[F.when(F.col(rank) == r, F.col(name)).alias(r) for r in ranks])
     pointers = inner.select(F.col(id_col).alias("_id"), own.alias("_lineage"), F.col(parent).alias("_top"))
     known = stage(one_per_key(pointers, "_id"), "lineage")
-    for _ in range(math.ceil(math.log2(max(2, max_depth)))):
+    rounds = 0
+    while True:
+        n, still_open = known.agg(F.count(F.lit(1)), F.count("_top")).first()
+        if not still_open or rounds > math.ceil(math.log2(max(2, n))):
+            return known
+        rounds += 1
         above = known.select(
             F.col("_id").alias("_above"), F.col("_lineage").alias("_far"), F.col("_top").alias("_next")
         )
-        joined = lookup_join(known, above, [("_top", "_above")], salt_by=["_id"])
+        joined = lookup_join(known, above, [("_top", "_above")], salt_by=["_id"], keys_from=known)
         known = stage(
             joined.select(
                 "_id",
@@ -63,7 +65,6 @@ def resolve_nodes(
             ),
             "lineage",
         )
-    return known
 
 
 def ancestor_columns(
@@ -73,12 +74,15 @@ def ancestor_columns(
     rank: str = "taxonRank",
     name: str = "scientificName",
     ranks: Sequence[str] = vocab.LINEAGE_RANKS,
-    max_depth: int = MAX_DEPTH,
     strip_author: bool = False,
+    resolved: DataFrame | None = None,
 ) -> DataFrame:
-    """``df`` with one column per rank, filled from the chain of parents and the row itself."""
-    nodes = df.select(id_col, parent, rank, name)
-    resolved = resolve_nodes(nodes, id_col, parent, rank, name, ranks, max_depth)
+    """``df`` with one column per rank, filled from the chain of parents and the row itself.
+
+    ``resolved``: result of ``resolve_nodes`` over the same nodes, if it is known already.
+    """
+    if resolved is None:
+        resolved = resolve_nodes(df.select(id_col, parent, rank, name), id_col, parent, rank, name, ranks)
     up = resolved.select(F.col("_id").alias("_up"), F.col("_lineage").alias("_far"))
     joined = lookup_join(df.drop(*ranks), up, [(parent, "_up")], salt_by=[id_col])
     value = first_token if strip_author else F.col
@@ -87,33 +91,41 @@ def ancestor_columns(
     return wide.withColumns({r: value(r) for r in ranks}) if strip_author else wide
 
 
+def accepted_nodes(df: DataFrame) -> DataFrame:
+    """Narrow rows of the accepted taxa."""
+    return df.filter(F.col("taxonomicStatus").eqNullSafe("accepted")).select(
+        "taxonID", "parentNameUsageID", "taxonRank", "scientificName"
+    )
+
+
+def resolve_accepted(df: DataFrame, ranks: Sequence[str] = vocab.LINEAGE_RANKS) -> DataFrame:
+    """``resolve_nodes`` over the accepted taxa of a taxon table."""
+    return resolve_nodes(
+        accepted_nodes(df), "taxonID", "parentNameUsageID", "taxonRank", "scientificName", ranks
+    )
+
+
 def lineage_by_id(
-    df: DataFrame, ranks: Sequence[str] = vocab.LINEAGE_RANKS, max_depth: int = MAX_DEPTH
+    df: DataFrame, ranks: Sequence[str] = vocab.LINEAGE_RANKS, resolved: DataFrame | None = None
 ) -> DataFrame:
-    """(taxonID, rank columns) of all rows; a synonym has the lineage of its accepted record."""
-    narrow = df.select(
-        "taxonID", "acceptedNameUsageID", "parentNameUsageID", "taxonRank", "scientificName", "taxonomicStatus"
-    )
-    return attach_lineage(narrow, ranks, max_depth).select("taxonID", *ranks)
+    """(taxonID, rank columns) of the accepted rows, one per id."""
+    full = ancestor_columns(accepted_nodes(df), ranks=ranks, strip_author=True, resolved=resolved)
+    return one_per_key(full.select("taxonID", *ranks), "taxonID")
 
 
 def attach_lineage(
-    df: DataFrame, ranks: Sequence[str] = vocab.LINEAGE_RANKS, max_depth: int = MAX_DEPTH
+    df: DataFrame, ranks: Sequence[str] = vocab.LINEAGE_RANKS, resolved: DataFrame | None = None
 ) -> DataFrame:
     """``df`` with genus, tribe, subfamily, family and order on every row.
 
-    Accepted rows look up their parent, synonyms their accepted record; the two
-    parts are stacked, so whole rows are never joined back by their own id.
+    Lineages are resolved once over narrow accepted rows; an accepted row then looks up its own id and
+    a synonym its accepted id, in one join over the whole rows.
     """
+    lineages = lineage_by_id(df, ranks, resolved).withColumnRenamed("taxonID", "_id")
     is_accepted = F.col("taxonomicStatus").eqNullSafe("accepted")
-    columns = [c for c in df.columns if c not in ranks]
-    full = ancestor_columns(
-        df.filter(is_accepted).select(*columns), ranks=ranks, max_depth=max_depth, strip_author=True
-    )
-    of_accepted = one_per_key(full.select(F.col("taxonID").alias("_id"), *ranks), "_id")
-    aliases = df.filter(~is_accepted).select(*columns)
-    of_aliases = lookup_join(aliases, of_accepted, [("acceptedNameUsageID", "_id")], salt_by=["taxonID"])
-    return union_by_name(full, of_aliases)
+    rows = df.select(*[c for c in df.columns if c not in ranks])
+    keyed = rows.withColumn("_of", F.when(is_accepted, F.col("taxonID")).otherwise(F.col("acceptedNameUsageID")))
+    return lookup_join(keyed, lineages, [("_of", "_id")], salt_by=["taxonID"]).drop("_of")
 
 
 def rank_chain_join(top: DataFrame, lowers: Sequence[tuple[DataFrame, str, str]]) -> DataFrame:
@@ -142,14 +154,8 @@ def filter_to_level(df: DataFrame, dropped_ranks: Sequence[str] = vocab.BELOW_GE
     return free.unionByName(bound)
 
 
-def depth_violations(
-    nodes: DataFrame, id_col: str = "taxonID", parent: str = "parentNameUsageID", max_depth: int = MAX_DEPTH
-) -> DataFrame:
-    """Inner nodes whose chain is longer than ``max_depth`` levels, or runs in a circle."""
+def circle_violations(resolved: DataFrame) -> DataFrame:
+    """Inner nodes whose chain of parents never ends: they are on a circle, or below one."""
     from taxaloom.operators.quality import rule_predicate
 
-    plain = nodes.select(id_col, parent, F.lit("x").alias("_r"), F.lit("x").alias("_n"))
-    open_chains = resolve_nodes(plain, id_col, parent, "_r", "_n", ["x"], max_depth)
-    return rule_predicate(
-        open_chains, F.col("_top").isNotNull(), "lineage_too_deep", "_id", F.col("_top")
-    )
+    return rule_predicate(resolved, F.col("_top").isNotNull(), "lineage_circle", "_id", F.col("_top"))

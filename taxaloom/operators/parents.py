@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from taxaloom import vocab
 from taxaloom.functions import names, text
 from taxaloom.operators.columns import drop_unmatched, filter_rank, union_by_name
-from taxaloom.operators.joins import Keys, anti_join, interval_join, lookup_join
+from taxaloom.operators.joins import Keys, anti_join, interval_join, key_pairs, lookup_join
 from taxaloom.operators.windows import fixed_width_interval, next_start_interval, unique_only_lookup
 
 # Width of the band of minor numbers a taxon of that rank covers.
@@ -60,21 +60,29 @@ def equi_parent(children: DataFrame, parents: DataFrame, on: Keys, id_col: str =
 def cascade_parent(
     children: DataFrame, levels: Sequence[DataFrame], on: Keys, point: str, id_col: str, parent: str
 ) -> DataFrame:
-    """Parent from the first level that has one, most specific level first.
+    """Parent from the first level that has one, most specific level first: one row per child.
 
-    Each level holds the keys, ``start``, ``end`` and ``parent``.
+    Each level holds the keys, ``start``, ``end`` and ``parent``. The bands of all levels are tagged and
+    matched in one join. ``n_matches`` counts the bands of the deciding level that hold the child; of
+    several the smallest parent is taken, and the parent rules report them.
     """
-    found = children
-    candidates = []
-    for i, bands in enumerate(levels):
-        renamed = bands.withColumnsRenamed(
-            {"start": f"_start_{i}", "end": f"_end_{i}", parent: f"_parent_{i}"}
-        )
-        found = banded_parent(found, renamed, on, point, id_col, f"_start_{i}", f"_end_{i}").drop(
-            f"_start_{i}", f"_end_{i}"
-        )
-        candidates.append(f"_parent_{i}")
-    return found.withColumn(parent, F.coalesce(*candidates)).drop(*candidates)
+    keys = [r for _, r in key_pairs(on)]
+    tagged = union_by_name(
+        *[
+            bands.select(*keys, "start", "end", F.col(parent).alias("_found"), F.lit(i).alias("_tier"))
+            for i, bands in enumerate(levels)
+        ]
+    )
+    asked = children.select(*dict.fromkeys([id_col, point, *[l for l, _ in key_pairs(on)]])).distinct()
+    matched = interval_join(asked, tagged, point, id_col, on=on, how="inner")
+    best = (
+        matched.groupBy(F.col(id_col).alias("_child"), "_tier")
+        .agg(F.min("_found").alias("_found"), F.count(F.lit(1)).alias("n_matches"))
+        .groupBy("_child")
+        .agg(F.min(F.struct("_tier", "_found", "n_matches")).alias("_best"))
+        .select("_child", F.col("_best._found").alias(parent), F.col("_best.n_matches").alias("n_matches"))
+    )
+    return lookup_join(children, best, [(id_col, "_child")], skewed=False)
 
 
 def synthesise_parents(
@@ -149,7 +157,8 @@ def _bands(ranked: DataFrame, rank: str) -> DataFrame:
 def order_bands(ranked: DataFrame) -> DataFrame:
     """Orders with the range of major numbers they cover, up to the next order."""
     orders = _single(_parents(ranked, "order", F.col("major_num").alias("start")), "start")
-    return next_start_interval(orders.filter("start IS NOT NULL"), "start", "start")
+    # codes have three digits before the point, so they all fall into one bucket of positions
+    return next_start_interval(orders.filter("start IS NOT NULL"), "start", "start", dense=True)
 
 
 def assign_parents(ranked: DataFrame, autonyms: DataFrame) -> DataFrame:
@@ -176,7 +185,7 @@ def assign_parents(ranked: DataFrame, autonyms: DataFrame) -> DataFrame:
         "minor_num",
         "taxonID",
         "_parent",
-    )
+    ).withColumn("_parent", F.struct(F.col("_parent.id").alias("id"), F.greatest("_parent.n", "n_matches").alias("n")))
     all_species = union_by_name(filter_rank(ranked, "species"), autonyms)
     species = equi_parent(all_species, _single(_parents(ranked, "genus", "number"), "number"), ["number"])
     epithets = {
@@ -234,7 +243,5 @@ def with_parents(taxa: DataFrame, edges: DataFrame) -> DataFrame:
     accepted = edges.select(F.col("taxonID").alias("_id"), F.col("parentNameUsageID").alias("_accepted"))
     base = taxa.drop("parentNameUsageID")
     joined = lookup_join(base, own, [("taxonID", "_id")], skewed=False)
-    joined = lookup_join(
-        joined, accepted, [("acceptedNameUsageID", "_id")], salt_by=["taxonID"], keys_from=base
-    )
+    joined = lookup_join(joined, accepted, [("acceptedNameUsageID", "_id")], salt_by=["taxonID"])
     return joined.withColumn("parentNameUsageID", F.coalesce("_own", "_accepted")).drop("_own", "_accepted")

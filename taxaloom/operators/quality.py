@@ -26,9 +26,39 @@ def _joined(columns: Sequence[str]) -> Column:
     return F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("NULL")) for c in columns])
 
 
+RowRule = tuple[str, Column, Column, Column]
+
+
+def row_rules(df: DataFrame, rules: Sequence[RowRule]) -> DataFrame:
+    """Violations of several (rule, bad, key, detail) in one pass over the rows."""
+    found = [
+        F.when(
+            bad,
+            F.struct(
+                F.lit(rule).alias("rule"), key.cast("string").alias("key"), detail.cast("string").alias("detail")
+            ),
+        )
+        for rule, bad, key, detail in rules
+    ]
+    broken = F.filter(F.array(*found), lambda v: v.isNotNull())
+    return df.select(F.explode(broken).alias("_v")).select("_v.*")
+
+
+def not_null(column: str, key: str = "taxonID", rule: str | None = None) -> RowRule:
+    return rule or f"{column}_not_null", F.col(column).isNull(), F.col(key), F.lit(f"{column} is null")
+
+
+def in_values(column: str, values: Sequence[str], key: str = "taxonID", rule: str | None = None) -> RowRule:
+    bad = F.col(column).isNotNull() & not_in(column, list(values))
+    return rule or f"{column}_in_values", bad, F.col(key), F.col(column)
+
+
+def predicate(bad: Column, rule: str, key: str = "taxonID", detail: Column | None = None) -> RowRule:
+    return rule, bad, F.col(key), detail if detail is not None else F.lit(rule)
+
+
 def rule_not_null(df: DataFrame, column: str, key: str = "taxonID", rule: str | None = None) -> DataFrame:
-    bad = df.filter(F.col(column).isNull())
-    return _violations(bad, rule or f"{column}_not_null", F.col(key), F.lit(f"{column} is null"))
+    return row_rules(df, [not_null(column, key, rule)])
 
 
 def _repeats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -64,8 +94,7 @@ def rule_cardinality(df: DataFrame, keys: Sequence[str], rule: str = "right_key_
 def rule_in_values(
     df: DataFrame, column: str, values: Sequence[str], key: str = "taxonID", rule: str | None = None
 ) -> DataFrame:
-    bad = df.filter(F.col(column).isNotNull() & not_in(column, list(values)))
-    return _violations(bad, rule or f"{column}_in_values", F.col(key), F.col(column))
+    return row_rules(df, [in_values(column, values, key, rule)])
 
 
 def rule_membership(
@@ -86,7 +115,7 @@ def rule_membership(
 
 def rule_predicate(df: DataFrame, bad: Column, rule: str, key: str = "taxonID", detail: Column | None = None) -> DataFrame:
     """Rows for which ``bad`` holds."""
-    return _violations(df.filter(bad), rule, F.col(key), detail if detail is not None else F.lit(rule))
+    return row_rules(df, [predicate(bad, rule, key, detail)])
 
 
 def rule_columns(df: DataFrame, allowed: Sequence[str]) -> DataFrame:
@@ -104,14 +133,19 @@ def rule_table(
     statuses: Sequence[str] = vocab.STATUSES,
     extra: Sequence[str] = vocab.EXTRA_COLUMNS,
 ) -> DataFrame:
-    """Taxon table check: id, status vocabulary, references that resolve, column names."""
-    found = [rule_key(df)]
+    """Taxon table check: id, status vocabulary, references that resolve, column names.
+
+    Rules on single rows share one pass.
+    """
+    rows = [not_null("taxonID", "taxonID")]
+    found = [rule_unique_allow_null(df, "taxonID")]
     if "taxonomicStatus" in df.columns:
-        found.append(rule_in_values(df, "taxonomicStatus", statuses))
-    for column in ("acceptedNameUsageID", "parentNameUsageID"):
-        if column in df.columns:
-            found.append(rule_membership(df, column, df, "taxonID"))
-            found.append(rule_predicate(df, F.col(column) == F.col("taxonID"), f"{column}_not_self"))
+        rows.append(in_values("taxonomicStatus", statuses))
+    references = [c for c in ("acceptedNameUsageID", "parentNameUsageID") if c in df.columns]
+    rows += [predicate(F.col(c) == F.col("taxonID"), f"{c}_not_self") for c in references]
+    found.append(row_rules(df, rows))
+    if references:
+        found.append(rule_references(df, references))
     if check_names:
         found.append(rule_unique(df, "scientificName"))
     if check_columns:
@@ -119,6 +153,23 @@ def rule_table(
     return check(found)
 
 
+def rule_references(df: DataFrame, columns: Sequence[str], key: str = "taxonID") -> DataFrame:
+    """Every non-null value of each column must be an id of the table: one pass and one join for all."""
+    asked = df.select(
+        F.col(key),
+        F.explode(
+            F.filter(
+                F.array(*[F.struct(F.lit(f"{c}_resolves").alias("rule"), F.col(c).alias("_ref")) for c in columns]),
+                lambda v: v["_ref"].isNotNull(),
+            )
+        ).alias("_v"),
+    ).select(key, "_v.*")
+    from taxaloom.operators.joins import anti_join
+
+    bad = anti_join(asked, df.select(F.col(key).alias("_id")), [("_ref", "_id")])
+    return bad.select("rule", F.col(key).cast("string").alias("key"), F.col("_ref").cast("string").alias("detail"))
+
+
 def rule_parentless(df: DataFrame) -> DataFrame:
     """Accepted rows without parent are orders; such synonyms belong to orders."""
     orphan = F.col("parentNameUsageID").isNull()
@@ -149,8 +200,8 @@ def count_violations(violations: DataFrame) -> DataFrame:
     return violations.groupBy("rule").agg(F.count(F.lit(1)).alias("n_violations"))
 
 
-def enforce(violations: DataFrame, shown: int = 20) -> None:
-    """Raise with counts per rule when there is any violation."""
-    broken = count_violations(violations).limit(shown).collect()
+def enforce(violations: DataFrame) -> None:
+    """Raise with counts per rule when there is any violation; one row per rule is read."""
+    broken = count_violations(violations).orderBy("rule").collect()
     if broken:
         raise RuleViolation(", ".join(f"{r['rule']}: {r['n_violations']}" for r in broken))

@@ -20,26 +20,42 @@ from taxaloom.operators.windows import add_count, first_hit
 ANY_GROUP = ""
 
 
-def parse_names(taxa: DataFrame, column: str = "scientificName") -> DataFrame:
-    """Distinct (verbatim, taxon, scientificNameAuthorship): each name is parsed once."""
-    distinct = taxa.select(F.col(column).alias("verbatim")).distinct()
-    return distinct.select(
-        "verbatim",
-        names.canonical_name("verbatim").alias("taxon"),
-        names.authorship("verbatim").alias("scientificNameAuthorship"),
-    )
-
-
 def prepare_match_requests(taxa: DataFrame) -> DataFrame:
     """(taxonID, taxon, ipni_filter): canonical names to look up, one row per id.
 
-    ``taxonID`` is the key of ``taxa``, so rows are distinct without a shuffle.
+    ``taxonID`` is the key of ``taxa``, so rows are distinct without a shuffle. Names that can't be read
+    are not asked for; ``name_violations`` reports them.
     """
     asked = eligible_for_match(exclude_incertae(taxa))
     return asked.select(
         "taxonID",
         names.canonical_name("scientificName").alias("taxon"),
         text.rank_to_group("taxonRank").alias("ipni_filter"),
+    ).filter(F.col("taxon").isNotNull())
+
+
+def name_violations(taxa: DataFrame, column: str = "scientificName") -> DataFrame:
+    """Names without a canonical form, and names of infraspecific rank without a third part.
+
+    Where the table has a status, parts are asked of accepted names only: the rank of a synonym is a guess.
+    """
+    from taxaloom.operators.quality import row_rules
+
+    parsed = names.canonical_name(column)
+    below_species = F.col("taxonRank").isin(*vocab.INFRASPECIFIC_RANKS)
+    if "taxonomicStatus" in taxa.columns:
+        below_species = below_species & (F.col("taxonomicStatus") == "accepted")
+    return row_rules(
+        taxa,
+        [
+            ("name_parsed", F.col(column).isNotNull() & parsed.isNull(), F.col("taxonID"), F.col(column)),
+            (
+                "name_has_three_parts",
+                below_species & parsed.isNotNull() & (F.size(F.split(parsed, " ")) < 3),
+                F.col("taxonID"),
+                F.col(column),
+            ),
+        ],
     )
 
 
@@ -80,7 +96,7 @@ def summarise_matches(taxa: DataFrame, results: DataFrame) -> DataFrame:
     """
     own = taxa.select("taxonID", "taxonomicStatus", F.col("scientificName").alias("wf_sci_name"))
     joined = lookup_join(results, one_per_key(own, "taxonID"), "taxonID", "inner", skewed=False)
-    counted = add_count(joined, ["name"], "n_ipni_hits", salt_by=["taxonID"], keys_from=results)
+    counted = add_count(joined, ["name"], "n_ipni_hits", salt_by=["taxonID"])
     authority_name = F.when(F.col("name").isNotNull(), text.full_name("name", "authors"))
     return counted.withColumn("ipni_sci_name", authority_name).withColumn(
         "keep",

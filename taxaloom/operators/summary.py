@@ -21,6 +21,11 @@ def sum_by(df: DataFrame, value: str | Column, *keys: str, name: str = "total")
     return df.groupBy(*keys).agg(F.sum(F.coalesce(value, F.lit(0))).alias(name))
 
 
+def count_and_sum_by(df: DataFrame, value: Column, *keys: str, count: str = "n", name: str = "total") -> DataFrame:
+    """Rows and sum per group in one aggregate; nulls count as 0."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(count), F.sum(F.coalesce(value, F.lit(0))).alias(name))
+
+
 def rank_order(rank: Column | str, ranks: Sequence[str]) -> Column:
     """Place of a rank in an ordered list."""
     rank = F.col(rank) if isinstance(rank, str) else rank

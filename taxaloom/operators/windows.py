@@ -121,8 +121,16 @@ def next_start_interval(
     keys: Sequence[str] = (),
     end: str = "end",
     bucket_rows: int = BUCKET_ROWS,
+    dense: bool = False,
 ) -> DataFrame:
-    """``end`` = next start - 1; the last interval is open (+Infinity)."""
+    """``end`` = next start - 1; the last interval is open (+Infinity).
+
+    ``pos`` orders the rows of a key and is unique there. Positions of any type are numbered first, so
+    buckets fill evenly; ``dense=True`` says that they are whole numbers with few gaps already.
+    """
+    if not dense:
+        numbered = number_rows(df, [*keys, pos], "_pos")
+        return next_start_interval(numbered, start, "_pos", keys, end, bucket_rows, dense=True).drop("_pos")
     following = next_value(df, start, pos, "_next_start", keys, bucket_rows)
     return following.withColumn(
         end, F.coalesce(F.col("_next_start").cast("double") - 1, F.lit(float("inf")))
@@ -134,18 +142,16 @@ def fixed_width_interval(df: DataFrame, start: str, width: float, end: str = "en
 
 
 def add_count(
-    df: DataFrame,
-    keys: Sequence[str],
-    name: str = "n",
-    salt_by: Sequence[str] | None = None,
-    keys_from: DataFrame | None = None,
+    df: DataFrame, keys: Sequence[str], name: str = "n", salt_by: Sequence[str] | None = None
 ) -> DataFrame:
     """Group size on every row; null keys form one group.
 
-    Counted with partial aggregation and joined back, so no task holds a group.
+    ``df`` is evaluated once and written; counts come from partial aggregates over the written rows and
+    are joined back, so no task holds a group.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
-    return lookup_join(df, counts, list(keys), "left", null_safe=True, salt_by=salt_by, keys_from=keys_from)
+    rows = stage(df, "counted")
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
+    return lookup_join(rows, counts, list(keys), "left", null_safe=True, salt_by=salt_by, keys_from=rows)
 
 
 def status_by_multiplicity(

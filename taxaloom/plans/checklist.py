@@ -5,6 +5,7 @@ from __future__ import annotations
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from taxaloom import vocab
 from taxaloom.functions import text
@@ -24,6 +25,14 @@ class Taxa(NamedTuple):
     checklist: DataFrame
     ranked: DataFrame
     assigned: DataFrame
+    lineages: DataFrame
+
+
+class Treatment(NamedTuple):
+    """Lines of a treatment, and what is missing in them."""
+
+    lines: DataFrame
+    violations: DataFrame
 
 
 def prepare_checklist(raw: DataFrame, pos: str = "pos") -> DataFrame:
@@ -58,7 +67,8 @@ def checklist_to_taxa(checklist: DataFrame, strict_markers: bool = False) -> Tax
     assigned = stage(parents.assign_parents(ranked, autonyms), "assigned")
     everything = columns.union_by_name(flat, columns.select_terms(autonyms))
     taxa = stage(parents.with_parents(everything, parents.parent_edges(assigned)), "taxa")
-    full = lineage.attach_lineage(taxa)
+    lineages = lineage.resolve_accepted(taxa)
+    full = lineage.attach_lineage(taxa, resolved=lineages)
     full = reconcile.fill_name_usages(full, keys_from=taxa)
     full = columns.assign_const(full, modified=None)
     full = joins.exclude_pairs(
@@ -68,22 +78,24 @@ def checklist_to_taxa(checklist: DataFrame, strict_markers: bool = False) -> Tax
         bounded=True,
     )
     full = stage(full, "taxa")
-    return Taxa(full, checklist, ranked, assigned)
+    return Taxa(full, checklist, ranked, assigned, lineages)
 
 
 def taxa_violations(result: Taxa) -> DataFrame:
     """All rule violations of a finished table; ``quality.enforce`` turns them into an error."""
-    taxa, checklist, _, assigned = result
+    taxa, checklist, _, assigned, lineages = result
     return quality.check(
         [
-            quality.rule_not_null(checklist, "taxonRank", rule="rank_not_null"),
+            quality.row_rules(
+                checklist, [quality.not_null("taxonRank", rule="rank_not_null"), quality.not_null("number")]
+            ),
             quality.rule_unique(checklist, "scientificName", "accepted_name_unique"),
-            quality.rule_not_null(checklist, "number"),
             parents.parent_violations(assigned),
-            # a chain that is too deep or circular never reaches its order
+            lineage.circle_violations(lineages),
             quality.rule_not_null(taxa, "order"),
             quality.rule_table(taxa, check_columns=False),
             quality.rule_parentless(taxa),
+            reconcile.name_violations(taxa),
         ]
     )
 
@@ -100,12 +112,19 @@ def reconcile_names(taxa: DataFrame, reference: DataFrame) -> DataFrame:
     return ordering.sort_names(reconcile.apply_reference_names(taxa, summary), "scientificName", "taxonID")
 
 
-def sorted_treatment(taxa: DataFrame, ranked: DataFrame, level: str = "species") -> DataFrame:
-    """Lines of the treatment down to ``level`` ("species" or "genus")."""
+def sorted_treatment(taxa: DataFrame, ranked: DataFrame, level: str = "species") -> Treatment:
+    """The treatment down to ``level`` ("species" or "genus"): its lines, accepted rows without a line, and
+    rows whose order has no place."""
     if level not in ("species", "genus"):
         raise ValueError("level must be 'species' or 'genus'")
     plain = columns.drop_columns(taxa, *vocab.LINEAGE_RANKS, pattern="ipni|modified")
     full = stage(lineage.attach_lineage(plain), "treatment")
     if level == "genus":
         full = stage(lineage.filter_to_level(full), "treatment")
-    return treatment.treatment_lines(ordering.hierarchical_sort(full, ranked))
+    ordered = ordering.hierarchical_sort(full, ranked)
+    lines = stage(treatment.treatment_lines(ordered), "lines")
+    printed = lines.filter(F.col("kind") == "header")
+    violations = quality.check(
+        [treatment.unprinted_violations(printed, ordered), ordering.missing_order_violations(ordered)]
+    )
+    return Treatment(lines, violations)

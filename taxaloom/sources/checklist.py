@@ -11,13 +11,34 @@ from taxaloom.operators.treatment import report_sort
 from taxaloom.operators.windows import number_rows
 
 
-def read_delimited(spark: SparkSession, path: str, sep: str = "|") -> DataFrame:
-    """All columns as text; empty fields and ``NA`` are null; doubled quotes are decoded."""
-    options = {"sep": sep, "header": True, "escape": '"', "nullValue": "NA", "enforceSchema": False}
+def read_delimited(spark: SparkSession, path: str, sep: str = "|", multi_line: bool = False) -> DataFrame:
+    """All columns as text; empty fields and ``NA`` are null; doubled quotes are decoded.
+
+    ``multi_line`` allows line breaks inside quotes; a file is then read by one task, so it is not
+    the default.
+    """
+    options = {"sep": sep, "header": True, "escape": '"', "nullValue": "NA", "enforceSchema": False, "multiLine": multi_line}
     return spark.read.options(**options).csv(path)
 
 
-FILE_ORDER = ["x_file", "x_block", "x_row"]
+def field_count_violations(spark: SparkSession, path: str, sep: str = "|") -> DataFrame:
+    """Lines of delimited files whose number of fields is not that of the header; separators in quotes don't count.
+
+    The key is the first field.
+    """
+    from taxaloom.operators.quality import predicate, row_rules
+
+    lines = spark.read.text(path)
+    bare = F.regexp_replace("value", r'"(?:[^"]|"")*"', "")
+    fields = F.length(bare) - F.length(F.replace(bare, F.lit(sep), F.lit(""))) + 1
+    header = lines.select(fields.alias("n")).first()
+    expected = header["n"] if header else 0
+    rows = lines.select(fields.alias("n"), F.substring_index("value", sep, 1).alias("key")).filter(F.length("value") > 0)
+    return row_rules(rows, [predicate(F.col("n") != expected, "field_count", "key", F.col("n"))])
+
+
+# files that Spark wrote are numbered; a number sorts as one, not as text
+FILE_ORDER = ["x_part", "x_file", "x_block", "x_row"]
 
 
 def number_lines(rows: DataFrame, name: str = "pos") -> DataFrame:
@@ -27,6 +48,7 @@ def number_lines(rows: DataFrame, name: str = "pos") -> DataFrame:
     """
     placed = rows.select(
         "*",
+        F.nullif(F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1), F.lit("")).cast("long").alias("x_part"),
         F.col("_metadata.file_path").alias("x_file"),
         F.col("_metadata.file_block_start").alias("x_block"),
         F.monotonically_increasing_id().alias("x_row"),
@@ -34,12 +56,14 @@ def number_lines(rows: DataFrame, name: str = "pos") -> DataFrame:
     return number_rows(placed, FILE_ORDER, name).drop(*FILE_ORDER)
 
 
-def read_checklist(spark: SparkSession, path: str, sep: str = "|", pos: str = "pos") -> DataFrame:
+def read_checklist(
+    spark: SparkSession, path: str, sep: str = "|", pos: str = "pos", multi_line: bool = False
+) -> DataFrame:
     """Pipe-delimited checklist with clean headers and its file order in ``pos`` (1..n).
 
     Blank fields are null, as ``NA`` is; columns without any value are dropped.
     """
-    numbered = number_lines(read_delimited(spark, path, sep), pos)
+    numbered = number_lines(read_delimited(spark, path, sep, multi_line), pos)
     names = clean_names(numbered.drop(pos)).columns
     fields = [F.nullif(F.col(f"`{c}`"), F.lit("")).alias(n) for c, n in zip(numbered.columns, names)]
     return drop_empty_columns(numbered.select(*fields, pos))

@@ -7,7 +7,9 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from __spark_entry__ import entry, oracle_sql, queries  # noqa: E402
+from __spark_entry__ import entry  # noqa: E402
+
+from taxaloom.catalog import QUERIES, SQL  # noqa: E402
 from tools.compare import compare, connect  # noqa: E402
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -19,9 +21,9 @@ def con():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
-    ok, _, note = compare(spark, con, SF_DIR, queries()[name], oracle_sql().get(name))
+    ok, _, note = compare(spark, con, SF_DIR, QUERIES[name], SQL.get(name))
     assert ok, note
 
 

@@ -28,7 +28,7 @@ def test_lookup_join_equals_plain_join(spark, skewed, target, how, broadcast):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
     try:
         # the key types differ on purpose
-        got = joins.lookup_join(skewed, target, [("k", "key")], how)
+        got = joins.lookup_join(skewed, target, [("k", "key")], how, keys_from=skewed)
         want = skewed.join(target, skewed.k == target.key, how).drop("key")
         assert got.columns == want.columns
         assert rows(got, *got.columns) == rows(want, *want.columns)
@@ -43,7 +43,7 @@ def test_hot_key_is_found_and_spread(spark, skewed, target):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.shuffle.partitions", "16")
     try:
-        joined = joins.lookup_join(skewed, target, [("k", "key")]).filter("k = 7")
+        joined = joins.lookup_join(skewed, target, [("k", "key")], keys_from=skewed).filter("k = 7")
         sizes = joined.groupBy(F.spark_partition_id()).count().collect()
         total = sum(r["count"] for r in sizes)
         assert total > 900 and max(r["count"] for r in sizes) < total / 2
@@ -83,7 +83,7 @@ def test_interval_join_equals_nested_loop(spark, closed):
     bands = []
     for b in range(60):
         start = rng.uniform(-50, 500)
-        width = rng.choice([0.0, 1.0, 7.0, 8.0, 99.0, 999.0, inf])
+        width = rng.choice([0.0, 1e-9, 0.01, 0.5, 1.0, 7.0, 8.0, 99.0, 999.0, 9.99e99, inf])
         bands.append((b, rng.choice(["a", "b"]), start, start + width))
     bands += [(98, "a", None, 3.0), (99, "a", 9.0, 2.0)]
     points = [(i, rng.choice(["a", "b", "c"]), rng.choice([None, float(rng.randrange(-60, 700))])) for i in range(300)]
@@ -122,6 +122,34 @@ def test_cascade_equals_anti_join_form(spark):
     assert rows(got, "id", "parent") == rows(want, "id", "parent")
 
 
+def test_repeated_points_keep_their_matches(spark):
+    left = spark.createDataFrame([(1, 5.0), (1, 5.0), (1, 40.0), (2, 90.0)], "id int, x double")
+    right = spark.createDataFrame([("a", 0.0, 10.0), ("b", 4.0, 70.0)], "band string, start double, end double")
+    got = joins.interval_join(left, right, "x", "id")
+    assert rows(got, "id", "x", "band") == [
+        (1, 40.0, "b"), (1, 5.0, "a"), (1, 5.0, "a"), (1, 5.0, "b"), (1, 5.0, "b"), (2, 90.0, None),
+    ]
+
+
+def test_narrow_bands_share_no_cells(spark):
+    """Bands far narrower than one are told apart by their cells, like wide ones."""
+    bands = spark.range(2000).select((F.col("id") / 2000).alias("start"), ((F.col("id") + 0.5) / 2000).alias("end"))
+    level = joins._level(F.col("start"), F.col("end"))
+    filed = bands.withColumn("_l", level).select(
+        "_l", F.explode(F.sequence(joins._cell(F.col("start"), F.col("_l")), joins._cell(F.col("end"), F.col("_l")))).alias("c")
+    )
+    assert filed.groupBy("_l", "c").count().agg(F.max("count")).first()[0] <= 3
+
+
+def test_cascade_over_overlapping_bands(spark):
+    child = spark.createDataFrame([(1, 0, 6.0), (2, 0, 50.0), (3, 0, 500.0)], "id int, k int, x double")
+    level = "k int, start double, end double, parent string"
+    first = spark.createDataFrame([(0, 0.0, 10.0, "b"), (0, 5.0, 9.0, "a")], level)
+    second = spark.createDataFrame([(0, 0.0, 100.0, "d"), (0, 40.0, 400.0, "c")], level)
+    got = parents.cascade_parent(child, [first, second], ["k"], "x", "id", "parent")
+    assert rows(got, "id", "parent", "n_matches") == [(1, "a", 2), (2, "c", 2), (3, None, None)]
+
+
 def test_exclusions(spark):
     df = spark.createDataFrame([("a", "x"), ("b", "x"), (None, "x")], "taxonID string, s string")
     listed = spark.createDataFrame([("a", "to delete"), ("b", "keep")], "taxonID string, comments_mh string")

@@ -164,17 +164,19 @@ def test_lineage_reports_circles_and_stops(spark):
         [("a", "b", "genus", "A"), ("b", "a", "family", "B"), ("c", "a", "species", "C")],
         "taxonID string, parentNameUsageID string, taxonRank string, scientificName string",
     )
-    assert {r["key"] for r in lineage.depth_violations(df).collect()} == {"a", "b"}
+    resolved = lineage.resolve_nodes(df, "taxonID", "parentNameUsageID", "taxonRank", "scientificName", ["genus"])
+    assert {r["key"] for r in lineage.circle_violations(resolved).collect()} == {"a", "b"}
     assert lineage.ancestor_columns(df).count() == 3
 
 
 def test_lineage_of_deep_chain(spark):
-    ranks = [f"r{i}" for i in range(8)]
-    data = [(str(i), str(i - 1) if i else None, ranks[i], f"n{i}") for i in range(8)]
+    ranks = [f"r{i}" for i in range(40)]
+    data = [(str(i), str(i - 1) if i else None, ranks[i], f"n{i}") for i in range(40)]
     df = spark.createDataFrame(data, "taxonID string, parentNameUsageID string, taxonRank string, scientificName string")
-    row = lineage.ancestor_columns(df, ranks=ranks).filter("taxonID = '7'").first()
-    assert [row[r] for r in ranks] == [f"n{i}" for i in range(8)]
-    assert lineage.depth_violations(df).count() == 0
+    row = lineage.ancestor_columns(df, ranks=ranks).filter("taxonID = '39'").first()
+    assert [row[r] for r in ranks] == [f"n{i}" for i in range(40)]
+    resolved = lineage.resolve_nodes(df, "taxonID", "parentNameUsageID", "taxonRank", "scientificName", ["r0"])
+    assert lineage.circle_violations(resolved).count() == 0
 
 
 def test_filter_to_genus(mini_taxa):
@@ -184,7 +186,8 @@ def test_filter_to_genus(mini_taxa):
 
 
 def test_treatment(spark, mini_taxa, tmp_path):
-    lines = plans.sorted_treatment(mini_taxa.taxa, mini_taxa.ranked)
+    lines, missing = plans.sorted_treatment(mini_taxa.taxa, mini_taxa.ranked)
+    assert missing.count() == 0
     path = files.write_treatment(lines, str(tmp_path / "treatment"))
     text = [r["value"] for r in spark.read.text(path).select("value", "_metadata.file_name").orderBy("file_name").collect()]
     assert text[:13] == [
@@ -205,7 +208,7 @@ def test_treatment(spark, mini_taxa, tmp_path):
     assert "* *Beta* quarta K. \\-\\- NA  " in text and 'said "nice" plant  ' in text
     # ambiguous synonyms are not printed
     assert not any("Beta* una" in t for t in text)
-    genus = plans.sorted_treatment(mini_taxa.taxa, mini_taxa.ranked, "genus")
+    genus = plans.sorted_treatment(mini_taxa.taxa, mini_taxa.ranked, "genus").lines
     assert genus.filter(F.col("line").startswith("* ")).count() == 0
     with pytest.raises(ValueError):
         plans.sorted_treatment(mini_taxa.taxa, mini_taxa.ranked, "tribe")
@@ -318,3 +321,55 @@ def test_exclusion_list(spark, mini_taxa, tmp_path):
 def test_autonyms(mini):
     made = parents.synthesise_autonyms(parents.rank_by_code(mini)).collect()
     assert [(r["scientificName"], r["taxonRank"], r["number"]) for r in made] == [("Beta quarta K.", "species", "002.1010")]
+
+
+def test_staged_tables_are_released(spark, mini):
+    import os
+
+    from taxaloom.session import recording
+
+    with recording(spark) as staged:
+        rows = plans.checklist_to_taxa(mini).taxa.collect()
+    paths = [p.removeprefix("file://") for p in staged.paths]
+    assert rows and paths and all(os.path.isdir(p) for p in paths)
+    staged.release()
+    assert not any(os.path.exists(p) for p in paths) and staged.paths == []
+
+
+def test_scratch_folder_without_setting(spark, monkeypatch):
+    import os
+
+    from taxaloom import session
+
+    class Conf:
+        def __init__(self, master):
+            self.values = {"spark.master": master}
+
+        def get(self, key, default=None):
+            return self.values.get(key, default)
+
+    class Plain:
+        sparkContext = spark.sparkContext
+
+        def __init__(self, master):
+            self.conf = Conf(master)
+
+    own = session.scratch_dir(Plain("local[2]"))
+    assert os.path.isdir(own) and session.scratch_dir(Plain("local[2]")) == own
+    with pytest.raises(RuntimeError):
+        session.scratch_dir(Plain("spark://host:7077"))
+    shared = Plain("spark://host:7077")
+    shared.conf.values["spark.checkpoint.dir"] = "/tmp/x"
+    with pytest.warns(UserWarning):
+        assert session.scratch_dir(shared) == "/tmp/x"
+
+
+def test_unreadable_names_are_reported_and_not_asked_for(spark):
+    from taxaloom.operators import reconcile
+
+    df = spark.createDataFrame(
+        [("1", "?nomen dubium Y.", "species", "synonym", None), ("2", "ined. specimen", None, "synonym", None), ("3", "Aus bus L.", "species", "accepted", None)],
+        "taxonID string, scientificName string, taxonRank string, taxonomicStatus string, taxonRemarks string",
+    )
+    assert {(r["rule"], r["key"]) for r in reconcile.name_violations(df).collect()} == {("name_parsed", "1"), ("name_parsed", "2")}
+    assert [r["taxonID"] for r in reconcile.prepare_match_requests(df).collect()] == ["3"]
