@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
 #: bytes of text that a task holds decoded at once; a longer text forms a slice of its own
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 Work = Callable[[pa.RecordBatch], list]
 

@@ -26,7 +26,7 @@ from taxaloom.session import stage
 
 UNKNOWN = "und"
 #: characters of labelled text per language
-SAMPLE_CHARS = 60_000
+SAMPLE_CHARS = 40_000
 #: labelled documents looked at per language, and characters taken of one
 SAMPLE_ROWS, ROW_CHARS = 400, 1_500
 #: characters that one lane parses

@@ -46,7 +46,7 @@ BLOCK, BLOCK_SHINGLES = 512, 1_000_000
 #: pairs of a block from which on shared shingles are counted by a matrix product
 PAIRS = 400
 #: words whose hash a Python worker remembers
-CACHE_WORDS = 500_000
+CACHE_WORDS = 200_000
 
 _random = np.random.RandomState(20_011)
 _mult = _random.randint(0, 1 << 62, HASHES, np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
