@@ -29,3 +29,17 @@ def test_query(spark, con, name):
 
 def test_entry(spark):
     assert entry(spark).count() > 0
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_inputs_are_not_read_again_to_look_for_hot_keys(spark):
+    assert plan_of(QUERIES["new_name_status"](spark, SF_DIR)).count("documents.parquet") == 1
+    # rows are written once before they are counted
+    assert "documents.parquet" not in plan_of(QUERIES["alias_status"](spark, SF_DIR))
+
+
+def test_rules_on_rows_share_a_scan(spark):
+    assert plan_of(QUERIES["quality_report"](spark, SF_DIR)).count("lineitem.parquet") <= 4
