@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from taxaloom.llm import decontamination, importance, langid, licenses, minhash, pii, pivots, sentencepiece_bpe, sharding, toxicity
+from taxaloom.llm.components import checked
+from taxaloom.session import stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -54,8 +56,9 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Importance weight and draw of every document; rows labelled as good are the target."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg((F.min("quality") == 1).alias("target"))
-    marked = docs.join(labels, "doc_id", "left").withColumn("target", F.coalesce("target", F.lit(False)))
+    labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.min("quality").alias("least"))
+    good = stage(labels.where("least = 1 and doc_id is not null").select("doc_id", F.lit(True).alias("target")), "good")
+    marked = docs.join(checked(good), "doc_id", "left").withColumn("target", F.coalesce("target", F.lit(False)))
     return importance.resample(marked, "target")
 
 
