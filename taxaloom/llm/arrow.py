@@ -16,6 +16,19 @@ SLICE_BYTES = 4 << 20
 Work = Callable[[pa.RecordBatch], list]
 
 
+_CACHES: dict[str, Callable[[], None]] = {}
+
+
+def own_cache(name: str, clear: Callable[[], None]) -> None:
+    """Called as a task starts: empties what other operators' tasks have left in this Python worker, which Spark
+    reuses, so that it holds the cache of one operator at a time."""
+    for other, forget in list(_CACHES.items()):
+        if other != name:
+            forget()
+            del _CACHES[other]
+    _CACHES[name] = clear
+
+
 def sliced(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that the text column of a slice has about ``most`` bytes."""
     start = held = 0

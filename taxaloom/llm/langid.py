@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from taxaloom.llm.arrow import Work, add_columns, texts
+from taxaloom.llm.arrow import Work, add_columns, own_cache, texts
 from taxaloom.llm.components import checked
 from taxaloom.session import stage
 
@@ -153,6 +153,7 @@ _PARSERS: dict[int, Parser] = {}
 
 def _parser(samples: dict[str, str]) -> Parser:
     """The parser of this Python worker, built once for the samples it was last given."""
+    own_cache("langid", _PARSERS.clear)
     key = hash(tuple(sorted(samples.items())))
     if key not in _PARSERS:
         _PARSERS.clear()

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from taxaloom.llm.arrow import Work, add_columns, utf8, whole_cells
+from taxaloom.llm.arrow import Work, add_columns, own_cache, utf8, whole_cells
 from taxaloom.llm.components import checked, components
 from taxaloom.session import stage
 
@@ -65,6 +65,10 @@ class _WordHashes(dict):
 _WORDS = _WordHashes()
 
 
+def own_words() -> None:
+    own_cache("words", _WORDS.clear)
+
+
 def word_hashes(words: list[bytes]) -> np.ndarray:
     """64-bit hashes of words."""
     return np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
@@ -115,6 +119,8 @@ def sets_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """
 
     def make() -> Work:
+        own_words()
+
         def work(batch: pa.RecordBatch) -> list:
             counts, digests, sigs, bands = [], [], [], []
             for text in utf8(batch, "text"):
@@ -177,6 +183,7 @@ def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Pairs (a, b) whose full shingle sets are similar enough. ``texts``: (id, text)."""
 
     def run(batches):
+        own_words()
         last: tuple = (None, None)
         for batch in batches:
             kept = []
@@ -272,6 +279,7 @@ def _cell_links(cells: DataFrame, sigs: DataFrame, texts: DataFrame) -> DataFram
     looks = fewest_matches()
 
     def run(batches):
+        own_words()
         for whole, ranges in whole_cells(batches, ["bucket", "i", "j"]):
             i, j, block, comp, ids = (whole[c].to_numpy() for c in ("i", "j", "block", "comp", "id"))
             sig = np.frombuffer(b"".join(whole["sig"].to_pylist()), np.uint16).reshape(-1, HASHES)

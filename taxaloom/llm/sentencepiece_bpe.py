@@ -24,7 +24,7 @@ import numpy as np
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 
-from taxaloom.llm.arrow import Work, add_columns, texts
+from taxaloom.llm.arrow import Work, add_columns, own_cache, texts
 
 #: SentencePiece's visible stand-in for a space (fixed value)
 MARK = "▁"
@@ -292,6 +292,7 @@ _CODERS: dict[str, Coder] = {}
 def coder(model_file: str) -> Coder:
     """The coder of this Python worker, which later tasks find with its chunks."""
     path = model_file if os.path.exists(model_file) else SparkFiles.get(os.path.basename(model_file))
+    own_cache("sentencepiece", _CODERS.clear)
     if path not in _CODERS:
         _CODERS[path] = Coder(path)
     return _CODERS[path]
