@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -11,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
 #: bytes of text that a task holds decoded at once; a longer text forms a slice of its own
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 Work = Callable[[pa.RecordBatch], list]
 
@@ -29,6 +31,16 @@ def own_cache(name: str, clear: Callable[[], None]) -> None:
     _CACHES[name] = clear
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a Python worker lives on after its task, beside other stages' tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # a C library without it
+        pass
+
+
 def sliced(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that the text column of a slice has about ``most`` bytes."""
     start = held = 0
@@ -54,7 +66,9 @@ def utf8(batch: pa.RecordBatch, column: str) -> list[bytes | None]:
     return field(batch, column).cast(pa.binary()).to_pylist()
 
 
-def add_columns(df: DataFrame, text_col: str, added: str, make: Callable[[], Work]) -> DataFrame:
+def add_columns(
+    df: DataFrame, text_col: str, added: str, make: Callable[[], Work], slice_bytes: int = SLICE_BYTES
+) -> DataFrame:
     """Keep all columns of ``df`` and add those of the DDL string ``added``.
 
     ``make()`` runs once per task and returns a function from a batch to one list or array per added
@@ -71,9 +85,11 @@ def add_columns(df: DataFrame, text_col: str, added: str, make: Callable[[], Wor
         fields = to_arrow_schema(new)
         work = make()
         for whole in batches:
-            for batch in sliced(whole, text_col):
+            for batch in sliced(whole, text_col, slice_bytes):
                 extra = [pa.array(values, type=f.type) for values, f in zip(work(batch), fields, strict=True)]
                 yield pa.RecordBatch.from_arrays(batch.columns + extra, names=batch.schema.names + fields.names)
+        del work
+        give_back()
 
     return df.mapInArrow(run, schema)
 
@@ -122,3 +138,5 @@ def whole_cells(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[
         else:
             held.append(batch)
     yield from complete()
+    held.clear()
+    give_back()

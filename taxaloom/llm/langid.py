@@ -211,4 +211,5 @@ def identify(docs: DataFrame, samples: dict[str, str], text_col: str = "text") -
 
         return work
 
-    return add_columns(docs, text_col, "lang_pred string, score double, phrase_rate double", make)
+    added = "lang_pred string, score double, phrase_rate double"
+    return add_columns(docs, text_col, added, make, slice_bytes=4 << 20)  # lanes of many texts at once

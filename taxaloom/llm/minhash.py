@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from taxaloom.llm.arrow import Work, add_columns, own_cache, utf8, whole_cells
+from taxaloom.llm.arrow import Work, add_columns, give_back, own_cache, utf8, whole_cells
 from taxaloom.llm.components import checked, components
 from taxaloom.session import stage
 
@@ -172,6 +172,7 @@ def prune(pairs: DataFrame, sigs: DataFrame) -> DataFrame:
                 matches[alive] += (left[alive, done:n] == right[alive, done:n]).sum(1)
                 alive, done = alive[matches[alive] >= fewest], n
             yield batch.select(["a", "b"]).take(pa.array(alive))
+        give_back()
 
     wide = pairs.join(sigs.select(F.col("id").alias("a"), F.col("sig").alias("sig_a")), "a").join(
         sigs.select(F.col("id").alias("b"), F.col("sig").alias("sig_b")), "b"
@@ -196,6 +197,7 @@ def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                 if 100 * shared >= PERCENT * (len(own) + len(other) - shared):
                     kept.append(i)
             yield batch.select(["a", "b"]).take(pa.array(kept, pa.int64()))
+        give_back()
 
     wide = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a").join(
         texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b"

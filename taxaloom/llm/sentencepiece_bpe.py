@@ -29,7 +29,7 @@ from taxaloom.llm.arrow import Work, add_columns, own_cache, texts
 #: SentencePiece's visible stand-in for a space (fixed value)
 MARK = "▁"
 #: different chunks a Python worker remembers before it starts anew
-CACHE_CHUNKS = 300_000
+CACHE_CHUNKS = 200_000
 #: chunks of up to so many characters share an array agenda
 SHORT = 48
 #: chunks in one array agenda
