@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 
 HOT_KEYS = 128
 SKETCH_GROUPS = 512
+# a table below this size has no key that a task could not hold; it is not searched for hot ones
+SMALL_BYTES = 64 << 20
 
 Keys = Sequence["str | tuple[str, str]"]
 
@@ -81,6 +83,11 @@ def hot_hashes(df: DataFrame, hashed: str) -> list[int]:
     return sorted(r["item"] for r in largest if r["item"] is not None and r["n"] * 2 * HOT_KEYS >= total)
 
 
+def _estimated_bytes(df: DataFrame) -> int:
+    """Spark's own estimate of a frame's size; no job is run."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def lookup_join(
     left: DataFrame,
     right: DataFrame,
@@ -124,7 +131,8 @@ def lookup_join(
     if bounded:
         return left.join(F.broadcast(target), condition, how).drop(*renamed.values())
     left_hash, right_hash = _key_hashes(left, target, [(l, renamed[r]) for l, r in pairs])
-    hot = hot_hashes(keys_from, left_hash) if skewed and keys_from is not None else []
+    searched = skewed and keys_from is not None and _estimated_bytes(keys_from) >= SMALL_BYTES
+    hot = hot_hashes(keys_from, left_hash) if searched else []
     if not hot:
         return left.join(target, condition, how).drop(*renamed.values())
     salts = _salts(left)

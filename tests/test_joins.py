@@ -24,7 +24,8 @@ def target(spark):
 
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
 @pytest.mark.parametrize("broadcast", ["-1", "10485760"])
-def test_lookup_join_equals_plain_join(spark, skewed, target, how, broadcast):
+def test_lookup_join_equals_plain_join(spark, skewed, target, how, broadcast, monkeypatch):
+    monkeypatch.setattr(joins, "SMALL_BYTES", 0)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
     try:
         # the key types differ on purpose
@@ -36,7 +37,8 @@ def test_lookup_join_equals_plain_join(spark, skewed, target, how, broadcast):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
 
 
-def test_hot_key_is_found_and_spread(spark, skewed, target):
+def test_hot_key_is_found_and_spread(spark, skewed, target, monkeypatch):
+    monkeypatch.setattr(joins, "SMALL_BYTES", 0)
     hot = joins.hot_hashes(skewed, "xxhash64(k)")
     assert skewed.filter(F.col("k") == 7).select(F.xxhash64("k")).first()[0] in hot
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
