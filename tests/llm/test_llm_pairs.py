@@ -142,6 +142,19 @@ def test_pivot_recall_near_the_threshold(spark):
     assert sum(r.n_links for r in out) >= 0.9 * 3000
 
 
+@pytest.mark.parametrize("n_pivots", [1_400, 4_096])
+def test_pivot_recall_at_the_threshold_with_many_pivots(spark, n_pivots):
+    rng = np.random.RandomState(5)
+    base, side, other = rng.randn(1_000, 64), rng.randn(1_000, 64), rng.randn(14_000, 64)
+    base /= np.linalg.norm(base, axis=1)[:, None]
+    side -= (side * base).sum(1)[:, None] * base
+    side /= np.linalg.norm(side, axis=1)[:, None]
+    rows = list(enumerate(np.vstack([base, 0.90001 * base + np.sqrt(1 - 0.90001**2) * side, other]).tolist()))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    out = pivots.near_duplicates(df, n_pivots=n_pivots).collect()
+    assert sum(r.n_links for r in out) >= 0.93 * 2_000
+
+
 def test_empty_vectors(spark):
     assert pivots.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
