@@ -16,6 +16,8 @@ from taxaloom.session import stage
 
 #: columns that the stages read; the others pass beside them
 OWN = ["doc_id", "text"]
+#: similarity from which documents are near-duplicates
+NEAR_PERCENT = 80
 
 
 def known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,7 +29,7 @@ def known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of near-duplicates."""
-    return beside(docs, OWN, minhash.keep_one)
+    return beside(docs, OWN, lambda d: minhash.keep_one(d, percent=NEAR_PERCENT))
 
 
 def contamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,7 +10,8 @@
 4. A pair is pruned when, after a batch of signature rows, the posterior probability (uniform prior) that the
    similarity reaches the threshold falls below ``MISS``. Survivors are verified on their full sets.
 
-A pair at exactly 0.85 shares no band with probability 1.2e-5 and is pruned with about 4e-6.
+A pair at exactly 0.85 shares no band with probability 1.2e-5 and is pruned with about 4e-6. Bands are added for
+lower thresholds (``bands_for``): a pair at exactly 0.80 shares none of 37 bands with probability 1.3e-5.
 
 Defined results: texts that are null, empty or without words have no shingles and link with nothing; a
 text of fewer words than a shingle has is one shingle; rows that repeat an id are one document (linked);
@@ -20,7 +21,7 @@ rows with a null id link with nothing and are kept; other columns are not read.
 from __future__ import annotations
 
 import hashlib
-from math import comb
+from math import ceil, comb, log
 
 import numpy as np
 import pyarrow as pa
@@ -33,9 +34,12 @@ from taxaloom.llm.components import checked, components
 from taxaloom.session import stage
 
 SHINGLE = 5
-#: links need PERCENT * union <= 100 * intersection
+#: links need percent * union <= 100 * intersection; this is the percent of the query
 PERCENT = 85
 BANDS, BAND_ROWS = 24, 6
+#: chance that a pair at the threshold shares no band; bands are added until it is met
+BAND_MISS = 1.5e-5
+MOST_BANDS = 400
 HASHES = BANDS * BAND_ROWS
 #: signature rows compared between two looks at the posterior
 BATCH = 36
@@ -52,6 +56,17 @@ _random = np.random.RandomState(20_011)
 _mult = _random.randint(0, 1 << 62, HASHES, np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 _plus = _random.randint(0, 1 << 62, HASHES, np.int64).astype(np.uint64)
 _place = _random.randint(0, 1 << 62, 64, np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+_more = (MOST_BANDS - BANDS) * BAND_ROWS  # hash functions of added bands
+_mult = np.concatenate((_mult, _random.randint(0, 1 << 62, _more, np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)))
+_plus = np.concatenate((_plus, _random.randint(0, 1 << 62, _more, np.int64).astype(np.uint64)))
+
+
+def bands_for(percent: int) -> int:
+    """Bands with which a pair at the threshold shares none with probability ``BAND_MISS`` at most."""
+    bands = max(BANDS, ceil(log(BAND_MISS) / log(1 - (percent / 100) ** BAND_ROWS))) if percent < 100 else BANDS
+    if bands > MOST_BANDS:
+        raise ValueError(f"a similarity of {percent} % needs {bands} bands, more than {MOST_BANDS}")
+    return bands
 
 
 class _WordHashes(dict):
@@ -96,27 +111,29 @@ def shingles(text: bytes | None, size: int = SHINGLE) -> np.ndarray:
     return np.unique(_mixed(total))
 
 
-def signature(hashes: np.ndarray) -> np.ndarray:
+def signature(hashes: np.ndarray, bands: int = BANDS) -> np.ndarray:
     """The smallest value of the set under each hash function."""
-    best = np.full(HASHES, np.iinfo(np.uint32).max, np.uint32)
+    size = bands * BAND_ROWS
+    best = np.full(size, np.iinfo(np.uint32).max, np.uint32)
     for k in range(0, len(hashes), 1024):
-        values = (_mult[:, None] * hashes[None, k : k + 1024] + _plus[:, None]) >> np.uint64(32)
+        values = (_mult[:size, None] * hashes[None, k : k + 1024] + _plus[:size, None]) >> np.uint64(32)
         np.minimum(best, values.min(1).astype(np.uint32), out=best)
     return best
 
 
 def band_keys(sig: np.ndarray) -> list[int]:
-    rows = sig.reshape(BANDS, BAND_ROWS).astype(np.uint64)
-    keys = (rows * _place[:BAND_ROWS]).sum(1, dtype=np.uint64) + np.arange(1, BANDS + 1, dtype=np.uint64) * _place[62]
+    rows = sig.reshape(-1, BAND_ROWS).astype(np.uint64)
+    keys = (rows * _place[:BAND_ROWS]).sum(1, dtype=np.uint64) + np.arange(1, len(rows) + 1, dtype=np.uint64) * _place[62]
     return _mixed(keys).view(np.int64).tolist()
 
 
-def sets_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def sets_of(docs: DataFrame, id_col: str, text_col: str, percent: int = PERCENT) -> DataFrame:
     """(id, n_shingles, digest, sig, bands) per row; digest, sig and bands are null without shingles.
 
     ``sig`` keeps the lower half of each signature value: unequal values agree there with probability
-    2^-16, which can only let a pair survive.
+    2^-16, which can only let a pair survive. It has the rows of ``BANDS`` bands; only bands are added.
     """
+    n_bands = bands_for(percent)
 
     def make() -> Work:
         own_words()
@@ -131,9 +148,9 @@ def sets_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                     sigs.append(None)
                     bands.append(None)
                     continue
-                sig = signature(hashes)
+                sig = signature(hashes, n_bands)
                 digests.append(hashlib.blake2b(hashes.tobytes(), digest_size=16).digest())
-                sigs.append(sig.astype(np.uint16).tobytes())
+                sigs.append(sig[:HASHES].astype(np.uint16).tobytes())
                 bands.append(band_keys(sig))
             return [counts, digests, sigs, bands]
 
@@ -156,9 +173,9 @@ def fewest_matches(percent: int = PERCENT, miss: float = MISS) -> list[tuple[int
     return out
 
 
-def prune(pairs: DataFrame, sigs: DataFrame) -> DataFrame:
+def prune(pairs: DataFrame, sigs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Pairs (a, b) that no look at their signatures rules out. ``sigs``: (id, sig)."""
-    looks = fewest_matches()
+    looks = fewest_matches(percent)
 
     def run(batches):
         for batch in batches:
@@ -180,7 +197,7 @@ def prune(pairs: DataFrame, sigs: DataFrame) -> DataFrame:
     return wide.select("a", "b", "sig_a", "sig_b").mapInArrow(run, pairs.select("a", "b").schema).distinct()
 
 
-def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def verify(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Pairs (a, b) whose full shingle sets are similar enough. ``texts``: (id, text)."""
 
     def run(batches):
@@ -194,7 +211,7 @@ def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                     last = ((b, text_b), shingles(text_b))
                 own, other = shingles(text_a), last[1]
                 shared = len(np.intersect1d(own, other, assume_unique=True))
-                if 100 * shared >= PERCENT * (len(own) + len(other) - shared):
+                if 100 * shared >= percent * (len(own) + len(other) - shared):
                     kept.append(i)
             yield batch.select(["a", "b"]).take(pa.array(kept, pa.int64()))
         give_back()
@@ -205,16 +222,16 @@ def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return wide.select("a", "b", "text_a", "text_b").mapInArrow(run, pairs.select("a", "b").schema)
 
 
-def _links(pairs: DataFrame, sigs: DataFrame, texts: DataFrame) -> DataFrame:
-    survivors = stage(prune(pairs, sigs), "survivors")
+def _links(pairs: DataFrame, sigs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    survivors = stage(prune(pairs, sigs, percent), "survivors")
     ids = survivors.select(F.col("a").alias("id")).union(survivors.select(F.col("b").alias("id"))).distinct()
     needed = texts.join(checked(stage(ids, "needed")), "id", "left_semi")
-    return stage(verify(survivors, needed), "links")
+    return stage(verify(survivors, needed, percent), "links")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """(id, n_shingles, component_id, kept) per row; ``kept`` marks the smallest id of each component."""
-    sets = stage(sets_of(docs, id_col, text_col), "sets")
+    sets = stage(sets_of(docs, id_col, text_col, percent), "sets")
     linkable = sets.where("id is not null and digest is not null")
     classes = stage(linkable.groupBy("digest").agg(F.min("id").alias("rep")), "classes")
     # buckets of representatives; those with one member are dropped
@@ -231,7 +248,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     # each with the smallest member of all its buckets
     first = members.groupBy(F.col("id").alias("a")).agg(F.min("centre").alias("b")).where("b < a")
-    found = _links(stage(first, "pairs"), sigs, texts)
+    found = _links(stage(first, "pairs"), sigs, texts, percent)
     # an id with several texts links their classes
     own = linkable.select("id", "digest").join(classes, "digest")
     several = own.groupBy("id").agg(F.min("rep").alias("a"), F.max("rep").alias("last")).where("a < last")
@@ -269,16 +286,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "cells",
     )
     if not cells.isEmpty():
-        linked = stage(_cell_links(cells, sigs, texts), "links")
+        linked = stage(_cell_links(cells, sigs, texts, percent), "links")
         if not linked.isEmpty():
             known = labels.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
             labels = components(known.unionByName(linked))
     return _result(sets, classes, labels).withColumnRenamed("id", id_col)
 
 
-def _cell_links(cells: DataFrame, sigs: DataFrame, texts: DataFrame) -> DataFrame:
+def _cell_links(cells: DataFrame, sigs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """(a, b): links between components that members of a cell's two blocks have."""
-    looks = fewest_matches()
+    looks = fewest_matches(percent)
 
     def run(batches):
         own_words()
@@ -298,7 +315,7 @@ def _cell_links(cells: DataFrame, sigs: DataFrame, texts: DataFrame) -> DataFram
                 found.clear()
                 left = np.flatnonzero(block[s:e] == i[s]) + s
                 right = left if i[s] == j[s] else np.flatnonzero(block[s:e] == j[s]) + s
-                for a, b in _verified_pairs(left, right, comp, ids, sig, of, looks):
+                for a, b in _verified_pairs(left, right, comp, ids, sig, of, looks, percent):
                     out[0].append(int(comp[a]))
                     out[1].append(int(comp[b]))
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], names=["a", "b"])
@@ -308,7 +325,7 @@ def _cell_links(cells: DataFrame, sigs: DataFrame, texts: DataFrame) -> DataFram
     return wide.select(*columns).mapInArrow(run, "a long, b long").distinct()
 
 
-def _verified_pairs(left, right, comp, ids, sig, of, looks):
+def _verified_pairs(left, right, comp, ids, sig, of, looks, percent):
     """Pairs of rows of different components that are similar enough: the first of every pair of components
     that is not connected by earlier ones of this cell."""
     if not len(left) or not len(right):
@@ -342,7 +359,7 @@ def _verified_pairs(left, right, comp, ids, sig, of, looks):
         if ca == cb:
             continue
         common = len(np.intersect1d(of(a), of(b), assume_unique=True)) if shared is None else int(shared[k])
-        if 100 * common >= PERCENT * (len(of(a)) + len(of(b)) - common):
+        if 100 * common >= percent * (len(of(a)) + len(of(b)) - common):
             root[max(ca, cb)] = min(ca, cb)
             yield a, b
 
@@ -378,11 +395,11 @@ def _result(sets: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame
     return found.withColumn("kept", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)))
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """The documents without near-duplicates: of each component the row of the smallest id stays, and of rows
     that repeat an id the one with the smallest text."""
     columns = docs.columns
-    found = stage(near_duplicates(docs, id_col, text_col), "found")
+    found = stage(near_duplicates(docs, id_col, text_col, percent), "found")
     gone = stage(found.where("not kept").select(id_col).distinct(), "gone")
     left = docs.join(checked(gone), id_col, "left_anti")
     several = found.where(F.col("kept") & F.col(id_col).isNotNull()).groupBy(id_col).agg(F.count("*").alias("n")).where("n > 1")

@@ -69,7 +69,7 @@ def roots(ids, edges):
     return {i: find(i) for i in ids}
 
 
-def near_duplicates(rows):
+def near_duplicates(rows, percent=85):
     """{id: (n_shingles, component)} of [(id, text)] with unique ids"""
     sets = {i: shingle_set(t) for i, t in rows}
     ids = sorted(sets)
@@ -77,7 +77,7 @@ def near_duplicates(rows):
     for k, a in enumerate(ids):
         for b in ids[k + 1 :]:
             shared = len(sets[a] & sets[b])
-            if shared and 100 * shared >= 85 * len(sets[a] | sets[b]):
+            if shared and 100 * shared >= percent * len(sets[a] | sets[b]):
                 edges.append((a, b))
     component = roots(ids, edges)
     return {i: (len(sets[i]), component[i]) for i in ids}

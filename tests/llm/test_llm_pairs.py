@@ -86,6 +86,19 @@ def test_repeated_and_null_ids(spark):
     assert minhash.keep_one(df.limit(0)).count() == 0
 
 
+def test_pipeline_drops_copies_from_eighty_percent(spark):
+    words = [f"w{i}" for i in range(204)]  # 200 shingles; the copies share 178 and 175 of 222 and 225
+    rows = [(1, " ".join(words)), (2, " ".join(words[:-22] + [f"x{i}" for i in range(22)])), (3, " ".join(words[:-25] + [f"y{i}" for i in range(25)]))]
+    rows += [(i, text) for i, text in enumerate(copies(9), 10)]
+    df = spark.createDataFrame(rows, DOCS)
+    for percent in (80, 85):
+        out = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_duplicates(df, percent=percent).collect()}
+        assert out == brute.near_duplicates(rows, percent)
+    kept = {r.doc_id for r in corpus_pipeline.near_duplicates(spark, df, SF).collect()}
+    assert 2 not in kept and 3 in kept
+    assert (1 - 0.8**minhash.BAND_ROWS) ** minhash.bands_for(80) < 2e-5 and minhash.bands_for(85) == minhash.BANDS
+
+
 def test_posterior_bounds():
     for n, fewest in minhash.fewest_matches():
         assert fewest < 0.85 * n
