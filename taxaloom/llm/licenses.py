@@ -5,6 +5,9 @@ digest is joined with the digests of known license texts. Whole documents are lo
 lines, so that notices inside other text are found; both must match a known text entirely. Only lines
 as long as some known text are digested and moved.
 
+``text_digest`` and lines leave out every line that begins with "copyright". A wrapped license text has such lines
+too, so a whole text is also looked up in a second form that leaves out statements of a year or a holder only.
+
 Defined results: null and empty texts, and texts of copyright lines only, have no license; rows that
 repeat an id are one document with the licenses of all its rows; a null id has one row; an empty table
 gives an empty result; other columns are not read.
@@ -12,6 +15,9 @@ gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
+import re
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -54,14 +60,54 @@ KNOWN = [
     ),
 ]
 
+#: first lines that stand above a license text, or don't
+TITLES = {
+    "MIT": ["MIT License", "The MIT License", "The MIT License (MIT)"],
+    "ISC": ["ISC License", "The ISC License"],
+    "Zlib": ["zlib License", "The zlib License"],
+    "BSD-2-Clause": ["BSD 2-Clause License", "The BSD 2-Clause License"],
+    "BSD-3-Clause": ["BSD 3-Clause License", "The BSD 3-Clause License"],
+    "Unlicense": ["The Unlicense", "Unlicense"],
+}
+
+
+def full_texts() -> list[tuple[str, str]]:
+    """Whole license texts: those of ``license_texts`` as published, and all that have titles with each of these, with
+    and without the line that often follows a copyright line."""
+    files = sorted((Path(__file__).parent / "license_texts").glob("*.txt"))
+    out = [(p.stem, p.read_text(encoding="utf-8")) for p in files]
+    out += [(name, text) for name, text in KNOWN if len(text) > 300]
+    return [
+        (name, "\n".join([*title, *reserved, text]))
+        for name, text in out
+        for title in [[], *([t] for t in TITLES.get(name, []))]
+        for reserved in ([], ["All rights reserved."])
+    ]
+
+
 _COPYRIGHT = r"(?m)^[ \t]*(copyright|\(c\)|\x{00A9})[^\n]*$"
 _NO_WORD = r"[^a-z0-9\x{0080}-\x{10FFFF}\n]+"
 
 
-def lined(text: Column) -> Column:
+def _statement() -> str:
+    """Pattern of a line that states a copyright: the sign, a year or a holder follows, not a word that follows in a
+    license text ("copyright notice", "(c) You must")."""
+    after: dict[str, set[str]] = {"copyright": set(), "(c)": set()}
+    for _, text in full_texts():
+        for start, word in re.findall(r"(copyright|\(c\))\s+([a-z]+)", text.lower()):
+            after[start].add(word)
+    words = {k: "|".join(sorted(v - {"copyright"})) for k, v in after.items()}
+    more = r"[ \t:,]*(?:\(c\)|\x{00A9}|[0-9]{4}|[<\[{])"
+    return (
+        rf"(?m)^[ \t]*(?:\x{{00A9}}|copyright{more}|\(c\){more}|copyright[ \t]+(?!(?:{words['copyright']})\b)[^ \t\n]"
+        rf"|\(c\)[ \t]+(?!(?:{words['(c)']})\b)[^ \t\n])[^\n]*$"
+    )
+
+
+def lined(text: Column, copyright_: str = _COPYRIGHT) -> Column:
     """The text in canonical form, its lines kept: words with one space between them."""
     plain = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    plain = F.regexp_replace(F.regexp_replace(plain, "\r", "\n"), _COPYRIGHT, "")
+    plain = F.regexp_replace(F.regexp_replace(plain, "\r", "\n"), copyright_, "")
     plain = F.regexp_replace(plain, _NO_WORD, " ")
     for old, new in SPELLINGS:
         plain = F.regexp_replace(plain, rf"\b{old}\b", new)
@@ -73,10 +119,12 @@ def squeezed(lines: Column) -> Column:
     return F.trim(F.regexp_replace(lines, r"[ \n]+", " "))
 
 
-def known_digests(spark, known: list[tuple[str, str]] = KNOWN) -> DataFrame:
-    """(digest, license, n_chars) of known texts, normalised as documents are."""
-    rows = spark.createDataFrame(known, "license string, text string")
-    canonical = squeezed(lined(F.col("text")))
+def known_digests(spark, known: list[tuple[str, str]] | None = None) -> DataFrame:
+    """(digest, license, n_chars) of known texts, normalised as documents are, in both forms."""
+    rows = spark.createDataFrame(KNOWN + full_texts() if known is None else known, "license string, text string")
+    forms = F.array(squeezed(lined(F.col("text"))), squeezed(lined(F.col("text"), _statement())))
+    rows = rows.select("license", F.explode(F.array_distinct(forms)).alias("canonical"))
+    canonical = F.col("canonical")
     return rows.select(F.md5(canonical).alias("digest"), "license", F.length(canonical).alias("n_chars")).dropDuplicates(["digest"])
 
 
@@ -84,7 +132,10 @@ def scan(docs: DataFrame, known: DataFrame | None = None, id_col: str = "doc_id"
     """(id, text_digest, license, line_licenses, n_lines) per id: the license that the whole text is, those that
     lines are (sorted, comma-joined) and the number of such lines."""
     known = known_digests(docs.sparkSession) if known is None else known
-    rows = docs.select(F.col(id_col).alias("id"), lined(F.coalesce(F.col(text_col), F.lit(""))).alias("lines"))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    # the second form differs only where the first one leaves lines out
+    second = F.when(text.rlike("(?i)" + _COPYRIGHT.replace("^", r"(?:^|\r)", 1)), F.md5(squeezed(lined(text, _statement()))))
+    rows = docs.select(F.col(id_col).alias("id"), lined(text).alias("lines"), second.alias("second"))
     rows = rows.withColumn("whole", squeezed(F.col("lines")))
     lengths = sorted(r.n_chars for r in known.select("n_chars").distinct().collect())  # one row per known length
     lines = F.transform(F.split("lines", "\n"), lambda x: F.trim(F.regexp_replace(x, " +", " ")))
@@ -93,7 +144,10 @@ def scan(docs: DataFrame, known: DataFrame | None = None, id_col: str = "doc_id"
         F.md5("whole").alias("text_digest"),
         F.explode(
             F.concat(
-                F.array(F.struct(F.lit(True).alias("all"), F.md5("whole").alias("digest"))),
+                F.transform(
+                    F.array_distinct(F.array(F.md5("whole"), F.coalesce("second", F.md5("whole")))),
+                    lambda x: F.struct(F.lit(True).alias("all"), x.alias("digest")),
+                ),
                 F.transform(
                     F.filter(lines, lambda x: F.length(x).isin(lengths)),
                     lambda x: F.struct(F.lit(False).alias("all"), F.md5(x).alias("digest")),

@@ -239,3 +239,24 @@ def test_licenses(spark):
     assert out[None].license == "reserved"
     assert all((out[i].license, out[i].line_licenses) == (None, "") for i in (3, 4, 5))
     assert licenses.scan(spark.createDataFrame([], DOCS)).count() == 0
+
+
+def test_wrapped_license_texts(spark):
+    import textwrap
+
+    rows, want = [], []
+    for name, text in licenses.full_texts():
+        for width in (72, 60):
+            # texts that state a copyright of their own are published with these line breaks
+            own = name.startswith(("GPL", "LGPL"))
+            parts = [text] if own else ["\n".join(textwrap.wrap(p, width)) for p in text.split("\n\n")]
+            first = [textwrap.fill(t, width) for t in licenses.TITLES.get(name, [])[:1]]
+            rows.append((len(rows), "\n\n".join([] if own else ["Copyright (c) 2020, Some Holder", "Copyright Other Holder"]) + "\n\n" + "\n\n".join(parts)))
+            want.append(name)
+            if first and not text.startswith(tuple(licenses.TITLES[name])):
+                rows.append((len(rows), "\r\n".join([*first, "", "Copyright 2020 Holder", "", *parts])))
+                want.append(name)
+    rows.append((len(rows), "Copyright notice and this permission notice"))
+    out = {r.doc_id: r.license for r in licenses.scan(spark.createDataFrame(rows, DOCS)).collect()}
+    assert [out[i] for i in range(len(want))] == want and out[len(want)] is None
+    assert {"Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "Unlicense"} <= set(want)
