@@ -31,8 +31,8 @@ SAMPLE_CHARS = 40_000
 SAMPLE_ROWS, ROW_CHARS = 400, 1_500
 #: characters that one lane parses
 PIECE = 2_048
-#: different letters that the automata tell apart; rarer ones count as unseen
-LETTERS = 120
+#: letters of a language that a full row of its table has; transitions on others are kept as sorted pairs
+LETTERS = 60
 
 
 def _is_letter() -> np.ndarray:
@@ -48,12 +48,10 @@ class Parser:
         plain = {lang: self.spaced(text) for lang, text in sorted(samples.items())}
         plain = {lang: codes for lang, codes in plain.items() if len(codes) > 2}
         self.languages = list(plain)
-        points, counts = np.unique(np.concatenate([np.empty(0, np.uint32), *plain.values()]), return_counts=True)
-        common = points[np.argsort(-counts, kind="stable")][:LETTERS]
-        self.classes = np.zeros(0x110000, np.uint8)  # 0: unseen
-        self.classes[common] = np.arange(1, len(common) + 1)
-        self.width = len(common) + 1
-        self.tables = [self._table(self.classes[codes].tolist()) for codes in plain.values()]
+        self.points = np.unique(np.concatenate([np.empty(0, np.uint32), *plain.values()]))
+        self.classes = np.zeros(0x110000, np.int32)  # 0: unseen
+        self.classes[self.points] = np.arange(1, len(self.points) + 1)
+        self.tables = [self._table(self.classes[codes]) for codes in plain.values()]
 
     def spaced(self, text: str) -> np.ndarray:
         """Code points of a text in lower case, each run of other characters as one space, one at both ends."""
@@ -62,10 +60,16 @@ class Parser:
         kept = letter | np.concatenate(([True], letter[:-1]))  # a separator after a letter, or at the start
         return np.where(letter, points, 32)[kept].astype(np.uint32)
 
-    def _table(self, codes: list[int]) -> np.ndarray:
-        """Suffix automaton as a flat table: next state by (state, class). State 1 is the root; state 0 is no
-        state, so a parse that stands on it starts a phrase."""
-        width = self.width
+    def _table(self, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Suffix automaton of one language: (column by class, next state by (state, column), and the rare letters'
+        transitions: state * classes + class, ascending, and next state). The ``LETTERS`` most frequent letters have
+        columns; column 0 leads nowhere. State 1 is the root; state 0 is no state, so a parse that stands on it
+        starts a phrase."""
+        seen, counts = np.unique(classes, return_counts=True)
+        common = seen[np.argsort(-counts, kind="stable")][:LETTERS]
+        column = np.zeros(len(self.points) + 1, np.uint8)
+        column[common] = np.arange(1, len(common) + 1)
+        codes = classes.tolist()
         link, length, rows = [0, 0], [0, 0], [None, {}]
         last = 1
         for c in codes:
@@ -91,12 +95,17 @@ class Parser:
                         at = link[at]
                     link[to] = link[new] = copy
             last = new
-        table = np.zeros((len(rows), width), np.int32)
+        table, rare = np.zeros((len(rows), len(common) + 1), np.int32), []
+        places = column.tolist()
         for state, row in enumerate(rows):
             for c, to in (row or {}).items():
-                if c:  # class 0 matches nothing
-                    table[state, c] = to
-        return table
+                if places[c]:
+                    table[state, places[c]] = to
+                else:
+                    rare.append((state * len(places) + c, to))
+        rare.sort()
+        keys, states = (np.array([x[k] for x in rare], np.int64) for k in (0, 1))
+        return column, table, keys, states
 
     def phrases(self, texts_: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(letters and spaces parsed per text, phrases per text and language)"""
@@ -113,16 +122,26 @@ class Parser:
         lengths = np.array([len(p) for p in pieces])
         order = np.argsort(-lengths, kind="stable")
         owner, lengths = np.array(owner)[order], lengths[order]
-        grid = np.zeros((lengths[0], len(pieces)), np.uint8)
+        grid = np.zeros((lengths[0], len(pieces)), np.int32)
         for lane, i in enumerate(order):
             grid[: lengths[lane], lane] = pieces[i]
         active = np.searchsorted(-lengths, -np.arange(lengths[0]), side="left")  # lanes longer than the step
-        for k, table in enumerate(self.tables):
-            flat, root = table.ravel(), table[1]
+        size = len(self.points) + 1
+        for k, (column, table, keys, states) in enumerate(self.tables):
+            flat, width = table.ravel(), table.shape[1]
+            root = table[1][column]  # by class
+            first = (keys >= size) & (keys < 2 * size)
+            root[keys[first] - size] = states[first]
+            rare = np.zeros(size, bool)
+            rare[keys % size] = True
             state, found = np.zeros(len(pieces), np.int64), np.zeros(len(pieces), np.int64)
             for step, n in enumerate(active):
                 c = grid[step, :n]
-                to = flat[state[:n] * self.width + c]
+                to = flat[state[:n] * width + column[c]]
+                if len(keys) and len(lanes := np.flatnonzero(rare[c])):
+                    wanted = state[lanes] * size + c[lanes]
+                    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+                    to[lanes] = np.where(keys[at] == wanted, states[at], 0)
                 new = to == 0
                 found[:n] += new
                 state[:n] = np.where(new, root[c], to)

@@ -196,6 +196,24 @@ def test_phrases_equal_brute_force():
         assert counts[i].tolist() == [phrases(spaced, plain["aa"]), phrases(spaced, plain["bb"])]
 
 
+def test_letters_of_large_alphabets_are_told_apart():
+    random.seed(7)
+    blocks = {"han": (0x4E00, 3000), "hangul": (0xAC00, 2000), "kyr": (0x430, 32), "lat": (0x61, 26), "other": (0x4E00, 3000)}
+    texts, samples = {}, {}
+    for lang, (start, n) in blocks.items():
+        words = ["".join(chr(start + random.randrange(n)) for _ in range(random.randint(2, 5))) for _ in range(400)]
+        samples[lang] = " ".join(random.choice(words) for _ in range(2_000))
+        texts[lang] = [" ".join(random.choice(words) for _ in range(20)) for _ in range(10)]
+    parser = langid.Parser(samples)
+    for lang, own in texts.items():
+        langs, scores, _ = parser.predict(own)
+        assert langs == [lang] * len(own) and min(scores) > 0.2
+    mixed = [" ".join(random.choice(random.choice(list(texts.values()))).split()[:3]) + "\u4e00\u3042x" for _ in range(40)]
+    _, counts = parser.phrases(mixed)
+    for i, text in enumerate(mixed):
+        assert counts[i].tolist() == [phrases(f" {text} ", f" {samples[lang]} ") for lang in parser.languages]
+
+
 def test_languages_of_held_out_rows(spark, documents):
     rows = QUERIES["op8_language"](spark, SF).collect()
     assert sorted(r.doc_id for r in rows) == sorted(documents)
