@@ -21,8 +21,11 @@ NEAR_PERCENT = 80
 
 
 def known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop the documents whose language can't be told, since they have no text or no letters."""
+    """Drop the documents whose language can't be told, since they have no text or no letters. Where no row has a
+    known language, all documents with letters stay."""
     samples = langid.labelled_sample(docs)
+    if not langid.has_languages(samples):
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     known = F.col("lang_pred") != langid.UNKNOWN
     return beside(docs, OWN, lambda d: langid.identify(d, samples).where(known))
 

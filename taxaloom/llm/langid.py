@@ -26,8 +26,8 @@ from taxaloom.session import stage
 
 UNKNOWN = "und"
 #: characters of labelled text per language
-SAMPLE_CHARS = 40_000
-#: labelled documents looked at per language, and characters taken of one
+SAMPLE_CHARS = 60_000
+#: labelled documents looked at per language, and characters taken of one at most, from a place given by the hash of its id
 SAMPLE_ROWS, ROW_CHARS = 400, 1_500
 #: characters that one lane parses
 PIECE = 2_048
@@ -191,7 +191,7 @@ def labelled_sample(
 ) -> dict[str, str]:
     """Up to ``chars`` characters of text per language, from rows in the order of a hash of the id.
 
-    Only ids are ranked; texts are fetched for the rows that were chosen.
+    Only ids are ranked; texts are fetched for the rows that were chosen. All of these give alike, as far as they reach.
     """
     ids = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & ~in_fold(id_col)).select(
         F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.xxhash64(id_col).alias("h")
@@ -204,9 +204,12 @@ def labelled_sample(
     near = ids.join(checked(stage(share, "shares")), "lang").where(unit < F.col("most"))
     first = Window.partitionBy("lang").orderBy("h", "id")
     chosen = near.withColumn("place", F.row_number().over(first)).where(F.col("place") <= SAMPLE_ROWS)
+    places = F.greatest(F.length(text_col) - ROW_CHARS + 1, F.lit(1))  # where a part may start
+    start = F.pmod(F.xxhash64(F.lit("start"), F.col(id_col)), places).cast("int") + 1
+    part = F.substring(F.col(text_col), start, F.lit(ROW_CHARS))
     rows = (
         docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-        .select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.substring(text_col, 1, ROW_CHARS).alias("text"))
+        .select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), part.alias("text"))
         .join(F.broadcast(chosen.select("id", "lang", "place")), ["id", "lang"])  # SAMPLE_ROWS per language
         .select("lang", "place", "text")
         .distinct()
@@ -215,7 +218,21 @@ def labelled_sample(
     out: dict[str, list[str]] = {}
     for r in sorted(rows, key=lambda r: (r.lang, r.place, r.text)):
         out.setdefault(r.lang, []).append(r.text)
-    return {lang: " ".join(parts)[:chars] for lang, parts in out.items()}
+    return {lang: _shared(parts, chars) for lang, parts in out.items()}
+
+
+def _shared(parts: list[str], chars: int) -> str:
+    """The start of every part, of such a length that all together have so many characters, or all of them."""
+    low, high = 0, ROW_CHARS
+    while low < high:
+        share = (low + high + 1) // 2
+        low, high = (share, high) if sum(min(len(p), share) + 1 for p in parts) <= chars + 1 else (low, share - 1)
+    return " ".join(p[: max(low, 1)] for p in parts)[:chars]
+
+
+def has_languages(samples: dict[str, str]) -> bool:
+    """Whether any language can be told with these samples."""
+    return any(c.isalpha() for text in samples.values() for c in text)
 
 
 def identify(docs: DataFrame, samples: dict[str, str], text_col: str = "text") -> DataFrame:

@@ -214,6 +214,21 @@ def test_letters_of_large_alphabets_are_told_apart():
         assert counts[i].tolist() == [phrases(f" {text} ", f" {samples[lang]} ") for lang in parser.languages]
 
 
+def test_sample_of_all_parts_of_many_rows(spark):
+    rows = [(i, "".join(chr(97 + k // 1_000) for k in range(20_000)), "xx") for i in range(300)]
+    docs = spark.createDataFrame(rows, DOCS + ", lang string")
+    sample = langid.labelled_sample(docs)["xx"]
+    assert 59_000 <= len(sample) <= 60_000 and len(set(sample)) > 15 and len(sample.split()) > 150
+    assert langid._shared(["abc", "d", "efgh"], 100) == "abc d efgh" and langid._shared(["abc", "d", "efgh"], 7) == "ab d ef"
+
+
+def test_language_stage_without_labels(spark):
+    import corpus_pipeline
+
+    docs = spark.createDataFrame([(1, "text", None), (2, "12 !", None), (3, None, None), (4, "日本", None)], DOCS + ", lang string")
+    assert sorted(r.doc_id for r in corpus_pipeline.known_languages(spark, docs, SF).collect()) == [1, 4]
+
+
 def test_languages_of_held_out_rows(spark, documents):
     rows = QUERIES["op8_language"](spark, SF).collect()
     assert sorted(r.doc_id for r in rows) == sorted(documents)
