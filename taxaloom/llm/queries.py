@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from taxaloom.llm import decontamination, importance, langid, licenses, minhash, pii, pivots, sentencepiece_bpe, sharding, toxicity
+from taxaloom.llm import decontamination, importance, langid, licenses, minhash, phrases, pii, pivots, sentencepiece_bpe, sharding, toxicity, whitening
 from taxaloom.llm.components import checked
 from taxaloom.session import stage
 
@@ -204,3 +204,39 @@ def op9_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 24 contiguous shards of near-equal bytes."""
     return sharding.shard_by_bytes(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened components of every sound embedding."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query(
+    r"""
+WITH piece AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x{0A}-\x{0D}]')) AS piece FROM documents),
+w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x{20}\x{09}]+'), lambda x: x <> '') AS w FROM piece),
+gram AS (
+  SELECT lang, k, w[i:i + k - 1] AS words, count(*) AS f
+  FROM (SELECT lang, w, k, unnest(generate_series(1, len(w) - k + 1)) AS i FROM w, generate_series(1, 5) AS s(k) WHERE len(w) >= k)
+  GROUP BY ALL),
+total AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM gram WHERE k = 1 GROUP BY 1),
+frequent AS (SELECT lang, k, words, list_aggregate(words, 'string_agg', ' ') AS phrase, f FROM gram WHERE f >= 100),
+cut AS (
+  SELECT p.lang, p.phrase, p.k, p.f AS a, x.f AS l, y.f AS r, n, x.k AS first_words,
+    CAST(1000::HUGEINT * p.f * n // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+  FROM frequent p JOIN frequent x ON x.lang = p.lang AND x.k < p.k AND x.words = p.words[1:x.k]
+  JOIN frequent y ON y.lang = p.lang AND y.k = p.k - x.k AND y.words = p.words[x.k + 1:] JOIN total ON total.lang = p.lang),
+best AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, first_words) = 1),
+closed AS (
+  SELECT b.* FROM best b WHERE NOT EXISTS (
+    SELECT 1 FROM frequent o WHERE o.lang = b.lang AND o.k > b.k AND 100 * o.f >= 100 * b.a
+      AND contains(' ' || o.phrase || ' ', ' ' || b.phrase || ' ')))
+SELECT lang, rank, phrase, a, l, r, n, score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM closed) WHERE rank <= 2000"""
+)
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The strongest collocations of each language."""
+    return phrases.collocations(table(spark, sf_dir, "documents"))
