@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from taxaloom.llm import decontamination, importance, langid, licenses, minhash, phrases, pii, pivots, sentencepiece_bpe, sharding, toxicity, whitening
+from taxaloom.llm import decontamination, importance, langid, licenses, minhash, phrases, pii, pivots, sentencepiece_bpe, sharding, suffix_dedup, toxicity, whitening
 from taxaloom.llm.components import checked
 from taxaloom.session import stage
 
@@ -240,3 +240,36 @@ FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The strongest collocations of each language."""
     return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+@query(
+    """
+WITH doc AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+place AS (SELECT doc_id, i, substr(h, 2 * i + 1, 200) AS w
+  FROM (SELECT doc_id, h, unnest(generate_series(0, len(h) // 2 - 100)) AS i FROM doc WHERE len(h) >= 200)),
+mark AS (SELECT doc_id, i FROM place QUALIFY row_number() OVER (PARTITION BY w ORDER BY doc_id, i) > 1),
+step AS (SELECT doc_id, i, i > coalesce(lag(i) OVER (PARTITION BY doc_id ORDER BY i), -101) + 100 AS new FROM mark),
+span AS (
+  SELECT doc_id, min(i) AS a, max(i) + 100 AS b
+  FROM (SELECT doc_id, i, sum(CAST(new AS INT)) OVER (PARTITION BY doc_id ORDER BY i) AS s FROM step) GROUP BY doc_id, s),
+cut AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM span),
+kept AS (
+  SELECT doc_id, string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS head, max(b) AS tail,
+    sum(b - a) AS n_removed, count(*) AS n_spans
+  FROM cut JOIN doc USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+  sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(tail, 0) + 1))) AS kept_sha256
+FROM doc LEFT JOIN kept USING (doc_id)"""
+)
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document without the passages that occur earlier."""
+    docs = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    n_bytes = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    return docs.select(
+        "doc_id",
+        n_bytes.alias("n_bytes"),
+        (n_bytes - F.octet_length("kept")).alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
