@@ -353,6 +353,8 @@ def _later_digits(texts: DataFrame, places: DataFrame) -> DataFrame:
             at, gram = found.field("at").to_numpy(), found.field("gram").to_numpy()
             order = np.lexsort((at, row))
             row, at, gram = row[order], at[order], gram[order]
+            once = np.append(True, (row[1:] != row[:-1]) | (at[1:] != at[:-1]))  # repeated rows of a document name a place again
+            row, at, gram = row[once], at[once], gram[once]
             start, n, twice, large = at >> 10, (at >> 2 & 0xFF) + 1, at >> 1 & 1 == 1, at & 1 == 1
             marked: list[tuple] = []
 
