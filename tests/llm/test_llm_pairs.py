@@ -258,7 +258,7 @@ def test_pipeline_equals_brute_force(spark, documents):
     # languages: the parser over plain Python rows; then the contracts of the other stages
     parser = langid.Parser(langid.labelled_sample(docs))
     rows = [(i, r.text) for i, r in sorted(documents.items()) if parser.predict([r.text])[0][0] != "und"]
-    component = brute.near_duplicates(rows)
+    component = brute.near_duplicates(rows, corpus_pipeline.NEAR_PERCENT)
     rows = [(i, t) for i, t in rows if component[i][1] == i]
     items = [(r.item_id, r.text) for r in table(spark, SF, "benchmark").collect()]
     clean = []
