@@ -42,7 +42,8 @@ SECOND_PERSON = frozenset(
 )
 #: characters written for letters (fixed values)
 SUBSTITUTES = str.maketrans("013457@$!", "oieastasi")
-OBFUSCATED = re.compile(r"[^\W\d_]+(?:[0-9@$!*][^\W\d_]+)+")
+# tried once per run of letters, without going back: linear in the longest word
+OBFUSCATED = re.compile(r"(?<![^\W\d_])[^\W\d_]++(?:[0-9@$!*][^\W\d_]++)++")
 #: ASCII letters lower-cased; other ASCII as spaces; bytes of other characters as they are
 LETTERS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 UPPER, PUNCTUATION = bytes(range(65, 91)), bytes(b for b in range(33, 127) if not chr(b).isalnum())
