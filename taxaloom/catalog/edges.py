@@ -341,7 +341,7 @@ def present_values(spark, sf_dir):
     """
 )
 def read_checklist_multiline(spark, sf_dir):
-    """Fields with line breaks inside quotes."""
+    """Fields with line breaks inside quotes, read in ranges of 2 kB, so that every file is cut inside quotes."""
     from taxaloom.sources.checklist import read_checklist
 
     path = stage_path(spark, "lines")
@@ -349,7 +349,7 @@ def read_checklist_multiline(spark, sf_dir):
         F.col("p_partkey").alias("Number"), F.concat("p_name", F.lit("\n"), "p_brand").alias("Remarks")
     )
     rows.orderBy("Number").write.csv(path, sep="|", header=True, quoteAll=True, escape='"')
-    return read_checklist(spark, path, multi_line=True).select("pos", "number", "remarks")
+    return read_checklist(spark, path, multi_line=True, range_bytes=2_048).select("pos", "number", "remarks")
 
 
 @query(
@@ -367,6 +367,15 @@ def field_counts(spark, sf_dir):
         F.col("p_partkey").cast("string"),
         F.when(F.col("p_size") < 5, "|x").when(F.col("p_size") > 45, "|a|b|c").otherwise('|"a|""b"|c'),
     )
-    header = spark.createDataFrame([("Number|Name|Remarks",)], "value string").coalesce(1)
-    header.unionByName(table(spark, sf_dir, "part").select(line.alias("value")).coalesce(1)).coalesce(1).write.text(path)
+    lines = table(spark, sf_dir, "part").select(line.alias("value"))
+
+    def with_header(batches):  # each task writes a file, which begins with the header
+        first = True
+        for batch in batches:
+            if first and batch.num_rows:
+                yield batch.from_pydict({"value": ["Number|Name|Remarks"]}, schema=batch.schema)
+                first = False
+            yield batch
+
+    lines.mapInArrow(with_header, "value string").write.text(path)
     return field_count_violations(spark, path)

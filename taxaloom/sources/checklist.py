@@ -9,15 +9,12 @@ from taxaloom.operators.columns import clean_names, drop_empty_columns
 from taxaloom.operators.ordering import sort_names
 from taxaloom.operators.treatment import report_sort
 from taxaloom.operators.windows import number_rows
+from taxaloom.sources.quoted import PLACE, read_quoted
 
 
-def read_delimited(spark: SparkSession, path: str, sep: str = "|", multi_line: bool = False) -> DataFrame:
-    """All columns as text; empty fields and ``NA`` are null; doubled quotes are decoded.
-
-    ``multi_line`` allows line breaks inside quotes; a file is then read by one task, so it is not
-    the default.
-    """
-    options = {"sep": sep, "header": True, "escape": '"', "nullValue": "NA", "enforceSchema": False, "multiLine": multi_line}
+def read_delimited(spark: SparkSession, path: str, sep: str = "|") -> DataFrame:
+    """All columns as text; empty fields and ``NA`` are null; doubled quotes are decoded."""
+    options = {"sep": sep, "header": True, "escape": '"', "nullValue": "NA", "enforceSchema": False}
     return spark.read.options(**options).csv(path)
 
 
@@ -37,14 +34,11 @@ def field_count_violations(spark: SparkSession, path: str, sep: str = "|") -> Da
     return row_rules(rows, [predicate(F.col("n") != expected, "field_count", "key", F.col("n"))])
 
 
-# files that Spark wrote are numbered; a number sorts as one, not as text
-FILE_ORDER = ["x_part", "x_file", "x_block", "x_row"]
-
-
 def number_lines(rows: DataFrame, name: str = "pos") -> DataFrame:
     """Rows of a file scan numbered 1..n in file order: file, block, place in the block.
 
-    The numbered table is written once. ``rows`` is the scan itself.
+    The numbered table is written once. ``rows`` is the scan itself. Files that Spark wrote are numbered, and a number
+    sorts as one, not as text.
     """
     placed = rows.select(
         "*",
@@ -53,17 +47,26 @@ def number_lines(rows: DataFrame, name: str = "pos") -> DataFrame:
         F.col("_metadata.file_block_start").alias("x_block"),
         F.monotonically_increasing_id().alias("x_row"),
     )
-    return number_rows(placed, FILE_ORDER, name).drop(*FILE_ORDER)
+    return number_rows(placed, PLACE, name).drop(*PLACE)
 
 
 def read_checklist(
-    spark: SparkSession, path: str, sep: str = "|", pos: str = "pos", multi_line: bool = False
+    spark: SparkSession,
+    path: str,
+    sep: str = "|",
+    pos: str = "pos",
+    multi_line: bool = False,
+    range_bytes: int | None = None,
 ) -> DataFrame:
     """Pipe-delimited checklist with clean headers and its file order in ``pos`` (1..n).
 
-    Blank fields are null, as ``NA`` is; columns without any value are dropped.
+    Blank fields are null, as ``NA`` is; columns without any value are dropped. ``multi_line`` allows line breaks inside
+    quotes: files are then read twice, in ranges (of ``range_bytes`` if given), see ``sources.quoted``.
     """
-    numbered = number_lines(read_delimited(spark, path, sep, multi_line), pos)
+    if multi_line:
+        numbered = number_rows(read_quoted(spark, path, sep, range_bytes), PLACE, pos).drop(*PLACE)
+    else:
+        numbered = number_lines(read_delimited(spark, path, sep), pos)
     names = clean_names(numbered.drop(pos)).columns
     fields = [F.nullif(F.col(f"`{c}`"), F.lit("")).alias(n) for c, n in zip(numbered.columns, names)]
     return drop_empty_columns(numbered.select(*fields, pos))
