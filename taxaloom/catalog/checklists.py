@@ -195,7 +195,8 @@ def dwc_taxa(spark, sf_dir):
 )
 def dwc_violations(spark, sf_dir):
     """Parts of size 50 have an unknown rank, so they and their synonyms stay without parent and order."""
-    result = plans.checklist_to_taxa(prepared(spark, sf_dir, unknown_size=50))
+    written = plans.write_checklist(plans.prepare_checklist(raw_rows(spark, sf_dir, unknown_size=50)))
+    result = plans.checklist_to_taxa(written)
     return quality.count_violations(plans.taxa_violations(result))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from taxaloom.catalog.registry import query, table
 from taxaloom.functions import text
-from taxaloom.operators import columns, quality, summary
+from taxaloom.operators import columns, joins, quality, summary
 
 # type of a part -> rank code, to run the rank operators on the part table
 TYPE_CODES = {"ECONOMY": "O", "STANDARD": "F", "SMALL": "SF", "MEDIUM": "G", "LARGE": "S", "PROMO": "V"}
@@ -197,3 +197,31 @@ def table_check(spark, sf_dir):
         F.concat(F.lit("C"), "c_nationkey").alias("parentNameUsageID"),
     )
     return quality.count_violations(quality.rule_table(columns.union_by_name(orders, customers)))
+
+
+@query(
+    """
+    SELECT 'key_not_null' AS rule, COUNT(*) AS n_violations FROM lineitem WHERE nullif(l_linenumber, 3) IS NULL HAVING COUNT(*) > 0
+    UNION ALL SELECT 'flag_in_values', COUNT(*) FROM lineitem WHERE l_returnflag NOT IN ('A', 'N') HAVING COUNT(*) > 0
+    UNION ALL SELECT 'supplier_without_customers', COUNT(*) FROM (
+      SELECT 1 FROM supplier WHERE s_nationkey NOT IN (SELECT c_nationkey FROM customer)) HAVING COUNT(*) > 0
+    UNION ALL SELECT 'one_customer_per_nation', COUNT(*) FROM (
+      SELECT 1 FROM customer GROUP BY c_nationkey HAVING COUNT(*) > 1) HAVING COUNT(*) > 0
+    """
+)
+def measured_rules(spark, sf_dir):
+    """Rules counted while tables are written: lines, and one customer per nation for a lookup that can't multiply."""
+    key = "l_orderkey"
+    lines = quality.write_measured(
+        table(spark, sf_dir, "lineitem"),
+        [
+            quality.predicate(F.nullif("l_linenumber", F.lit(3)).isNull(), "key_not_null", key),
+            quality.in_values("l_returnflag", ["A", "N"], key, "flag_in_values"),
+            quality.predicate(F.col("l_quantity") < 0, "quantity_below_zero", key),
+        ],
+    )
+    customers = table(spark, sf_dir, "customer").select("c_nationkey", "c_name")
+    lookup = quality.write_measured_keys(customers, ["c_nationkey"], "one_customer_per_nation")
+    suppliers = joins.lookup_join(table(spark, sf_dir, "supplier"), lookup.rows, [("s_nationkey", "c_nationkey")], skewed=False)
+    matched = quality.write_measured(suppliers, [quality.predicate(F.col("c_name").isNull(), "supplier_without_customers", "s_suppkey")])
+    return lines.counts().unionByName(lookup.counts()).unionByName(matched.counts())

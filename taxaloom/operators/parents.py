@@ -11,6 +11,7 @@ from taxaloom import vocab
 from taxaloom.functions import names, text
 from taxaloom.operators.columns import drop_unmatched, filter_rank, union_by_name
 from taxaloom.operators.joins import Keys, anti_join, interval_join, key_pairs, lookup_join
+from taxaloom.operators.quality import RowRule, predicate, row_rules, rule_predicate
 from taxaloom.operators.windows import fixed_width_interval, next_start_interval, unique_only_lookup
 
 # Width of the band of minor numbers a taxon of that rank covers.
@@ -219,22 +220,21 @@ def parent_edges(assigned: DataFrame) -> DataFrame:
     return known.groupBy("taxonID").agg(F.min("parentNameUsageID").alias("parentNameUsageID"))
 
 
-def parent_violations(assigned: DataFrame) -> DataFrame:
-    """Rows without a parent (orders may have none) and rows with more than one."""
-    from taxaloom.operators.quality import check, rule_predicate
+def parent_missing() -> RowRule:
+    """Rows without a parent; orders may have none."""
+    bad = F.col("parentNameUsageID").isNull() & (F.col("taxonRank") != "order")
+    return predicate(bad, "parent_missing", detail=F.col("scientificName"))
+
 
+def ambiguous_violations(assigned: DataFrame) -> DataFrame:
+    """Rows with more than one parent."""
     choices = assigned.groupBy("taxonID").agg(F.sum("n_parents").alias("n_parents"))
-    return check(
-        [
-            rule_predicate(
-                assigned,
-                F.col("parentNameUsageID").isNull() & (F.col("taxonRank") != "order"),
-                "parent_missing",
-                detail=F.col("scientificName"),
-            ),
-            rule_predicate(choices, F.col("n_parents") > 1, "ambiguous_parent", detail=F.col("n_parents")),
-        ]
-    )
+    return rule_predicate(choices, F.col("n_parents") > 1, "ambiguous_parent", detail=F.col("n_parents"))
+
+
+def parent_violations(assigned: DataFrame) -> DataFrame:
+    """Rows without a parent (orders may have none) and rows with more than one."""
+    return row_rules(assigned, [parent_missing()]).unionByName(ambiguous_violations(assigned))
 
 
 def with_parents(taxa: DataFrame, edges: DataFrame) -> DataFrame:

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from taxaloom import vocab
 from taxaloom.functions.text import not_in
+from taxaloom.session import stage
 
 
 class RuleViolation(Exception):
@@ -44,6 +46,56 @@ def row_rules(df: DataFrame, rules: Sequence[RowRule]) -> DataFrame:
     return df.select(F.explode(broken).alias("_v")).select("_v.*")
 
 
+def no_violations(df: DataFrame) -> DataFrame:
+    return df.sparkSession.createDataFrame([], "rule string, key string, detail string")
+
+
+class Measured(NamedTuple):
+    """A written table, row rules, and how many rows break each of them, counted while it was written."""
+
+    rows: DataFrame
+    rules: list[RowRule]
+    broken: list[int]
+
+    def violations(self) -> DataFrame:
+        """Rows that break a rule; the table is read only if there are any, and for the broken rules only."""
+        found = [rule for rule, n in zip(self.rules, self.broken, strict=True) if n]
+        return row_rules(self.rows, found) if found else no_violations(self.rows)
+
+    def counts(self) -> DataFrame:
+        """As ``count_violations``, without reading the table."""
+        total: dict[str, int] = {}
+        for (rule, *_), n in zip(self.rules, self.broken, strict=True):
+            total[rule] = total.get(rule, 0) + n
+        rows = [(rule, n) for rule, n in total.items() if n]
+        return self.rows.sparkSession.createDataFrame(rows, "rule string, n_violations long")
+
+
+def write_measured(df: DataFrame, rules: Sequence[RowRule], tag: str = "measured") -> Measured:
+    """Stage a table and count what breaks its row rules in the same pass.
+
+    The metrics stand right below the write, so each written task counts once, however often tasks are repeated.
+    """
+    metrics = Observation()
+    counted = df.observe(metrics, *[F.count_if(bad).alias(f"rule_{i}") for i, (_, bad, _, _) in enumerate(rules)])
+    rows = stage(counted, tag)
+    found = metrics.get  # without any row there may be no metrics
+    return Measured(rows, list(rules), [found.get(f"rule_{i}") or 0 for i in range(len(rules))])
+
+
+def write_measured_keys(df: DataFrame, keys: Sequence[str], rule: str = "right_key_repeats", tag: str = "keys") -> Measured:
+    """Stage the smallest row per key and count the keys that repeat (``rule_cardinality``) in the same pass.
+
+    A join reads the written rows without ``_times``; keys that are null in part match nothing and are left out.
+    """
+    known = reduce(lambda d, k: d.filter(F.col(k).isNotNull()), keys, df)
+    rest = [c for c in df.columns if c not in keys]
+    smallest = [F.min(F.struct(*rest)).alias("_row")] if rest else []
+    merged = known.groupBy(*keys).agg(*smallest, F.count(F.lit(1)).alias("_times"))
+    merged = merged.select(*keys, *(["_row.*"] if rest else []), "_times")
+    return write_measured(merged, [(rule, F.col("_times") > 1, _joined(keys), F.col("_times"))], tag)
+
+
 def not_null(column: str, key: str = "taxonID", rule: str | None = None) -> RowRule:
     return rule or f"{column}_not_null", F.col(column).isNull(), F.col(key), F.lit(f"{column} is null")
 
@@ -126,24 +178,31 @@ def rule_columns(df: DataFrame, allowed: Sequence[str]) -> DataFrame:
     return spark.createDataFrame(rows, "rule string, key string, detail string")
 
 
+def table_row_rules(columns: Sequence[str], statuses: Sequence[str] = vocab.STATUSES) -> list[RowRule]:
+    """The row rules of ``rule_table`` that apply to these columns."""
+    rules = [not_null("taxonID", "taxonID")]
+    if "taxonomicStatus" in columns:
+        rules.append(in_values("taxonomicStatus", statuses))
+    references = [c for c in ("acceptedNameUsageID", "parentNameUsageID") if c in columns]
+    return rules + [predicate(F.col(c) == F.col("taxonID"), f"{c}_not_self") for c in references]
+
+
 def rule_table(
     df: DataFrame,
     check_names: bool = False,
     check_columns: bool = True,
     statuses: Sequence[str] = vocab.STATUSES,
     extra: Sequence[str] = vocab.EXTRA_COLUMNS,
+    row_rules_too: bool = True,
 ) -> DataFrame:
     """Taxon table check: id, status vocabulary, references that resolve, column names.
 
-    Rules on single rows share one pass.
+    Rules on single rows share one pass; without ``row_rules_too`` they have been counted by ``write_measured``.
     """
-    rows = [not_null("taxonID", "taxonID")]
     found = [rule_unique_allow_null(df, "taxonID")]
-    if "taxonomicStatus" in df.columns:
-        rows.append(in_values("taxonomicStatus", statuses))
     references = [c for c in ("acceptedNameUsageID", "parentNameUsageID") if c in df.columns]
-    rows += [predicate(F.col(c) == F.col("taxonID"), f"{c}_not_self") for c in references]
-    found.append(row_rules(df, rows))
+    if row_rules_too:
+        found.append(row_rules(df, table_row_rules(df.columns, statuses)))
     if references:
         found.append(rule_references(df, references))
     if check_names:
@@ -170,24 +229,27 @@ def rule_references(df: DataFrame, columns: Sequence[str], key: str = "taxonID")
     return bad.select("rule", F.col(key).cast("string").alias("key"), F.col("_ref").cast("string").alias("detail"))
 
 
+def parentless_accepted() -> RowRule:
+    """Accepted rows without parent are orders."""
+    bad = F.col("parentNameUsageID").isNull() & (F.col("taxonomicStatus") == "accepted") & ~F.col("taxonRank").eqNullSafe("order")
+    return predicate(bad, "parentless_accepted_is_order", detail=F.col("taxonRank"))
+
+
 def rule_parentless(df: DataFrame) -> DataFrame:
     """Accepted rows without parent are orders; such synonyms belong to orders."""
+    return row_rules(df, [parentless_accepted()]).unionByName(rule_parentless_synonyms(df))
+
+
+def rule_parentless_synonyms(df: DataFrame) -> DataFrame:
+    """Synonyms without parent belong to orders."""
     orphan = F.col("parentNameUsageID").isNull()
-    accepted = rule_predicate(
-        df,
-        orphan & (F.col("taxonomicStatus") == "accepted") & ~F.col("taxonRank").eqNullSafe("order"),
-        "parentless_accepted_is_order",
-        detail=F.col("taxonRank"),
-    )
     from taxaloom.operators.joins import lookup_join, one_per_key
 
     alias = df.filter(orphan & (F.col("taxonomicStatus") == "synonym")).select("taxonID", "acceptedNameUsageID")
     ranks = df.select(F.col("taxonID").alias("_id"), F.col("taxonRank").alias("_rank"))
     joined = lookup_join(alias, one_per_key(ranks, "_id"), [("acceptedNameUsageID", "_id")])
-    return accepted.unionByName(
-        rule_predicate(
-            joined, ~F.col("_rank").eqNullSafe("order"), "parentless_synonym_of_order", detail=F.col("_rank")
-        )
+    return rule_predicate(
+        joined, ~F.col("_rank").eqNullSafe("order"), "parentless_synonym_of_order", detail=F.col("_rank")
     )
 
 

@@ -15,6 +15,7 @@ from taxaloom.operators.columns import (
     null_parent_for_aliases,
 )
 from taxaloom.operators.joins import lookup_fill, lookup_join, one_per_key
+from taxaloom.operators.quality import RowRule, row_rules
 from taxaloom.operators.windows import add_count, first_hit
 
 ANY_GROUP = ""
@@ -34,29 +35,25 @@ def prepare_match_requests(taxa: DataFrame) -> DataFrame:
     ).filter(F.col("taxon").isNotNull())
 
 
-def name_violations(taxa: DataFrame, column: str = "scientificName") -> DataFrame:
+def name_rules(columns: Sequence[str], column: str = "scientificName") -> list[RowRule]:
     """Names without a canonical form, and names of infraspecific rank without a third part.
 
     Where the table has a status, parts are asked of accepted names only: the rank of a synonym is a guess.
     """
-    from taxaloom.operators.quality import row_rules
-
     parsed = names.canonical_name(column)
     below_species = F.col("taxonRank").isin(*vocab.INFRASPECIFIC_RANKS)
-    if "taxonomicStatus" in taxa.columns:
+    if "taxonomicStatus" in columns:
         below_species = below_species & (F.col("taxonomicStatus") == "accepted")
-    return row_rules(
-        taxa,
-        [
-            ("name_parsed", F.col(column).isNotNull() & parsed.isNull(), F.col("taxonID"), F.col(column)),
-            (
-                "name_has_three_parts",
-                below_species & parsed.isNotNull() & (F.size(F.split(parsed, " ")) < 3),
-                F.col("taxonID"),
-                F.col(column),
-            ),
-        ],
-    )
+    three = below_species & parsed.isNotNull() & (F.size(F.split(parsed, " ")) < 3)
+    return [
+        ("name_parsed", F.col(column).isNotNull() & parsed.isNull(), F.col("taxonID"), F.col(column)),
+        ("name_has_three_parts", three, F.col("taxonID"), F.col(column)),
+    ]
+
+
+def name_violations(taxa: DataFrame, column: str = "scientificName") -> DataFrame:
+    """Rows that break the ``name_rules``."""
+    return row_rules(taxa, name_rules(taxa.columns, column))
 
 
 def match_reference(

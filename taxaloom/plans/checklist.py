@@ -19,13 +19,14 @@ HTML_COLUMNS = ["scientificName", "namePublishedIn", "synonyms", "taxonRemarks"]
 
 
 class Taxa(NamedTuple):
-    """Taxon table and the staged tables it was made from."""
+    """Taxon table, the staged tables it was made from, and what their row rules found as they were written."""
 
     taxa: DataFrame
     checklist: DataFrame
     ranked: DataFrame
     assigned: DataFrame
     lineages: DataFrame
+    measured: list[quality.Measured]
 
 
 class Treatment(NamedTuple):
@@ -50,21 +51,33 @@ def load_checklist(spark: SparkSession, path: str) -> DataFrame:
     return stage(prepare_checklist(read_checklist(spark, path)), "checklist")
 
 
+def write_checklist(prepared: DataFrame) -> quality.Measured:
+    """Stage a prepared checklist; its row rules are counted in the same pass."""
+    return quality.write_measured(prepared, checklist_row_rules(), "checklist")
+
+
+def checklist_row_rules() -> list[quality.RowRule]:
+    return [quality.not_null("taxonRank", rule="rank_not_null"), quality.not_null("number")]
+
+
 def excluded_synonyms(spark: SparkSession) -> DataFrame:
     """The fixed list of names whose synonym row is dropped."""
     return spark.createDataFrame(vocab.EXCLUDED_SYNONYMS, "scientificName string, taxonomicStatus string")
 
 
-def checklist_to_taxa(checklist: DataFrame, strict_markers: bool = False) -> Taxa:
+def checklist_to_taxa(checklist: DataFrame | quality.Measured, strict_markers: bool = False) -> Taxa:
     """Taxon table with parents, lineage and name usages from a prepared (staged) checklist.
 
     Each staged table is one the later steps read more than once.
     """
+    measured = [checklist] if isinstance(checklist, quality.Measured) else []
+    checklist = measured[0].rows if measured else checklist
     synonyms = explode_synonyms(checklist, strict_markers)
     flat = combine_accepted_and_aliases(checklist, synonyms)
     ranked = parents.rank_by_code(checklist)
     autonyms = stage(parents.synthesise_autonyms(ranked), "autonyms")
-    assigned = stage(parents.assign_parents(ranked, autonyms), "assigned")
+    checked = quality.write_measured(parents.assign_parents(ranked, autonyms), [parents.parent_missing()], "assigned")
+    assigned = checked.rows
     everything = columns.union_by_name(flat, columns.select_terms(autonyms))
     taxa = stage(parents.with_parents(everything, parents.parent_edges(assigned)), "taxa")
     lineages = lineage.resolve_accepted(taxa)
@@ -77,25 +90,36 @@ def checklist_to_taxa(checklist: DataFrame, strict_markers: bool = False) -> Tax
         ["scientificName", "taxonomicStatus"],
         bounded=True,
     )
-    full = stage(full, "taxa")
-    return Taxa(full, checklist, ranked, assigned, lineages)
+    final = quality.write_measured(full, taxa_row_rules(full.columns), "taxa")
+    return Taxa(final.rows, checklist, ranked, assigned, lineages, [*measured, checked, final])
+
+
+def taxa_row_rules(columns: list[str]) -> list[quality.RowRule]:
+    """Rules on single rows of the finished table; they are counted while it is written."""
+    return [
+        quality.not_null("order"),
+        *quality.table_row_rules(columns),
+        quality.parentless_accepted(),
+        *reconcile.name_rules(columns),
+    ]
 
 
 def taxa_violations(result: Taxa) -> DataFrame:
-    """All rule violations of a finished table; ``quality.enforce`` turns them into an error."""
-    taxa, checklist, _, assigned, lineages = result
+    """All rule violations of a finished table; ``quality.enforce`` turns them into an error.
+
+    Row rules of the tables written on the way have been counted: only broken ones cost a scan.
+    """
+    taxa, checklist, _, assigned, lineages, measured = result
+    listed = [] if any(m.rows is checklist for m in measured) else [quality.row_rules(checklist, checklist_row_rules())]
     return quality.check(
         [
-            quality.row_rules(
-                checklist, [quality.not_null("taxonRank", rule="rank_not_null"), quality.not_null("number")]
-            ),
+            *listed,
             quality.rule_unique(checklist, "scientificName", "accepted_name_unique"),
-            parents.parent_violations(assigned),
+            parents.ambiguous_violations(assigned),
             lineage.circle_violations(lineages),
-            quality.rule_not_null(taxa, "order"),
-            quality.rule_table(taxa, check_columns=False),
-            quality.rule_parentless(taxa),
-            reconcile.name_violations(taxa),
+            quality.rule_table(taxa, check_columns=False, row_rules_too=False),
+            quality.rule_parentless_synonyms(taxa),
+            *[m.violations() for m in measured],
         ]
     )
 
