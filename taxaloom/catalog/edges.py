@@ -13,6 +13,7 @@ from taxaloom.operators import columns, joins, lineage, parents, quality, reconc
 from taxaloom.session import stage_path
 from taxaloom.sources.checklist import number_lines, read_delimited, read_exclusions, write_table_csv
 from taxaloom.sources.issues import read_issues
+from taxaloom.sources.workbook import write_workbook
 
 
 def _chained(spark, sf_dir):
@@ -258,6 +259,19 @@ def exclusions_file(spark, sf_dir):
     return read_exclusions(spark, path)
 
 
+@query("SELECT CAST(doc_id AS VARCHAR) AS \"taxonID\", CASE WHEN toxic = 1 THEN 'please, <delete> & \"go\"' END AS comments_mh FROM labels")
+def exclusions_workbook(spark, sf_dir):
+    """A curated list written as a workbook and read as exclusions."""
+    path = f"{stage_path(spark, 'exclusions')}.xlsx"
+    listed = table(spark, sf_dir, "labels").select(
+        F.col("quality").alias("Quality"),
+        F.col("doc_id").alias("taxon ID"),
+        F.when(F.col("toxic") == 1, 'please, <delete> & "go"').alias("Comments MH"),
+    )
+    write_workbook(listed, path, "Duplicates & more")
+    return read_exclusions(spark, path, sheet="Duplicates & more")
+
+
 @query(
     """
     SELECT CAST(p_partkey AS BIGINT) AS number, p_name AS title, 'https://github.com/a/issues/' || p_partkey AS url, 'u' || p_size AS "user",

@@ -10,6 +10,7 @@ from taxaloom.operators.ordering import sort_names
 from taxaloom.operators.treatment import report_sort
 from taxaloom.operators.windows import number_rows
 from taxaloom.sources.quoted import PLACE, read_quoted
+from taxaloom.sources.workbook import read_workbook
 
 
 def read_delimited(spark: SparkSession, path: str, sep: str = "|") -> DataFrame:
@@ -72,9 +73,10 @@ def read_checklist(
     return drop_empty_columns(numbered.select(*fields, pos))
 
 
-def read_exclusions(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
-    """Curated list of duplicates: ``taxonID`` and ``comments_mh``."""
-    listed = clean_names(read_delimited(spark, path, sep))
+def read_exclusions(spark: SparkSession, path: str, sep: str = ",", sheet: str | None = None) -> DataFrame:
+    """Curated list of duplicates, a workbook or delimited text: ``taxonID`` and ``comments_mh``."""
+    is_workbook = path.lower().endswith(".xlsx")
+    listed = clean_names(read_workbook(spark, path, sheet) if is_workbook else read_delimited(spark, path, sep))
     return listed.select(F.col("taxon_id").alias("taxonID"), "comments_mh")
 
 

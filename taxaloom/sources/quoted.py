@@ -197,13 +197,17 @@ def read_records(spark: SparkSession, path: str, sep: str, range_bytes: int | No
     return whole.unionByName(_glued(found.where("head or open"), longest))
 
 
-def header_names(header: str, sep: str) -> list[str]:
-    """Column names of a header; names that are missing or repeated are numbered, as Spark's reader does."""
-    names = next(csv.reader([header.lstrip("﻿")], delimiter=sep), [])
+def column_names(names: list[str]) -> list[str]:
+    """Names that are missing or repeated are numbered, as Spark's reader of delimited text does."""
     seen = [n.lower() for n in names]
     return [f"_c{i}" if not n else f"{n}{i}" if seen.count(n.lower()) > 1 else n for i, n in enumerate(names)]
 
 
+def header_names(header: str, sep: str) -> list[str]:
+    """Column names of a header line."""
+    return column_names(next(csv.reader([header.lstrip("﻿")], delimiter=sep), []))
+
+
 def read_quoted(spark: SparkSession, path: str, sep: str = "|", range_bytes: int | None = None) -> DataFrame:
     """Fields of all records as text, and their ``PLACE``; ``NA`` is null. Every file begins with the same header."""
     records = read_records(spark, path, sep, range_bytes)
