@@ -3,10 +3,10 @@
 The vocabulary is read from the model file; encoding is done here with an agenda of adjacent symbol
 pairs ordered by piece score. No piece holds a word mark after another character, so merges never
 cross the start of a run of word marks: a text is the concatenation of its chunks (marks, then
-the characters up to the next mark), and a Python worker encodes each different chunk once. Short
-chunks of a batch share one array agenda: each round pops the best-scored pair of every chunk. Long ones
-have a heap. Every newly met chunk is checked against the sentencepiece library, a batch at a time,
-before its ids are used.
+the characters up to the next mark), and a Python worker encodes each different chunk once while it
+remembers it. Short chunks of a batch share one array agenda: each round pops the best-scored pair of every chunk.
+Long ones have a heap. Every newly met chunk is checked against the sentencepiece library, a batch at a time,
+before its ids are used; the library gets ``TOGETHER`` chunks as one text.
 
 Defined results: null and empty texts have no ids and decode to the empty text; white space is kept
 as it is; characters outside the vocabulary become byte ids; rows are independent, so repeated rows
@@ -19,6 +19,7 @@ import hashlib
 import heapq
 import os
 import re
+from itertools import chain
 
 import numpy as np
 from pyspark import SparkFiles
@@ -28,8 +29,13 @@ from taxaloom.llm.arrow import Work, add_columns, own_cache, texts
 
 #: SentencePiece's visible stand-in for a space (fixed value)
 MARK = "▁"
-#: different chunks a Python worker remembers before it starts anew
-CACHE_CHUNKS = 200_000
+#: different chunks of one of the two generations that a Python worker remembers: a chunk that is met again moves from
+#: the old generation to the young one, and a full young one takes the place of the old one
+CACHE_CHUNKS = 300_000
+#: chunks that the library checks as one text
+TOGETHER = 64
+#: bytes of text that are encoded at once, so that array agendas have rows enough
+SLICE_BYTES = 4 << 20
 #: chunks of up to so many characters share an array agenda
 SHORT = 48
 #: chunks in one array agenda
@@ -58,6 +64,7 @@ class Vocabulary:
         if not norm.add_dummy_prefix:
             raise ValueError("only models that put a mark before a text are read")
         self.pieces = [p.piece for p in model.pieces]
+        self.shown = [p.replace(MARK, " ") for p in self.pieces]
         normal = [(i, p.piece, p.score) for i, p in enumerate(model.pieces) if p.type == 1]
         if any(MARK in piece.lstrip(MARK) for _, piece, _ in normal):
             raise ValueError("a piece crosses word marks; chunks would not be independent")
@@ -217,7 +224,7 @@ class Vocabulary:
     def decode_chunk(self, ids: list[int]) -> str:
         """Text of the ids of one chunk, word marks as spaces, byte ids read as UTF-8."""
         if self.byte_ids.isdisjoint(ids):
-            return "".join([self.pieces[i] for i in ids]).replace(MARK, " ")
+            return "".join([self.shown[i] for i in ids])
         out: list[str] = []
         raw = bytearray()
         for i in ids:
@@ -250,32 +257,51 @@ class Coder:
 
         self.vocabulary = Vocabulary(model_file)
         self.library = sentencepiece.SentencePieceProcessor(model_file=model_file)
-        self.joined: dict[str, str] = {}
+        self.names = [str(i) for i in range(len(self.vocabulary.pieces))]
+        # ids of chunks, joined by commas: the young generation has all chunks of the rows at hand
+        self.young: dict[str, str] = {}
+        self.old: dict[str, str] = {}
         self.odd: dict[str, str] = {}  # decoded text of chunks that don't decode to themselves
 
+    def check(self, new: list[str], ids: list[list[int]], texts: list[str]) -> None:
+        """Hold ids and decoded texts of chunks against the library's (it adds the first mark itself)."""
+        # chunks that end in marks can't be followed by others, and the library gives no ids for an empty text
+        joint = [i for i, c in enumerate(new) if c and c[-1] != MARK]
+        groups = [joint[k : k + TOGETHER] for k in range(0, len(joint), TOGETHER)]
+        groups += [[i] for i, c in enumerate(new) if c and c[-1] == MARK]
+        asked = [" ".join([new[i] for i in g]) for g in groups]
+        found = self.library.encode(asked, num_threads=1)
+        back = self.library.decode(found, num_threads=1)
+        for group, text, want, decoded in zip(groups, asked, found, back, strict=True):
+            if list(chain.from_iterable([ids[i] for i in group])) != want or "".join([texts[i] for i in group])[1:] != decoded:
+                raise AssertionError(f"ids of a chunk in {text!r} differ from the library's")
+            if decoded != text.replace(MARK, " "):
+                self.odd.update((new[i], texts[i]) for i in group if texts[i][1:] != new[i].replace(MARK, " "))
+
     def learn(self, new: list[str]) -> None:
-        """Encode chunks in one batch with the library's answer beside it (it adds the mark itself)."""
+        """Encode chunks in one batch, and check them."""
         ids = self.vocabulary.encode_chunks([MARK + c for c in new])
-        texts = [self.vocabulary.decode_chunk(x) for x in ids]
-        filled = [i for i, c in enumerate(new) if c]  # the library gives no ids for an empty text
-        found = self.library.encode([new[i] for i in filled], num_threads=1)
-        back = self.library.decode(found, num_threads=1)
-        for i, want, text in zip(filled, found, back, strict=True):
-            if ids[i] != want or texts[i][1:] != text:
-                raise AssertionError(f"ids of {new[i]!r} differ from the library's")
-        self.joined.update((c, ",".join(map(str, x))) for c, x in zip(new, ids, strict=True))
-        self.odd.update((c, t) for c, t in zip(new, texts, strict=True) if t[1:] != c.replace(MARK, " "))
+        self.check(new, ids, [self.vocabulary.decode_chunk(x) for x in ids])
+        names = self.names
+        self.young.update(zip(new, [",".join([names[i] for i in x]) for x in ids], strict=True))
+
+    def remember(self, used: set[str]) -> None:
+        """Have all these chunks in the young generation."""
+        if len(self.young) > CACHE_CHUNKS:
+            self.old, self.young = self.young, {}
+            self.odd = {c: t for c, t in self.odd.items() if c in self.old}
+        old = self.old
+        missing = used.difference(self.young)
+        known = [c for c in missing if c in old]
+        self.young.update((c, old[c]) for c in known)
+        if len(known) < len(missing):
+            self.learn(list(missing.difference(known)))
 
     def code(self, rows: list[str | None]) -> list[tuple[str, str]]:
         """Per text the ids joined by commas, and the text decoded from them."""
         split = [self.vocabulary.chunks(t) for t in rows]
-        used = set().union(*split)
-        new = used.difference(self.joined)
-        if len(self.joined) + len(new) > CACHE_CHUNKS:
-            self.joined, self.odd, new = {}, {}, used
-        if new:
-            self.learn(list(new))
-        ids, odd = self.joined.__getitem__, self.odd
+        self.remember(set().union(*split))
+        ids, odd = self.young.__getitem__, self.odd
         out = []
         for chunks in split:
             if odd and not odd.keys().isdisjoint(chunks):
@@ -311,7 +337,7 @@ def encode_decode(df: DataFrame, model_file: str, text_col: str = "text") -> Dat
 
         return work
 
-    return add_columns(df, text_col, "ids array<int>, n_tokens long, decoded string", make)
+    return add_columns(df, text_col, "ids array<int>, n_tokens long, decoded string", make, SLICE_BYTES)
 
 
 def digests(df: DataFrame, model_file: str, text_col: str = "text") -> DataFrame:
@@ -330,4 +356,4 @@ def digests(df: DataFrame, model_file: str, text_col: str = "text") -> DataFrame
 
         return work
 
-    return add_columns(df, text_col, "n_tokens long, ids_sha256 string, decoded_sha256 string", make)
+    return add_columns(df, text_col, "n_tokens long, ids_sha256 string, decoded_sha256 string", make, SLICE_BYTES)
