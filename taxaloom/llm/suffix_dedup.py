@@ -4,9 +4,10 @@ Suffixes are compared through their first ``WINDOW`` bytes only. Passes refine g
 drop every suffix that is alone in its group; what is equal after the last digit are exactly the repeated windows.
 
 1. First digit: the gram of ``GRAM`` bytes with the smallest hash in the window. Neighbouring suffixes share it, so they
-   travel as one run (start, count), and equal windows always have it in common. Runs whose gram occurs once are dropped.
-2. Runs of the others are sent with their text to their gram's group. Equal runs fall together by their whole text;
-   where different runs remain, their suffixes are sorted by the bytes of the window, eight at a time.
+   travel as one run (start, count, digest of the text), and equal windows always have it in common. Runs whose gram
+   occurs once are dropped, and equal runs (by gram and digest, 128 bits) fall together.
+2. Where different runs remain, they are sent with their text to their gram's group, and their suffixes are sorted by
+   the bytes of the window, eight at a time.
 3. Groups of more than ``MOST_RUNS`` runs are not gathered: their suffixes are told apart by the digest of the whole
    window (128 bits), of which a task sends each one once. Grams that are frequent in many slices are known from a first
    count and take this way at once; the list has at most ``HOT_GRAMS`` entries by arithmetic.
@@ -28,6 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,7 +49,14 @@ SEEN, HOT_GRAMS = 8, 1 << 16
 SORTED = 1 << 20
 
 _LOW = np.uint64((1 << 20) - 1)  # place in a chunk, kept beside the upper bits of a hash
-_PLACE = np.dtype([("d", "<i8"), ("tie", "<i8"), ("at", "<i8")])
+#: a run on its way: its document, ``at`` (start, and in the lower bits windows - 1, and the flags below), its digest
+_PLACE = np.dtype([("d", "<i8"), ("tie", "<i8"), ("at", "<i8"), ("digest", "<i8")])
+#: the group is large; the gram occurs twice in the run; an earlier run is equal
+_LARGE, _TWICE, _EQUAL = 1, 2, 4
+
+
+def _at(start: np.ndarray, windows: np.ndarray, flags: np.ndarray) -> np.ndarray:
+    return start << 11 | (windows - 1) << 3 | flags
 
 
 def _multipliers(seed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -150,12 +159,39 @@ class Slice:
         return np.searchsorted(self.offsets, start, "right") - 1
 
 
+def packed(text: bytes) -> bytes:
+    return pa.compress(text, codec="zstd", asbytes=True)
+
+
+def unpacked(text: bytes, size: int) -> bytes:
+    return pa.decompress(text, decompressed_size=size, codec="zstd", asbytes=True) if size else b""
+
+
+def pack_texts(df: DataFrame, text_col: str) -> DataFrame:
+    """Texts as compressed bytes with their ``size``, so that a shuffle moves half as much."""
+    from pyspark.sql.types import BinaryType, LongType, StructField, StructType
+
+    fields = [StructField(f.name, BinaryType()) if f.name == text_col else f for f in df.schema.fields]
+
+    def run(batches):
+        for batch in batches:
+            texts = field(batch, text_col).cast(pa.binary()).to_pylist()
+            sizes = pa.array([None if t is None else len(t) for t in texts], pa.int64())
+            columns = list(batch.columns)
+            columns[batch.schema.get_field_index(text_col)] = pa.array([t and packed(t) for t in texts], pa.binary())
+            yield pa.RecordBatch.from_arrays([*columns, sizes], names=[*batch.schema.names, "size"])
+
+    return df.mapInArrow(run, StructType([*fields, StructField("size", LongType())]))
+
+
 def slices(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[Slice]:
     """Slices of the rows (d, tie, text, further columns), of about ``SLICE_BYTES``."""
     held: list[tuple] = []
     size = 0
     for batch in batches:
         texts = field(batch, "text").cast(pa.binary()).to_pylist()
+        if "size" in batch.schema.names:
+            texts = [unpacked(t, n) for t, n in zip(texts, field(batch, "size").to_pylist(), strict=True)]
         rest = [field(batch, c).to_pylist() for c in ("d", "tie")]
         more = [field(batch, c) for c in columns]
         for i, text in enumerate(texts):
@@ -217,103 +253,142 @@ def _packed(places: np.ndarray, cuts: np.ndarray) -> pa.Array:
 
 
 def _first_digit(texts: DataFrame, hot: np.ndarray) -> DataFrame:
-    """(key, hot, n, places): the runs of each gram, a row per slice and gram. Runs of hot grams come by document."""
+    """(key, places): the runs of each gram, a row per slice and gram. Runs of hot grams need no group: they come
+    by document, with a key that spreads documents."""
     shipped = texts.sparkSession.sparkContext.broadcast(hot)  # HOT_GRAMS values at most
 
     def run(batches):
+        digest = xxhash.xxh3_64_intdigest
         for part in slices(batches):
             gram, start, count, twice = runs(part.raw, part.offsets)
             row = part.row_of(start)
+            large = _among(gram, shipped.value)
             places = np.empty(len(gram), _PLACE)
             places["d"], places["tie"] = part.d[row], part.tie[row]
-            places["at"] = (start - part.offsets[row]) << 10 | (count - 1) << 2 | twice.astype(np.int64) << 1
-            is_hot = _among(gram, shipped.value)
-            places["at"] |= is_hot
-            # hot runs need no group: their rows are dealt out by document
-            key = np.where(is_hot, part.d[row].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15), gram).view(np.int64)
-            order = np.lexsort((key, is_hot))
-            key, is_hot, places = key[order], is_hot[order], places[order]
+            places["at"] = _at(start - part.offsets[row], count, _TWICE * twice.astype(np.int64) + _LARGE * large)
+            ends = (start + count + WINDOW - 1).tolist()
+            buffer = part.buffer
+            found = [digest(buffer[s:e]) for s, e in zip(start.tolist(), ends, strict=True)]
+            places["digest"] = np.array(found, np.uint64).view(np.int64)
+            key = np.where(large, part.d[row].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15), gram).view(np.int64)
+            order = np.lexsort((key, large))
+            key, large, places = key[order], large[order], places[order]
             new = np.ones(len(key), bool)
-            new[1:] = (key[1:] != key[:-1]) | (is_hot[1:] != is_hot[:-1])
+            new[1:] = (key[1:] != key[:-1]) | (large[1:] != large[:-1])
             cuts = np.flatnonzero(new)
-            if not len(cuts):
-                continue
-            weight = np.add.reduceat(1 + (places["at"] >> 1 & 1), cuts)
             for s in range(0, len(cuts), 50_000):
-                e = min(len(cuts), s + 50_000)
-                begin, end = cuts[s], cuts[e] if e < len(cuts) else len(places)
+                own = cuts[s : s + 50_000]
+                end = cuts[s + 50_000] if s + 50_000 < len(cuts) else len(places)
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(key[cuts[s:e]]),
-                        pa.array(is_hot[cuts[s:e]]),
-                        pa.array(weight[s:e]),
-                        _packed(places[begin:end], cuts[s:e] - begin),
-                    ],
-                    names=["key", "hot", "n", "places"],
+                    [pa.array(key[own]), _packed(places[own[0] : end], own - own[0])], names=["key", "places"]
                 )
         give_back()
 
-    return texts.mapInArrow(run, "key long, hot boolean, n long, places binary")
+    return texts.mapInArrow(run, "key long, places binary")
 
 
-def _repeated_grams(grams: DataFrame, most_runs: int) -> DataFrame:
-    """(d, tie, at, gram) of the runs whose gram occurs again; the lowest bit of ``at`` says that its group is large."""
+class _Groups:
+    """Rows (key, places) of a batch: the places end to end, and where each row's begin."""
 
-    def places_of(rows: pa.RecordBatch, large: np.ndarray) -> Iterator[pa.RecordBatch]:
-        if not rows.num_rows:
-            return
-        column = rows["places"]
+    def __init__(self, keys: np.ndarray, sizes: np.ndarray, places: np.ndarray):
+        self.keys, self.sizes, self.places = keys, sizes, places
+
+    @classmethod
+    def of(cls, batch: pa.RecordBatch) -> "_Groups":
+        column = batch["places"]
         sizes = pc.binary_length(column).to_numpy() // _PLACE.itemsize
-        places = np.frombuffer(b"".join(column.to_pylist()), _PLACE)
-        at = places["at"] | np.repeat(large.astype(np.int64), sizes)
-        gram = np.where(at & 1, 0, np.repeat(rows["key"].to_numpy(), sizes))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(places["d"].copy()), pa.array(places["tie"].copy()), pa.array(at), pa.array(gram)],
-            names=["d", "tie", "at", "gram"],
-        )
-
-    def closed(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        return cls(batch["key"].to_numpy(), sizes, np.frombuffer(b"".join(column.to_pylist()), _PLACE))
+
+    def split(self) -> tuple[np.ndarray, "_Groups"]:
+        """Places of hot grams, and the other rows."""
+        hot = np.repeat(self.places["at"][np.cumsum(self.sizes) - self.sizes] & _LARGE == _LARGE, self.sizes)
+        rows = self.places["at"][np.cumsum(self.sizes) - self.sizes] & _LARGE == 0
+        return self.places[hot], _Groups(self.keys[rows], self.sizes[rows], self.places[~hot])
+
+    def part(self, s: int, e: int) -> "_Groups":
+        ends = np.append(0, np.cumsum(self.sizes))
+        return _Groups(self.keys[s:e], self.sizes[s:e], self.places[ends[s] : ends[e]])
+
+    def joined(self, other: "_Groups") -> "_Groups":
+        return _Groups(*(np.concatenate(x) for x in zip(self.columns(), other.columns(), strict=True)))
+
+    def columns(self) -> tuple[np.ndarray, ...]:
+        return self.keys, self.sizes, self.places
+
+    def occurrences(self) -> int:
+        """Occurrences of the gram in runs of one group: two where one run has it twice."""
+        return len(self.places) + int((self.places["at"] & _TWICE != 0).sum())
+
+
+def _found(places: np.ndarray, at: np.ndarray, gram: np.ndarray) -> pa.RecordBatch:
+    columns = [places["d"].copy(), places["tie"].copy(), at, gram]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["d", "tie", "at", "gram"])
+
+
+def _large(places: np.ndarray) -> pa.RecordBatch:
+    return _found(places, places["at"] | _LARGE, np.zeros(len(places), np.int64))
+
+
+def _repeated_grams(grams: DataFrame, most_runs: int) -> DataFrame:
+    """(d, tie, at, gram) of runs whose gram occurs again: those that equal an earlier run, and those of groups in which
+    different runs, or a run with the gram twice, remain. Large groups are not looked into."""
+
+    def closed(groups: _Groups) -> Iterator[pa.RecordBatch]:
         """Rows of whole groups."""
-        if not rows.num_rows:
+        if not len(groups.keys):
             return
-        key = rows["key"].to_numpy()
-        cuts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-        total = np.add.reduceat(rows["n"].to_numpy(), cuts)
-        total = np.repeat(total, np.diff(np.append(cuts, len(key))))
-        kept = np.flatnonzero(total >= 2)
-        yield from places_of(rows.take(pa.array(kept)), total[kept] > most_runs)
+        new = np.append(True, groups.keys[1:] != groups.keys[:-1])
+        cell = np.repeat(np.cumsum(new) - 1, groups.sizes)
+        places = groups.places
+        total = np.bincount(cell, 1 + (places["at"] >> 1 & 1))
+        wide = (total > most_runs)[cell]
+        if wide.any():
+            yield _large(places[wide])
+        near = np.flatnonzero((total >= 2)[cell] & ~wide)
+        places, cell, key = places[near], cell[near], np.repeat(groups.keys, groups.sizes)[near]
+        if not len(near):
+            return
+        order = np.lexsort((places["at"], places["tie"], places["d"], places["digest"], cell))
+        places, cell, key = places[order], cell[order], key[order]
+        first = np.ones(len(cell), bool)
+        first[1:] = (cell[1:] != cell[:-1]) | (places["digest"][1:] != places["digest"][:-1])
+        of = np.flatnonzero(first)[np.cumsum(first) - 1]
+        equal = ~first & ((places["d"] != places["d"][of]) | (places["tie"] != places["tie"][of]) | (places["at"] != places["at"][of]))
+        different = np.bincount(cell, first)[cell] > 1
+        open_ = first & (different | (places["at"] & _TWICE != 0))
+        kept = equal | open_
+        yield _found(places[kept], places["at"][kept] | _EQUAL * equal[kept], np.where(open_, key, 0)[kept])
 
     def run(batches):
-        held: list[pa.RecordBatch] = []  # rows of the open group while it is small
-        open_key, total, large = None, 0, False
+        held: _Groups | None = None  # the open group, while it is small
+        large = False  # the open group is not small
+        open_key = None
         for batch in batches:
-            direct = batch["hot"].to_numpy(zero_copy_only=False)
-            yield from places_of(batch.filter(pa.array(direct)), np.ones(int(direct.sum()), bool))
-            batch = batch.filter(pa.array(~direct))
-            if not batch.num_rows:
+            hot, rows = _Groups.of(batch).split()
+            if len(hot):
+                yield _large(hot)
+            if not len(rows.keys):
                 continue
-            key = batch["key"].to_numpy()
-            cuts = np.append(np.flatnonzero(np.append(True, key[1:] != key[:-1])), len(key))
-            if key[0] == open_key:
-                begun, batch = batch.slice(0, int(cuts[1])), batch.slice(int(cuts[1]))
-                total += pc.sum(begun["n"]).as_py()
-                held.append(begun)
-                if large or total > most_runs:
+            if rows.keys[0] != open_key and held is not None:
+                yield from closed(held)
+                held = None
+            same = int(np.searchsorted(rows.keys, open_key, "right")) if rows.keys[0] == open_key else 0
+            if same:
+                begun = rows.part(0, same)
+                held = begun if held is None else held.joined(begun)
+                if large or held.occurrences() > most_runs:
                     large = True
-                    for x in held:
-                        yield from places_of(x, np.ones(x.num_rows, bool))
-                    held = []
-                cuts = cuts[1:] - cuts[1]
-                if not batch.num_rows:
+                    yield _large(held.places)
+                    held = None
+                if same == len(rows.keys):
                     continue
-            if held:
-                yield from closed(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
-            yield from closed(batch.slice(0, int(cuts[-2])))
-            held = [batch.slice(int(cuts[-2]))]
-            open_key, total, large = int(key[-1]), pc.sum(held[0]["n"]).as_py(), False
-        if held:
-            yield from closed(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
-        held.clear()
+                if held is not None:
+                    yield from closed(held)
+            last = int(np.searchsorted(rows.keys, rows.keys[-1], "left"))
+            yield from closed(rows.part(same, last))
+            held, open_key, large = rows.part(max(same, last), len(rows.keys)), rows.keys[-1], False
+        if held is not None:
+            yield from closed(held)
         give_back()
 
     sent = grams.repartition("key").sortWithinPartitions("key")
@@ -342,8 +417,8 @@ def _marks(d: np.ndarray, tie: np.ndarray, start: np.ndarray, n: np.ndarray) ->
 
 
 def _later_digits(texts: DataFrame, places: DataFrame) -> DataFrame:
-    """Rows of ``_SENT``: runs with their text, digests of the windows of large groups, and marks of what repeats in
-    the slice itself (without text or digest)."""
+    """Rows of ``_SENT``: runs with their text, digests of the windows of large groups, and marks of what repeats an
+    equal run or something in the slice itself (without text or digest)."""
     names = [c.split()[0] for c in _SENT.split(", ")]
 
     def run(batches):
@@ -355,10 +430,11 @@ def _later_digits(texts: DataFrame, places: DataFrame) -> DataFrame:
             row, at, gram = row[order], at[order], gram[order]
             once = np.append(True, (row[1:] != row[:-1]) | (at[1:] != at[:-1]))  # repeated rows of a document name a place again
             row, at, gram = row[once], at[once], gram[once]
-            start, n, twice, large = at >> 10, (at >> 2 & 0xFF) + 1, at >> 1 & 1 == 1, at & 1 == 1
-            marked: list[tuple] = []
+            start, n = at >> 11, (at >> 3 & 0xFF) + 1
+            twice, large, equal = (at & flag != 0 for flag in (_TWICE, _LARGE, _EQUAL))
+            marked = [(row[equal], start[equal], n[equal])]
 
-            small = np.flatnonzero(~large)
+            small = np.flatnonzero(~large & ~equal)
             if len(small):
                 begin = part.offsets[row[small]] + start[small]
                 buffer = part.buffer
@@ -391,12 +467,11 @@ def _later_digits(texts: DataFrame, places: DataFrame) -> DataFrame:
                         [pa.array(one[x]), pa.array(two[x]), pa.nulls(len(x), pa.binary()), pa.array(part.d[rows_[x]]), pa.array(part.tie[rows_[x]]), pa.array(begin[x]), pa.array(np.ones(len(x), np.int64)), pa.nulls(len(x), pa.bool_())],
                         names=names,
                     )
-            if marked:
-                r, b, k = (np.concatenate(x) for x in zip(*marked, strict=True))
-                yield pa.RecordBatch.from_arrays(_marks(part.d[r], part.tie[r], b, k), names=names)
+            r, b, k = (np.concatenate(x) for x in zip(*marked, strict=True))
+            yield pa.RecordBatch.from_arrays(_marks(part.d[r], part.tie[r], b, k), names=names)
         give_back()
 
-    joined = texts.join(places, ["d", "tie"])
+    joined = pack_texts(texts, "text").join(places, ["d", "tie"])
     return joined.mapInArrow(run, _SENT)
 
 
@@ -526,20 +601,22 @@ def _compared(sent: DataFrame) -> DataFrame:
 
 
 def _cut(rows: DataFrame, text_col: str) -> DataFrame:
-    """Add ``removed`` (array of byte ranges) and ``kept`` (the other bytes)."""
-    from pyspark.sql.types import StructType
+    """Texts unpacked, with ``removed`` (array of byte ranges) and ``kept`` (the other bytes)."""
+    from pyspark.sql.types import StringType, StructField, StructType
 
     added = StructType.fromDDL("removed array<struct<start: long, end: long>>, kept binary")
-    schema = StructType([f for f in rows.schema.fields if f.name != "marks"] + added.fields)
+    own = [StructField(text_col, StringType()) if f.name == text_col else f for f in rows.schema.fields if f.name not in ("marks", "size")]
+    schema = StructType(own + added.fields)
 
     def run(batches):
         from pyspark.sql.pandas.types import to_arrow_schema
 
         kinds = to_arrow_schema(added)
         for batch in batches:
-            spans, kept = [], []
-            for text, marks in zip(field(batch, text_col).cast(pa.binary()).to_pylist(), field(batch, "marks"), strict=True):
-                text, own = text or b"", []
+            spans, kept, texts = [], [], []
+            for text, size, marks in zip(field(batch, text_col).to_pylist(), field(batch, "size").to_pylist(), field(batch, "marks"), strict=True):
+                texts.append(None if size is None else unpacked(text, size))
+                text, own = texts[-1] or b"", []
                 if marks.is_valid and len(marks):
                     starts, counts = (marks.values.field(k).to_numpy() for k in ("start", "n"))
                     by = np.argsort(starts, kind="stable")
@@ -550,9 +627,10 @@ def _cut(rows: DataFrame, text_col: str) -> DataFrame:
                 cuts = [0, *(x for span in own for x in span), len(text)]
                 kept.append(b"".join(text[a:b] for a, b in zip(cuts[::2], cuts[1::2], strict=True)))
                 spans.append([{"start": a, "end": b} for a, b in own])
-            old = [batch.column(i) for i, name in enumerate(batch.schema.names) if name != "marks"]
-            new = [pa.array(spans, kinds.field("removed").type), pa.array(kept, kinds.field("kept").type)]
-            yield pa.RecordBatch.from_arrays(old + new, names=[n for n in batch.schema.names if n != "marks"] + ["removed", "kept"])
+            whole = {name: field(batch, name) for name in batch.schema.names if name not in ("marks", "size")}
+            whole[text_col] = pa.array(texts, pa.binary()).cast(pa.string())
+            whole["removed"], whole["kept"] = (pa.array(x, kinds.field(k).type) for x, k in ((spans, "removed"), (kept, "kept")))
+            yield pa.RecordBatch.from_arrays(list(whole.values()), names=list(whole))
 
     return rows.mapInArrow(run, schema)
 
@@ -570,8 +648,8 @@ def remove_repeats(
 ) -> DataFrame:
     """The rows with ``removed`` (byte ranges of repeated passages) and ``kept`` (the bytes that are left, as binary
     since a passage may end inside a character)."""
-    taken = {"d", "tie", "removed", "kept", "marks", "several"} - {id_col, text_col}
+    taken = {"d", "tie", "removed", "kept", "marks", "several", "size"} - {id_col, text_col}
     docs = docs.drop(*[c for c in docs.columns if c.lower() in taken])
     keyed = documents(docs, id_col, text_col)
     marks = repeated_windows(keyed, text_col, most_runs, seen).groupBy("d", "tie").agg(F.collect_list(F.struct("start", "n")).alias("marks"))
-    return _cut(keyed.join(marks, ["d", "tie"], "left").drop("d", "tie"), text_col)
+    return _cut(pack_texts(keyed, text_col).join(marks, ["d", "tie"], "left").drop("d", "tie"), text_col)
