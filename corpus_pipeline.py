@@ -6,6 +6,8 @@ rows and empty tables have the results that the operators' modules define.
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,14 +22,28 @@ OWN = ["doc_id", "text"]
 NEAR_PERCENT = 80
 
 
-def known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop the documents whose language can't be told, since they have no text or no letters. Where no row has a
-    known language, all documents with letters stay."""
+def known_languages(
+    spark: SparkSession, docs: DataFrame, sf_dir: str, keep: Collection[str] | None = None, least_score: float = 0.0
+) -> DataFrame:
+    """Keep the documents in one of the languages ``keep`` (default: all that are learned), and write the language found
+    into ``lang`` where that is null.
+
+    Documents without text or letters have no language and go, as do those whose language is less than ``least_score``
+    ahead of the others. Where no row has a known language, all documents with letters stay as they are.
+    """
     samples = langid.labelled_sample(docs)
     if not langid.has_languages(samples):
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    known = F.col("lang_pred") != langid.UNKNOWN
-    return beside(docs, OWN, lambda d: langid.identify(d, samples).where(known))
+    found = F.col("lang_pred")
+    known = (found != langid.UNKNOWN) & (F.col("score") >= least_score)
+    if keep is not None:
+        known = known & found.isin(*keep)
+
+    def work(d: DataFrame) -> DataFrame:
+        at = d.columns[docs.columns.index("lang")]
+        return langid.identify(d, samples).where(known).withColumn(at, F.coalesce(at, "lang_pred"))
+
+    return beside(docs, OWN, work)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
