@@ -2,9 +2,12 @@
 
 The automaton holds every run of words that occurs in an item. A document's words are streamed through
 it, which gives the longest run that ends at each word; a run of ``window`` words or more marks its
-last ``window`` words as hit, and so does a whole item of fewer words. Documents never move: the
-automaton is shipped to them. Its size is checked: a benchmark of more than ``GROUP_WORDS`` words is cut into
-groups of items by a hash of the id, and the documents pass one automaton after the other.
+last ``window`` words as hit, and so does a whole item of fewer words. Each state knows the next shorter state that
+ends a window or an item, so neither the length of items nor their repetitions cost more than their words.
+
+Documents never move: the automaton is shipped to them, and a Python worker builds it once. Its size is checked: a
+benchmark of more than ``GROUP_WORDS`` words is cut into groups of items by a hash of the id. Then the documents are
+written once, each group is a pass of its own that gives hits only, and these are joined back.
 
 Words are runs of ASCII letters (lower-cased), ASCII digits and characters beyond ASCII.
 
@@ -16,13 +19,18 @@ benchmark leaves every document clean; rows are independent; other columns pass
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
+from itertools import chain
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from taxaloom.llm.arrow import Work, add_columns, utf8
+from taxaloom.llm.arrow import Work, add_columns, own_cache, utf8
+from taxaloom.session import stage
 
 #: consecutive item words that count as contamination
 WINDOW = 13
@@ -60,12 +68,14 @@ class ItemAutomaton:
         for name, tokens in coded:
             for end, state in enumerate(self._states(tokens), 1):
                 if end >= window or end == len(tokens):
-                    need = min(window, len(tokens))
-                    while self.length[self.link[state]] >= need:
-                        state = self.link[state]
-                    self.marks.setdefault(state, {}).setdefault(need, set()).add(name)
+                    self.marks.setdefault(state, {}).setdefault(min(window, end), set()).add(name)
         self.shortest = min((n for m in self.marks.values() for n in m), default=0)
-        self._found: dict[int, tuple[tuple[int, frozenset], ...]] = {}
+        self._found: dict[int, tuple[tuple[int, frozenset], ...]] = {0: (), -1: ()}
+        #: per state the longest shorter one that has marks
+        self.shorter = [0] * len(self.link)
+        for at in sorted(range(1, len(self.link)), key=self.length.__getitem__):
+            link = self.link[at]
+            self.shorter[at] = link if link in self.marks else self.shorter[link] if link > 0 else 0
 
     def _extend(self, last: int, token: int) -> int:
         """State of the text so far with one more token."""
@@ -100,18 +110,21 @@ class ItemAutomaton:
         return new
 
     def _states(self, tokens: list[int]):
+        """The states of the last ``window`` words at most, after each word of an item."""
         state = 0
         for t in tokens:
             state = self.next[state][t]
+            while self.length[self.link[state]] >= self.window:
+                state = self.link[state]
             yield state
 
     def found(self, state: int) -> tuple[tuple[int, frozenset], ...]:
         """(length, items) of the windows and short items that end where ``state`` ends."""
         if state not in self._found:
             out, at = [], state
-            while at > 0:
+            while at > 0:  # marked states have different lengths up to ``window``, so these are few
                 out += [(n, frozenset(names)) for n, names in self.marks.get(at, {}).items()]
-                at = self.link[at]
+                at = self.shorter[at]
             self._found[state] = tuple(out)
         return self._found[state]
 
@@ -156,7 +169,19 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _groups(benchmark: DataFrame, id_col: str, text_col: str, most: int) -> list[list[tuple[str | None, list[bytes]]]]:
+_AUTOMATA: dict[str, ItemAutomaton] = {}
+
+
+def _automaton(name: str, shipped: Broadcast, window: int) -> ItemAutomaton:
+    """The automaton of a group, which later tasks of this Python worker find again; the one before is forgotten."""
+    own_cache("decontamination", _AUTOMATA.clear)
+    if name not in _AUTOMATA:
+        _AUTOMATA.clear()
+        _AUTOMATA[name] = ItemAutomaton(shipped.value, window)
+    return _AUTOMATA[name]
+
+
+def _groups(benchmark: DataFrame, id_col: str, text_col: str, most: int) -> Iterator[list[tuple[str | None, list[bytes]]]]:
     """Items with their words, in groups of about ``most`` words; one group is on the driver at a time."""
     items = benchmark.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"))
     total = items.agg(F.sum(F.size(F.split(F.coalesce("text", F.lit("")), "[^0-9A-Za-z\\x80-\\x{10FFFF}]+")))).first()[0] or 0
@@ -176,45 +201,59 @@ def scan(
     group_words: int = GROUP_WORDS,
 ) -> DataFrame:
     """Add ``n_words``, ``hit_spans`` (merged word spans, end exclusive) and ``hit_items`` (sorted ids)."""
-    docs = docs.drop(*[c for c in docs.columns if c.lower() in ("n_words", "hit_spans", "hit_items")])
-    spark = docs.sparkSession
-    for items in _groups(benchmark, item_id, item_text, group_words):
-        shipped = spark.sparkContext.broadcast(items)
-
-        def make(shipped=shipped) -> Work:
-            automaton = ItemAutomaton(shipped.value, window)
-
-            def work(batch: pa.RecordBatch) -> list:
-                earlier = batch.schema.get_field_index("hit_spans") >= 0
-                counts, all_spans, all_items = [], [], []
-                for i, text in enumerate(utf8(batch, text_col)):
-                    tokens = words(text)
-                    spans, found = automaton.scan(tokens)
-                    if earlier:
-                        spans = _merged(spans + [(s["start"], s["end"]) for s in batch["hit_spans"][i].as_py()])
-                        found = found | set(batch["hit_items"][i].as_py())
-                    counts.append(len(tokens))
-                    all_spans.append([{"start": a, "end": b} for a, b in spans])
-                    all_items.append(sorted(x for x in found if x is not None))
-                return [counts, all_spans, all_items]
-
-            return work
-
-        docs = _pass(docs, text_col, make)
-    return docs
+    docs = docs.drop(*[c for c in docs.columns if c.lower() in ("n_words", "hit_spans", "hit_items", "row_")])
+    groups = _groups(benchmark, item_id, item_text, group_words)
+    first, second = next(groups), next(groups, None)
+    if second is None:
+        return _pass(docs, text_col, first, window)
+    numbered = stage(docs.withColumn("row_", F.monotonically_increasing_id()), "documents")
+    n_words = stage(_pass(numbered, text_col, [], window).select("row_", "n_words"), "words")
+    hits = None
+    for items in chain([first, second], groups):
+        found = _pass(numbered, text_col, items, window).where(F.size("hit_spans") > 0)
+        found = stage(found.select("row_", "hit_spans", "hit_items"), "hits")
+        hits = found if hits is None else hits.unionByName(found)
+    lists = hits.groupBy("row_").agg(
+        F.flatten(F.collect_list("hit_spans")).alias("hit_spans"), F.flatten(F.collect_list("hit_items")).alias("hit_items")
+    )
+    merged = n_words.join(lists, "row_", "left").mapInArrow(_merge_lists, f"row_ long, {ADDED}")
+    return numbered.join(merged, "row_").drop("row_")
 
 
 ADDED = "n_words long, hit_spans array<struct<start: int, end: int>>, hit_items array<string>"
 
 
-def _pass(docs: DataFrame, text_col: str, make) -> DataFrame:
-    """One pass over the documents; a later pass reads the columns of the earlier one."""
-    if "hit_spans" not in docs.columns:
-        return add_columns(docs, text_col, ADDED, make)
-    kept = [c for c in docs.columns if c not in ("n_words", "hit_spans", "hit_items")]
-    added = "n_words_ long, hit_spans_ array<struct<start: int, end: int>>, hit_items_ array<string>"
-    wide = add_columns(docs, text_col, added, make)
-    return wide.select(*kept, *(F.col(f"{c}_").alias(c) for c in ("n_words", "hit_spans", "hit_items")))
+def _merge_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Spans of several passes as one list, items sorted."""
+    for batch in batches:
+        spans = [_merged([(s["start"], s["end"]) for s in x or []]) for x in batch["hit_spans"].to_pylist()]
+        named = [sorted(set(x or [])) for x in batch["hit_items"].to_pylist()]
+        lists = pa.array([[{"start": a, "end": b} for a, b in x] for x in spans], batch["hit_spans"].type)
+        columns = [batch["row_"], batch["n_words"], lists, pa.array(named, batch["hit_items"].type)]
+        yield pa.RecordBatch.from_arrays(columns, names=["row_", "n_words", "hit_spans", "hit_items"])
+
+
+def _pass(docs: DataFrame, text_col: str, items: list, window: int) -> DataFrame:
+    """One pass of the documents over the automaton of some items."""
+    shipped = docs.sparkSession.sparkContext.broadcast(items)  # the words of a group
+    name = uuid4().hex
+
+    def make() -> Work:
+        automaton = _automaton(name, shipped, window)
+
+        def work(batch: pa.RecordBatch) -> list:
+            counts, all_spans, all_items = [], [], []
+            for text in utf8(batch, text_col):
+                tokens = words(text)
+                spans, found = automaton.scan(tokens)
+                counts.append(len(tokens))
+                all_spans.append([{"start": a, "end": b} for a, b in spans])
+                all_items.append(sorted(x for x in found if x is not None))
+            return [counts, all_spans, all_items]
+
+        return work
+
+    return add_columns(docs, text_col, ADDED, make)
 
 
 def n_hit() -> Column:

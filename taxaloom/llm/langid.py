@@ -5,9 +5,10 @@ parsed greedily against each automaton: a phrase is the longest match from where
 unseen character is a phrase of its own). The language that needs fewest phrases per character wins.
 
 Texts are read as runs of lower-cased letters with one space between them; all other characters only
-separate. Numpy lanes parse many pieces of texts at once; a piece has ``PIECE`` characters at most and
-starts a new phrase, alike for all languages. The labelled sample is bounded by ``SAMPLE_CHARS`` per
-language and taken in the order of a hash of the id; all of every text is parsed.
+separate. Numpy parses the texts of a slice side by side, from their beginnings on; where fewer than ``LANES`` go
+on, each of these is parsed to its end alone. The labelled sample is bounded by ``SAMPLE_CHARS`` per language and taken
+in the order of a hash of the id; every text is one parse, however long. More than ``MOST_LANGUAGES`` labels are refused,
+since each has an automaton in every task.
 
 Defined results: ``und`` with score 0 if a text is null or has no letters; ties go to the first language in
 alphabetical order; without any labelled row every text is ``und``; rows are independent; other columns pass.
@@ -21,16 +22,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from taxaloom.llm.arrow import Work, add_columns, own_cache, texts
-from taxaloom.llm.components import checked
 from taxaloom.session import stage
 
 UNKNOWN = "und"
+#: different labels that are learned
+MOST_LANGUAGES = 500
 #: characters of labelled text per language
 SAMPLE_CHARS = 60_000
 #: labelled documents looked at per language, and characters taken of one at most, from a place given by the hash of its id
 SAMPLE_ROWS, ROW_CHARS = 400, 1_500
-#: characters that one lane parses
-PIECE = 2_048
+#: texts that are parsed side by side as long as they are so many; the longest of a batch are parsed one by one to their end
+LANES = 64
 #: letters of a language that a full row of its table has; transitions on others are kept as sorted pairs
 LETTERS = 60
 
@@ -52,6 +54,7 @@ class Parser:
         self.classes = np.zeros(0x110000, np.int32)  # 0: unseen
         self.classes[self.points] = np.arange(1, len(self.points) + 1)
         self.tables = [self._table(self.classes[codes]) for codes in plain.values()]
+        self.rare: dict[int, dict[int, int]] = {}
 
     def spaced(self, text: str) -> np.ndarray:
         """Code points of a text in lower case, each run of other characters as one space, one at both ends."""
@@ -112,42 +115,65 @@ class Parser:
         coded = [self.spaced(t) if t else np.empty(0, np.uint32) for t in texts_]
         sizes = np.array([len(c) if len(c) > 2 else 0 for c in coded], np.int64)  # two spaces: no letter
         counts = np.zeros((len(coded), len(self.tables)), np.int64)
-        pieces, owner = [], []
-        for i, codes in enumerate(coded):
-            for k in range(0, int(sizes[i]), PIECE):
-                pieces.append(self.classes[codes[k : min(k + PIECE, sizes[i])]])
-                owner.append(i)
-        if not pieces or not self.tables:
+        order = np.argsort(-sizes, kind="stable")
+        order = order[sizes[order] > 0]
+        if not len(order) or not self.tables:
             return sizes, counts
-        lengths = np.array([len(p) for p in pieces])
-        order = np.argsort(-lengths, kind="stable")
-        owner, lengths = np.array(owner)[order], lengths[order]
-        grid = np.zeros((lengths[0], len(pieces)), np.int32)
-        for lane, i in enumerate(order):
-            grid[: lengths[lane], lane] = pieces[i]
-        active = np.searchsorted(-lengths, -np.arange(lengths[0]), side="left")  # lanes longer than the step
-        size = len(self.points) + 1
-        for k, (column, table, keys, states) in enumerate(self.tables):
-            flat, width = table.ravel(), table.shape[1]
-            root = table[1][column]  # by class
-            first = (keys >= size) & (keys < 2 * size)
-            root[keys[first] - size] = states[first]
-            rare = np.zeros(size, bool)
-            rare[keys % size] = True
-            state, found = np.zeros(len(pieces), np.int64), np.zeros(len(pieces), np.int64)
-            for step, n in enumerate(active):
-                c = grid[step, :n]
-                to = flat[state[:n] * width + column[c]]
-                if len(keys) and len(lanes := np.flatnonzero(rare[c])):
-                    wanted = state[lanes] * size + c[lanes]
-                    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-                    to[lanes] = np.where(keys[at] == wanted, states[at], 0)
-                new = to == 0
-                found[:n] += new
-                state[:n] = np.where(new, root[c], to)
-            counts[:, k] = np.bincount(owner, found, len(coded)).astype(np.int64)
+        flat = self.classes[np.concatenate([coded[i] for i in order])]
+        lengths = sizes[order]
+        begin = np.cumsum(lengths) - lengths
+        # texts that reach a step, while they are enough for steps over all of them
+        together = int(lengths[LANES - 1]) if len(lengths) >= LANES else 0
+        active = np.searchsorted(-lengths, -np.arange(together), side="left")
+        for k, table in enumerate(self.tables):
+            state, found = np.zeros(len(order), np.int64), np.zeros(len(order), np.int64)
+            self._side_by_side(table, flat, begin, active, state, found)
+            for lane in range(int(np.searchsorted(-lengths, -together, side="left"))):
+                rest = flat[begin[lane] + together : begin[lane] + lengths[lane]]
+                found[lane] += self._one(table, rest, int(state[lane]))
+            counts[order, k] = found
         return sizes, counts
 
+    def _side_by_side(self, table, flat, begin, active, state, found) -> None:
+        """Parse the first characters of all texts, one of each per step."""
+        column, rows, keys, states = table
+        size, width, cells = len(self.points) + 1, rows.shape[1], rows.ravel()
+        root = rows[1][column]  # by class
+        first = (keys >= size) & (keys < 2 * size)
+        root[keys[first] - size] = states[first]
+        rare = np.zeros(size, bool)
+        rare[keys % size] = True
+        for step, n in enumerate(active):
+            c = flat[begin[:n] + step]
+            to = cells[state[:n] * width + column[c]]
+            if len(keys) and len(lanes := np.flatnonzero(rare[c])):
+                wanted = state[lanes] * size + c[lanes]
+                at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+                to[lanes] = np.where(keys[at] == wanted, states[at], 0)
+            new = to == 0
+            found[:n] += new
+            state[:n] = np.where(new, root[c], to)
+
+    def _one(self, table, classes: np.ndarray, state: int) -> int:
+        """Phrases that begin in the rest of a text."""
+        column, rows, keys, states = table
+        size, width, cells = len(self.points) + 1, rows.shape[1], memoryview(rows.ravel())
+        rare = self._rare(table)
+        found = 0
+        for c, place in zip(classes.tolist(), column[classes].tolist(), strict=True):
+            to = cells[state * width + place] if place else rare.get(state * size + c, 0) if rare else 0
+            if not to:
+                found += 1
+                to = cells[width + place] if place else rare.get(size + c, 0) if rare else 0
+            state = to
+        return found
+
+    def _rare(self, table) -> dict[int, int]:
+        """Transitions on rare letters, by state * classes + class."""
+        if id(table) not in self.rare:
+            self.rare[id(table)] = dict(zip(table[2].tolist(), table[3].tolist(), strict=True))
+        return self.rare[id(table)]
+
     def predict(self, texts_: list[str | None]) -> tuple[list[str], list[float], list[float]]:
         """Language, score (how far the winner is ahead, 0 to 1) and phrases per character."""
         sizes, counts = self.phrases(texts_)
@@ -201,7 +227,10 @@ def labelled_sample(
         "most", F.least(F.lit(1.0), F.lit(2.0 * SAMPLE_ROWS) / F.col("n"))
     )
     unit = (F.pmod(F.col("h"), F.lit(1 << 20)) / float(1 << 20)).alias("unit")
-    near = ids.join(checked(stage(share, "shares")), "lang").where(unit < F.col("most"))
+    shares = stage(share, "shares")
+    if (n := shares.count()) > MOST_LANGUAGES:
+        raise ValueError(f"{n} different languages in {lang_col!r}, more than {MOST_LANGUAGES}")
+    near = ids.join(F.broadcast(shares), "lang").where(unit < F.col("most"))
     first = Window.partitionBy("lang").orderBy("h", "id")
     chosen = near.withColumn("place", F.row_number().over(first)).where(F.col("place") <= SAMPLE_ROWS)
     places = F.greatest(F.length(text_col) - ROW_CHARS + 1, F.lit(1))  # where a part may start
@@ -248,4 +277,4 @@ def identify(docs: DataFrame, samples: dict[str, str], text_col: str = "text") -
         return work
 
     added = "lang_pred string, score double, phrase_rate double"
-    return add_columns(docs, text_col, added, make, slice_bytes=4 << 20)  # lanes of many texts at once
+    return add_columns(docs, text_col, added, make, slice_bytes=8 << 20)  # many texts side by side

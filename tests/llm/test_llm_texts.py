@@ -4,6 +4,7 @@ import hashlib
 import os
 import random
 import sys
+import time
 import zlib
 
 import pytest
@@ -155,6 +156,34 @@ def test_hits_equal_brute_force(spark):
             assert (r.n_words, r.hits, r.hit_items) == (n, len(hit), sorted(map(str, found)))
 
 
+def test_items_of_one_repeated_word_are_linear():
+    start = time.process_time()
+    for items in ([(1, [b"a"] * 50_000)], [(1, [b"a", b"b"] * 25_000), (2, [b"a"] * 5)]):
+        automaton = decontamination.ItemAutomaton(items)
+        for tokens in ([b"a"] * 50_000, [b"a", b"b"] * 25_000, [b"x"] + [b"b", b"a"] * 10):
+            text = b" ".join(tokens).decode()
+            if len(tokens) < 100:
+                _, hit, found = brute.contamination(text, [(i, b" ".join(w).decode()) for i, w in items])
+                spans, names = automaton.scan(tokens)
+                assert sum(b - a for a, b in spans) == len(hit) and names == found
+            else:
+                automaton.scan(tokens)
+    assert time.process_time() - start < 5
+
+
+def test_ten_groups_give_the_rows_of_one(spark):
+    rng = random.Random(12)
+    words_ = [f"w{i}" for i in range(12)]
+    items = [(i, " ".join(rng.choice(words_) for _ in range(rng.randint(1, 12)))) for i in range(60)]
+    texts = [" ".join(rng.choice(words_) for _ in range(rng.randint(0, 80))) for _ in range(100)] + [None, None, "w1", "w1"]
+    docs = spark.createDataFrame([(i % 50, t, "r") for i, t in enumerate(texts)], DOCS + ", row_ string")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    one = decontamination.scan(docs, benchmark, window=4)
+    ten = decontamination.scan(docs, benchmark, window=4, group_words=40)
+    assert sorted(map(str, one.collect())) == sorted(map(str, ten.collect())) and ten.columns == one.columns
+    assert ten._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+
+
 def test_empty_benchmark_and_documents(spark):
     docs, none = spark.createDataFrame([(1, "a b")], DOCS), spark.createDataFrame([], "item_id long, text string")
     assert decontamination.scan(docs, none).first().hit_spans == []
@@ -196,6 +225,29 @@ def test_phrases_equal_brute_force():
         assert counts[i].tolist() == [phrases(spaced, plain["aa"]), phrases(spaced, plain["bb"])]
 
 
+def test_phrases_of_long_texts_are_one_parse():
+    """Long texts go on alone when the others have ended; no phrase is cut."""
+    rng = random.Random(16)
+    samples = {"aa": "the cat sat on the mat and the dog" * 3, "bb": "der hund und die katze auf der matte", "cc": "日本 " + "xyz"}
+    parser = langid.Parser(samples)
+    plain = {k: " " + s + " " for k, s in samples.items()}
+    words = "the cat sat on mat and dog der hund die katze auf matte 日 本日 x".split()
+    long = " ".join(rng.choice(words) for _ in range(25_000))
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randint(1, 30))) for _ in range(150)] + [long, long[:9_000], "the " * 5_000]
+    assert len(long) > 80_000
+    for part in (texts, texts[-3:]):
+        sizes, counts = parser.phrases(part)
+        for i, text in enumerate(part):
+            spaced = f" {text.strip()} "
+            assert sizes[i] == len(spaced) and counts[i].tolist() == [phrases(spaced, plain[k]) for k in samples]
+
+
+def test_too_many_languages(spark):
+    rows = [(i, "text", f"l{i}") for i in range(langid.MOST_LANGUAGES * 2)]
+    with pytest.raises(ValueError, match="different languages"):
+        langid.labelled_sample(spark.createDataFrame(rows, DOCS + ", lang string"))
+
+
 def test_letters_of_large_alphabets_are_told_apart():
     random.seed(7)
     blocks = {"han": (0x4E00, 3000), "hangul": (0xAC00, 2000), "kyr": (0x430, 32), "lat": (0x61, 26), "other": (0x4E00, 3000)}
@@ -229,6 +281,19 @@ def test_language_stage_without_labels(spark):
     assert sorted(r.doc_id for r in corpus_pipeline.known_languages(spark, docs, SF).collect()) == [1, 4]
 
 
+def test_language_stage_keeps_wanted_languages(spark):
+    import corpus_pipeline
+
+    rows = [(i, "the cat and the dog", "en", i) for i in range(30)] + [(30 + i, "der hund und die katze", "de", i) for i in range(30)]
+    rows += [(60, "die katze und der hund", None, 1), (61, "the dog", None, 2), (62, "12", "en", 3), (63, None, "de", None)]
+    docs = spark.createDataFrame(rows, DOCS + ", lang string, score int")
+    every = {r.doc_id: r.lang for r in corpus_pipeline.known_languages(spark, docs, SF).collect()}
+    assert sorted(every) == list(range(62)) and every[60] == "de" and every[61] == "en" and every[3] == "en"
+    wanted = corpus_pipeline.known_languages(spark, docs, SF, keep=["de"])
+    assert wanted.columns == docs.columns and sorted(r.doc_id for r in wanted.collect()) == list(range(30, 61))
+    assert corpus_pipeline.known_languages(spark, docs, SF, least_score=1.01).count() == 0
+
+
 def test_languages_of_held_out_rows(spark, documents):
     rows = QUERIES["op8_language"](spark, SF).collect()
     assert sorted(r.doc_id for r in rows) == sorted(documents)
