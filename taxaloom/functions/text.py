@@ -1,14 +1,12 @@
-"""Column functions on text. All run in the JVM except ``unescape_html``."""
+"""Column functions on text. All run in the JVM."""
 
 from __future__ import annotations
 
-from functools import lru_cache
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from taxaloom import vocab
+from taxaloom.functions.entities import decode_entities
 
 FIELD_SEPARATOR = "\x1f"
 NULL_FIELD = "\\N"
@@ -23,17 +21,6 @@ def squish(c: Column | str) -> Column:
     return F.trim(F.regexp_replace(_col(c), r"(?U)\s+", " "))
 
 
-@lru_cache(maxsize=1)
-def _entity_decoder():
-    # defined inside so that it travels to the workers by value
-    def decode(texts: pd.Series) -> pd.Series:
-        from html import unescape
-
-        return texts.map(unescape, na_action="ignore")
-
-    return F.pandas_udf(decode, "string")
-
-
 def strip_tags(c: Column | str) -> Column:
     """Text content: comments and tags removed."""
     return F.regexp_replace(_col(c), r"(?s)<!--.*?-->|</?[A-Za-z!][^>]*>", "")
@@ -42,12 +29,9 @@ def strip_tags(c: Column | str) -> Column:
 def unescape_html(c: Column | str) -> Column:
     """Text content with entities decoded; the literal text ``NA`` becomes null.
 
-    Tags go first so that a decoded ``<`` stays text. Only texts that hold an
-    ``&`` are sent to Python; all others are shipped as nulls.
+    Tags go first so that a decoded ``<`` stays text.
     """
-    text = strip_tags(c)
-    decoded = _entity_decoder()(F.when(text.contains("&"), text))
-    return F.nullif(F.coalesce(decoded, text), F.lit("NA"))
+    return F.nullif(decode_entities(strip_tags(c)), F.lit("NA"))
 
 
 def decode_rank(c: Column | str, codes: dict[str, str] | None = None) -> Column:
