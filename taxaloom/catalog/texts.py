@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from taxaloom.catalog.registry import query, table
-from taxaloom.functions import names, text
+from taxaloom.functions import grammar, names, text
 from taxaloom.sources.issues import parse_issues
 
 
@@ -245,6 +245,66 @@ def canonical_names(spark, sf_dir):
     )
 
 
+_GRAMMAR_SQL = """
+    WITH w AS (
+      SELECT p_partkey, p_partkey % 10 AS k, upper(substr(p_name, 1, 1)) || substr(split_part(p_name, ' ', 1), 2) AS g,
+             split_part(p_name, ' ', 2) AS e, lower(p_type) AS t, upper(substr(p_type, 1, 1)) || substr(lower(p_type), 2) AS a FROM part)
+"""
+
+
+@query(
+    _GRAMMAR_SQL
+    + """
+    SELECT p_partkey,
+           CASE WHEN k IN (0, 2) THEN g || ' ' || e WHEN k = 1 THEN g WHEN k IN (3, 4) THEN g || ' ' || e || ' ' || t
+                WHEN k = 5 THEN g || ' ' || e WHEN k = 6 THEN g || ' ' || e || ' × ' || a || ' ' || e || ' ' || t
+                WHEN k = 7 THEN g || ' ' || e || ' × ' || g || ' ' || t END AS canonical,
+           CASE WHEN k = 0 THEN 'L. f. ex ' || a WHEN k = 1 THEN '(' || a || ') van der Hoek & ' || a WHEN k = 2 THEN a || ' in Aut.'
+                WHEN k = 3 THEN 'Hook. f. & ' || a WHEN k = 5 THEN 'Mill.' WHEN k = 7 THEN a END AS authorship,
+           CASE WHEN k = 2 THEN a END AS subgenus,
+           CASE WHEN k = 5 THEN 'named' WHEN k IN (6, 7) THEN 'formula' END AS hybrid,
+           CASE WHEN k = 8 THEN t WHEN k = 9 THEN 'subsp.' END AS refused
+    FROM w
+    """
+)
+def names_grammar(spark, sf_dir):
+    """Names of ten shapes made from the parts, two of which can't be read."""
+    genus, epithet = F.initcap(text.first_token("p_name")), text.epithet_token("p_name")
+    kind, author = F.lower("p_type"), F.initcap(F.lower("p_type"))
+    shapes = [
+        F.concat_ws(" ", genus, epithet, F.lit("L. f. ex"), author),
+        F.concat_ws(" ", genus, F.concat(F.lit("("), author, F.lit(")")), F.lit("van der Hoek &"), author),
+        F.concat_ws(" ", genus, F.concat(F.lit("("), author, F.lit(")")), epithet, author, F.lit("in Aut.")),
+        F.concat_ws(" ", genus, epithet, F.lit("L. subsp."), kind, F.lit("Hook. f. &"), author),
+        F.concat_ws(" ", genus, epithet, kind),
+        F.concat_ws(" ", F.concat(F.lit("×"), genus), F.lit("x"), epithet, F.lit("Mill.")),
+        F.concat_ws(" ", genus, epithet, F.lit("L. ×"), author, epithet, F.lit("var."), kind),
+        F.concat_ws(" ", genus, epithet, F.lit("×"), F.concat(F.substring(genus, 1, 1), F.lit(".")), kind, author),
+        F.concat_ws(" ", genus, epithet, kind, kind),
+        F.concat_ws(" ", genus, epithet, author, F.lit("subsp.")),
+    ]
+    name = F.element_at(F.array(*shapes), (F.col("p_partkey") % 10 + 1).cast("int"))
+    parsed = table(spark, sf_dir, "part").select("p_partkey", grammar.parse_name(name).alias("p"))
+    return parsed.select("p_partkey", "p.canonical", "p.authorship", "p.subgenus", "p.hybrid", "p.refused")
+
+
+@query(
+    _GRAMMAR_SQL
+    + """
+    SELECT 'name_refused' AS rule, CAST(p_partkey AS VARCHAR) AS key, CASE WHEN k = 8 THEN t ELSE 'subsp.' END AS detail FROM w WHERE k > 7
+    """
+)
+def names_refused(spark, sf_dir):
+    """The names that the grammar can't read, with the token where it stopped."""
+    genus, epithet, kind = F.initcap(text.first_token("p_name")), text.epithet_token("p_name"), F.lower("p_type")
+    third = F.col("p_partkey") % 10
+    tail = F.when(third == 8, F.concat_ws(" ", kind, kind)).when(third == 9, F.lit("Aut. subsp.")).otherwise(F.lit("Aut. f. & Mill."))
+    named = table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("taxonID"), F.concat_ws(" ", genus, epithet, tail).alias("scientificName")
+    )
+    return grammar.refused_names(named)
+
+
 @query(
     r"""
     WITH squished AS (

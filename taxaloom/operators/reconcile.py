@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from taxaloom import vocab
 from taxaloom.functions import names, text
+from taxaloom.functions.grammar import parse_name
 from taxaloom.operators.columns import (
     eligible_for_match,
     exclude_incertae,
@@ -21,16 +22,18 @@ from taxaloom.operators.windows import add_count, first_hit
 ANY_GROUP = ""
 
 
-def prepare_match_requests(taxa: DataFrame) -> DataFrame:
+def prepare_match_requests(taxa: DataFrame, by_grammar: bool = False) -> DataFrame:
     """(taxonID, taxon, ipni_filter): canonical names to look up, one row per id.
 
+    ``by_grammar`` reads names with ``functions.grammar`` (formulas, subgenera, chained ranks) in place of the rules.
+
     ``taxonID`` is the key of ``taxa``, so rows are distinct without a shuffle. Names that can't be read
     are not asked for; ``name_violations`` reports them.
     """
     asked = eligible_for_match(exclude_incertae(taxa))
     return asked.select(
         "taxonID",
-        names.canonical_name("scientificName").alias("taxon"),
+        (parse_name("scientificName")["canonical"] if by_grammar else names.canonical_name("scientificName")).alias("taxon"),
         text.rank_to_group("taxonRank").alias("ipni_filter"),
     ).filter(F.col("taxon").isNotNull())
 
