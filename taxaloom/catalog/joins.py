@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from taxaloom.catalog.registry import query, table
 from taxaloom.functions import text
-from taxaloom.operators import joins, parents, windows
+from taxaloom.operators import joins, parents, sweep, windows
 
 PART_KEY = ["p_name", "p_brand", "p_type"]
 
@@ -55,6 +55,21 @@ def _bands(parts, step, width, tag):
     return windows.fixed_width_interval(named, "start", float(width))
 
 
+@query(
+    """
+    SELECT e.event_id, e.user_id, max(s.event_id) AS parent FROM events e
+    LEFT JOIN events s ON s.user_id = e.user_id AND s.event_type = 'signup' AND s.event_id <= e.event_id
+    GROUP BY e.event_id, e.user_id
+    """
+)
+def open_interval_sweep(spark, sf_dir):
+    """As ``open_interval_parent``: events and signups in one sorted stream."""
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+    starts = events.filter("event_type = 'signup'").select("user_id", F.col("event_id").alias("start"))
+    found = sweep.last_start_join(events.select("event_id", "user_id"), starts, "event_id", on=["user_id"])
+    return found.withColumnRenamed("start", "parent")
+
+
 @query(
     """
     WITH bands AS (SELECT DISTINCT p_brand, (p_size - 1) // 10 * 10 + 1 AS start FROM part)
