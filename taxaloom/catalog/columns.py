@@ -225,3 +225,29 @@ def measured_rules(spark, sf_dir):
     suppliers = joins.lookup_join(table(spark, sf_dir, "supplier"), lookup.rows, [("s_nationkey", "c_nationkey")], skewed=False)
     matched = quality.write_measured(suppliers, [quality.predicate(F.col("c_name").isNull(), "supplier_without_customers", "s_suppkey")])
     return lines.counts().unionByName(lookup.counts()).unionByName(matched.counts())
+
+
+@query(
+    """
+    SELECT 'part_and_supplier' AS rule, l_partkey || '|' || l_suppkey AS key, CAST(COUNT(*) AS VARCHAR) AS detail
+    FROM lineitem GROUP BY l_partkey, l_suppkey HAVING COUNT(*) > 1
+    UNION ALL SELECT 'line', l_orderkey || '|' || l_linenumber, CAST(COUNT(*) AS VARCHAR)
+    FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1
+    UNION ALL SELECT 'first_line', CAST(CASE WHEN l_linenumber = 1 THEN l_orderkey END AS VARCHAR), CAST(COUNT(*) AS VARCHAR)
+    FROM lineitem WHERE l_linenumber = 1 GROUP BY 2 HAVING COUNT(*) > 1
+    UNION ALL SELECT 'flag_or_null', coalesce(nullif(l_returnflag, 'A'), 'NULL'), CAST(COUNT(*) AS VARCHAR)
+    FROM lineitem GROUP BY nullif(l_returnflag, 'A') HAVING COUNT(*) > 1
+    """
+)
+def unique_rules(spark, sf_dir):
+    """Four uniqueness rules in one shuffle: keys of lines, pairs, first lines of orders, and flags with nulls."""
+    lines = table(spark, sf_dir, "lineitem").withColumns(
+        {"first": F.when(F.col("l_linenumber") == 1, F.col("l_orderkey")), "flag": F.nullif("l_returnflag", F.lit("A"))}
+    )
+    rules = [
+        quality.UniqueRule("line", ["l_orderkey", "l_linenumber"]),
+        quality.UniqueRule("part_and_supplier", ["l_partkey", "l_suppkey"]),
+        quality.UniqueRule("first_line", ["first"], nulls=False),
+        quality.UniqueRule("flag_or_null", ["flag"]),
+    ]
+    return quality.rules_unique(lines, rules)

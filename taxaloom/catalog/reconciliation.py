@@ -172,3 +172,36 @@ def new_names_report(spark, sf_dir):
     )
     current = parts.filter("p_size > 3").select(F.concat(name, F.lit(" Auth.")).alias("scientificName")).distinct()
     return reconcile.new_names_report(issues, current)
+
+
+@query(
+    """
+    WITH known AS (
+      SELECT upper(substr(p_name, 1, 1)) || substr(p_name, 2) || ' ' || translate(CAST(p_partkey * 7919 % 100003 AS VARCHAR), '0123456789', 'abcdefghij') AS name,
+             p_partkey AS ref_id, p_size AS priority FROM part),
+    asked AS (
+      SELECT ref_id AS id, CASE ref_id % 5 WHEN 0 THEN name WHEN 1 THEN substr(name, 1, 2) || substr(name, 4) WHEN 2 THEN name || 'q'
+                                WHEN 3 THEN substr(name, 1, 4) || 'xyz' || substr(name, 5) ELSE 'k' || substr(name, 2, length(name) - 2) END AS name
+      FROM known),
+    pairs AS (
+      SELECT a.id, k.name AS match_name, levenshtein(a.name, k.name) AS distance, k.priority, k.ref_id
+      FROM asked a JOIN known k ON abs(length(a.name) - length(k.name)) <= 2 AND levenshtein(a.name, k.name) BETWEEN 1 AND 2
+      WHERE a.name NOT IN (SELECT name FROM known))
+    SELECT CAST(id AS VARCHAR) AS "taxonID", match_name, CAST(distance AS INT) AS distance, CAST(ref_id AS BIGINT) AS ref_id
+    FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY distance, priority, ref_id) AS rn FROM pairs) WHERE rn = 1
+    """
+)
+def similar_matches(spark, sf_dir):
+    """Misspelt names (a letter lost, added or changed, or three added) and the authority's names next to them."""
+    code = F.translate((F.col("p_partkey") * 7919 % 100003).cast("string"), "0123456789", "abcdefghij")
+    name = F.concat(F.upper(F.substring("p_name", 1, 1)), F.expr("substring(p_name, 2)"), F.lit(" "), code)
+    known = table(spark, sf_dir, "part").select(
+        name.alias("match_name"), F.col("p_partkey").cast("long").alias("ref_id"), F.col("p_size").alias("priority")
+    )
+    spelt = F.expr(
+        """CASE ref_id % 5 WHEN 0 THEN match_name WHEN 1 THEN substring(match_name, 1, 2) || substring(match_name, 4)
+           WHEN 2 THEN match_name || 'q' WHEN 3 THEN substring(match_name, 1, 4) || 'xyz' || substring(match_name, 5)
+           ELSE 'k' || substring(match_name, 2, length(match_name) - 2) END"""
+    )
+    asked = known.select(F.col("ref_id").cast("string").alias("taxonID"), spelt.alias("taxon"))
+    return reconcile.match_similar(asked, known, columns=["ref_id"])

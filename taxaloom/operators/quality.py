@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
+from operator import and_
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -123,6 +124,57 @@ def rule_unique_rows(df: DataFrame, columns: Sequence[str], rule: str | None = N
     return _violations(_repeats(df, columns), name, _joined(columns), F.col("_times"))
 
 
+class UniqueRule(NamedTuple):
+    """Columns whose values must not repeat together; rows with a null among them count only if ``nulls``."""
+
+    rule: str
+    columns: Sequence[str]
+    nulls: bool = True
+
+
+#: fingerprints that repeat are sent to all tasks if they are so many at most
+BROADCAST_MARKS = 1_000_000
+
+
+def rules_unique(
+    df: DataFrame, rules: Sequence[UniqueRule], fingerprint: Callable[..., Column] = F.xxhash64, most: int = BROADCAST_MARKS
+) -> DataFrame:
+    """Several uniqueness rules: one shuffle of (rule number, fingerprint), nine bytes each, finds what may repeat.
+
+    Only then, and only for those rows, values are compared, so fingerprints that clash report nothing false. A value
+    that very many rows share is summed up in each task before it is sent.
+    """
+    if not rules:
+        return no_violations(df)
+
+    def entry(number: int, rule: UniqueRule, *more: Column) -> Column:
+        found = F.struct(F.lit(number).cast("byte").alias("no"), fingerprint(*rule.columns).alias("mark"), *more)
+        if rule.nulls:
+            return found
+        return F.when(reduce(and_, [F.col(c).isNotNull() for c in rule.columns]), found)
+
+    def entries(*more: Callable[[UniqueRule], Column]) -> DataFrame:
+        each = F.array(*[entry(i, rule, *[m(rule) for m in more]) for i, rule in enumerate(rules)])
+        return df.select(F.explode(F.filter(each, lambda e: e.isNotNull())).alias("e")).select("e.*")
+
+    marks = stage(entries().groupBy("no", "mark").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "marks")
+    n = marks.count()
+    if not n:
+        return no_violations(df)
+    values = entries(lambda rule: F.array(*[F.col(c).cast("string") for c in rule.columns]).alias("values"))
+    on = ["no", "mark"]
+    if n <= most:
+        asked = values.join(F.broadcast(marks.select(on)), on, "left_semi")
+    else:  # a mark with a thousandth of all rows goes to all tasks, of which there are a thousand at most
+        hot = F.col("n") * 1_000 >= marks.agg(F.sum("n")).first()[0]
+        heavy = values.join(F.broadcast(marks.filter(hot).select(on)), on, "left_semi")
+        asked = heavy.unionByName(values.join(marks.filter(~hot).select(on), on, "left_semi"))
+    repeats = asked.groupBy("no", "values").agg(F.count(F.lit(1)).alias("_times")).filter("_times > 1")
+    name = F.element_at(F.array(*[F.lit(r.rule) for r in rules]), F.col("no").cast("int") + 1)
+    key = F.concat_ws("|", F.transform("values", lambda v: F.coalesce(v, F.lit("NULL"))))
+    return repeats.select(name.alias("rule"), key.alias("key"), F.col("_times").cast("string").alias("detail"))
+
+
 def rule_unique(df: DataFrame, column: str, rule: str | None = None) -> DataFrame:
     return rule_unique_rows(df, [column], rule)
 

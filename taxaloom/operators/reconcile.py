@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from taxaloom import vocab
@@ -15,9 +15,10 @@ from taxaloom.operators.columns import (
     exclude_incertae,
     null_parent_for_aliases,
 )
-from taxaloom.operators.joins import lookup_fill, lookup_join, one_per_key
+from taxaloom.operators.joins import anti_join, lookup_fill, lookup_join, one_per_key
 from taxaloom.operators.quality import RowRule, row_rules
 from taxaloom.operators.windows import add_count, first_hit
+from taxaloom.session import stage
 
 ANY_GROUP = ""
 
@@ -89,6 +90,78 @@ def match_reference(
     return joined.select(id_col, *columns)
 
 
+#: letters of a name that stand together in the index, and the edits allowed for names of four and of eight letters
+GRAM, EDITS = 3, {4: 1, 8: 2}
+
+
+def _grams(name: Column) -> Column:
+    """Three letters in a row, with blanks around the name, numbered where one repeats: every edit changes three at most."""
+    padded = F.concat(F.lit(" " * (GRAM - 1)), name, F.lit(" " * (GRAM - 1)))
+    places = F.sequence(F.lit(1), F.length(padded) - (GRAM - 1))
+    grams = F.transform(places, lambda i: F.substring(padded, i, F.lit(GRAM)))
+    numbered = F.transform(grams, lambda g, i: F.struct(g.alias("g"), F.size(F.filter(F.slice(grams, 1, i + 1), lambda o: o == g)).alias("k")))
+    return F.transform(numbered, lambda x: F.concat(x["g"], x["k"].cast("string")))
+
+
+def _prefixes(named: DataFrame, counts: DataFrame, edits: int) -> DataFrame:
+    """(name, gram) of the rarest grams of each name: names within so many edits have one of them in common."""
+    each = named.select("name", F.explode(_grams(F.col("name"))).alias("gram"))
+    weighed = each.join(counts, "gram", "left").select("name", F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram").alias("place"))
+    rarest = F.slice(F.array_sort(F.collect_list("place")), 1, GRAM * edits + 1)  # the grams of one name
+    return weighed.groupBy("name").agg(F.explode(rarest).alias("place")).select("name", F.col("place.gram").alias("gram"))
+
+
+def similar_names(asked: DataFrame, known: DataFrame, edits: dict[int, int] | None = None) -> DataFrame:
+    """(name, match_name, distance) of pairs of different names that few edits apart, for two columns ``name``.
+
+    ``edits`` says from which length of the asked name on how many are allowed. Names meet under the rarest grams of
+    each only, and lengths must agree, so few pairs are compared letter by letter; no pair is lost.
+    """
+    edits = EDITS if edits is None else edits
+    most = max(edits.values())
+    if any(length + GRAM - 1 <= GRAM * n for length, n in edits.items()):
+        raise ValueError("so many edits may leave a short name without any gram in common")
+    asked, known = (d.select("name").where(F.col("name").isNotNull()).distinct() for d in (asked, known))
+    counts = stage(known.select(F.explode(_grams(F.col("name"))).alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("n")), "grams")
+    allowed = F.lit(0)
+    for length, n in sorted(edits.items()):
+        allowed = F.when(F.length("name") >= length, n).otherwise(allowed)
+    long_enough = asked.withColumn("allowed", allowed).where("allowed > 0")
+    left = _prefixes(long_enough, counts, most).join(long_enough, "name")
+    right = _prefixes(known, counts, most).withColumnRenamed("name", "match_name")
+    near = F.abs(F.length("name") - F.length("match_name")) <= F.col("allowed")
+    pairs = left.join(right, "gram").where(near).select("name", "match_name", "allowed").distinct()
+    distance = F.levenshtein("name", "match_name", most)  # below 0 beyond that
+    found = pairs.withColumn("distance", distance).where("distance between 1 and allowed")
+    return found.select("name", "match_name", "distance")
+
+
+def match_similar(
+    requests: DataFrame,
+    reference: DataFrame,
+    id_col: str = "taxonID",
+    name_col: str = "taxon",
+    priority: Sequence[str] = ("priority", "ref_id"),
+    columns: Sequence[str] = vocab.AUTHORITY_COLUMNS,
+    edits: dict[int, int] | None = None,
+) -> DataFrame:
+    """Most similar authority row of the requests whose name the authority doesn't have, by distance, then priority.
+
+    Adds ``match_name`` and ``distance``; requests without a similar name have no row. Meant for review, so
+    ``match_reference`` does not use it by itself.
+    """
+    best = first_hit(reference.select("match_name", *dict.fromkeys([*priority, *columns])), ["match_name"], priority)
+    best = stage(best.where(F.col("match_name").isNotNull()), "best")
+    names_ = best.select(F.col("match_name").alias("name"))
+    open_ = anti_join(requests.where(F.col(name_col).isNotNull()), best, [(name_col, "match_name")])
+    open_ = stage(open_.select(id_col, F.col(name_col).alias("name")), "open")
+    pairs = similar_names(open_.select("name"), names_, edits)
+    ranked = lookup_join(pairs, best, "match_name", "inner")
+    nearest = first_hit(ranked, ["name"], ["distance", *priority, "match_name"])
+    found = lookup_join(open_, nearest, "name", "inner", salt_by=[id_col])
+    return found.select(id_col, "match_name", "distance", *columns)
+
+
 def summarise_matches(taxa: DataFrame, results: DataFrame) -> DataFrame:
     """Results with status, own and authority name, requests per authority name and keep flag.
 
