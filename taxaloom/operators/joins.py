@@ -11,6 +11,7 @@ Spark still broadcasts sides that its own statistics show to be small.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 from operator import and_
@@ -268,22 +269,30 @@ def interval_join(
     on: Keys = (),
     closed: bool = False,
     how: str = "left",
+    widths: Sequence[float] | None = None,
 ) -> DataFrame:
     """Bands that hold ``point``: ``start <= point < end`` (``<=`` when ``closed``).
 
     A band is filed in the at most three cells of its own size that it touches, whatever that size is, and a
     point looks into one cell per band size in use, so the join is an equi join on (keys, size, cell) and
-    never compares all pairs of a key. The sizes in use are read first. Matching runs over (id, point, keys)
+    never compares all pairs of a key. The sizes in use are read first, unless the caller states the ``widths`` of
+    the bands (others match too, from more cells). Matching runs over (id, point, keys)
     only, each different one once, and is joined back, so rows that repeat an id keep their own matches.
     Cells with very many points are left to adaptive skew handling, which copies no bands.
     """
     low, high, at = F.col(start).cast("double"), F.col(end).cast("double"), F.col(point).cast("double")
     pairs = key_pairs(on)
     sound = bands.filter(low.isNotNull() & (high >= low))
-    filed = sound.withColumn("_level", _level(low, high)).withColumn(
+    stated = sorted({max(_SMALLEST_LEVEL, math.ceil(math.log2(w))) for w in widths or () if w > 0})
+    level = _level(low, high)
+    if stated:
+        level = F.lit(stated[-1])
+        for size in reversed(stated[:-1]):
+            level = F.when(high - low <= float(2**size), F.lit(size)).otherwise(level)
+    filed = sound.withColumn("_level", level).withColumn(
         "_cell", F.explode(F.sequence(_cell(low, F.col("_level")), _cell(high, F.col("_level"))))
     )
-    levels = sorted(r[0] for r in sound.select(_level(low, high)).distinct().collect())
+    levels = stated or sorted(r[0] for r in sound.select(level).distinct().collect())
     inside = (low <= at) & ((at <= high) if closed else (at < high))
     needed = list(dict.fromkeys([id_col, point, *[l for l, _ in pairs]]))
     band_columns = [c for c in bands.columns if c not in {r for _, r in pairs}]

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from taxaloom import vocab
 from taxaloom.functions.text import first_token, not_in
 from taxaloom.operators.joins import lookup_join, one_per_key, semi_join
-from taxaloom.session import stage
+from taxaloom.session import stage_counted
 
 
 def pivot_wider_rank(
@@ -45,24 +45,25 @@ def resolve_nodes(
     inner = semi_join(nodes, parents, [(id_col, "_parent")], skewed=False)
     own = F.struct(*[F.when(F.col(rank) == r, F.col(name)).alias(r) for r in ranks])
     pointers = inner.select(F.col(id_col).alias("_id"), own.alias("_lineage"), F.col(parent).alias("_top"))
-    known = stage(one_per_key(pointers, "_id"), "lineage")
+    sizes = {"rows": F.count(F.lit(1)), "open": F.count("_top")}  # known as soon as a round is written
+    known, found = stage_counted(one_per_key(pointers, "_id"), sizes, "lineage")
     rounds = 0
     while True:
-        n, still_open = known.agg(F.count(F.lit(1)), F.count("_top")).first()
-        if not still_open or rounds > math.ceil(math.log2(max(2, n))):
+        if not found["open"] or rounds > math.ceil(math.log2(max(2, found["rows"]))):
             return known
         rounds += 1
         above = known.select(
             F.col("_id").alias("_above"), F.col("_lineage").alias("_far"), F.col("_top").alias("_next")
         )
         joined = lookup_join(known, above, [("_top", "_above")], salt_by=["_id"], keys_from=known)
-        known = stage(
+        known, found = stage_counted(
             joined.select(
                 "_id",
                 _merged("_lineage", "_far", ranks).alias("_lineage"),
                 # an unknown parent id ends the chain
                 F.col("_next").alias("_top"),
             ),
+            sizes,
             "lineage",
         )
 

@@ -48,9 +48,10 @@ def banded_parent(
     id_col: str,
     start: str = "start",
     end: str = "end",
+    widths: Sequence[float] | None = None,
 ) -> DataFrame:
     """Equality on ``on`` and ``start <= point < end``."""
-    return interval_join(children, bands, point, id_col, start, end, on=on)
+    return interval_join(children, bands, point, id_col, start, end, on=on, widths=widths)
 
 
 def equi_parent(children: DataFrame, parents: DataFrame, on: Keys, id_col: str = "taxonID") -> DataFrame:
@@ -59,7 +60,13 @@ def equi_parent(children: DataFrame, parents: DataFrame, on: Keys, id_col: str =
 
 
 def cascade_parent(
-    children: DataFrame, levels: Sequence[DataFrame], on: Keys, point: str, id_col: str, parent: str
+    children: DataFrame,
+    levels: Sequence[DataFrame],
+    on: Keys,
+    point: str,
+    id_col: str,
+    parent: str,
+    widths: Sequence[float] | None = None,
 ) -> DataFrame:
     """Parent from the first level that has one, most specific level first: one row per child.
 
@@ -75,7 +82,7 @@ def cascade_parent(
         ]
     )
     asked = children.select(*dict.fromkeys([id_col, point, *[l for l, _ in key_pairs(on)]])).distinct()
-    matched = interval_join(asked, tagged, point, id_col, on=on, how="inner")
+    matched = interval_join(asked, tagged, point, id_col, on=on, how="inner", widths=widths)
     best = (
         matched.groupBy(F.col(id_col).alias("_child"), "_tier")
         .agg(F.min("_found").alias("_found"), F.count(F.lit(1)).alias("n_matches"))
@@ -177,8 +184,9 @@ def assign_parents(ranked: DataFrame, autonyms: DataFrame) -> DataFrame:
         ["major_num"],
     )
     tribes = banded_parent(
-        filter_rank(ranked, "tribe"), _bands(ranked, "subfamily"), ["major_num"], "minor_num", "taxonID"
-    )
+        filter_rank(ranked, "tribe"), _bands(ranked, "subfamily"), ["major_num"], "minor_num", "taxonID",
+        widths=list(BAND_WIDTHS.values()),
+    )
     genera = cascade_parent(
         filter_rank(ranked, "genus"),
         [_bands(ranked, rank) for rank in ("tribe", "subfamily", "family")],
@@ -186,6 +194,7 @@ def assign_parents(ranked: DataFrame, autonyms: DataFrame) -> DataFrame:
         "minor_num",
         "taxonID",
         "_parent",
+        list(BAND_WIDTHS.values()),
     ).withColumn("_parent", F.struct(F.col("_parent.id").alias("id"), F.greatest("_parent.n", "n_matches").alias("n")))
     all_species = union_by_name(filter_rank(ranked, "species"), autonyms)
     species = equi_parent(all_species, _single(_parents(ranked, "genus", "number"), "number"), ["number"])

@@ -7,12 +7,12 @@ from functools import reduce
 from operator import and_
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from taxaloom import vocab
 from taxaloom.functions.text import not_in
-from taxaloom.session import stage
+from taxaloom.session import stage, stage_counted
 
 
 class RuleViolation(Exception):
@@ -73,15 +73,9 @@ class Measured(NamedTuple):
 
 
 def write_measured(df: DataFrame, rules: Sequence[RowRule], tag: str = "measured") -> Measured:
-    """Stage a table and count what breaks its row rules in the same pass.
-
-    The metrics stand right below the write, so each written task counts once, however often tasks are repeated.
-    """
-    metrics = Observation()
-    counted = df.observe(metrics, *[F.count_if(bad).alias(f"rule_{i}") for i, (_, bad, _, _) in enumerate(rules)])
-    rows = stage(counted, tag)
-    found = metrics.get  # without any row there may be no metrics
-    return Measured(rows, list(rules), [found.get(f"rule_{i}") or 0 for i in range(len(rules))])
+    """Stage a table and count what breaks its row rules in the same pass."""
+    rows, found = stage_counted(df, {f"rule_{i}": F.count_if(bad) for i, (_, bad, _, _) in enumerate(rules)}, tag)
+    return Measured(rows, list(rules), list(found.values()))
 
 
 def write_measured_keys(df: DataFrame, keys: Sequence[str], rule: str = "right_key_repeats", tag: str = "keys") -> Measured:

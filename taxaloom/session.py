@@ -8,7 +8,7 @@ import warnings
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 #: folder per application where the session names none (local sessions only)
 _OWN_FOLDERS: dict[str, str] = {}
@@ -110,3 +110,14 @@ def stage(df: DataFrame, tag: str = "stage") -> DataFrame:
     path = stage_path(spark, tag)
     df.write.option("maxRecordsPerFile", 0).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def stage_counted(df: DataFrame, metrics: dict[str, Column], tag: str = "stage") -> tuple[DataFrame, dict[str, int]]:
+    """``stage``, with aggregates of the rows that are taken while they are written (0 where there are none).
+
+    The metrics stand right below the write, so each written task counts once, however often tasks are repeated.
+    """
+    observation = Observation()
+    staged = stage(df.observe(observation, *[c.alias(name) for name, c in metrics.items()]), tag)
+    found = observation.get  # without any row there may be no metrics
+    return staged, {name: found.get(name) or 0 for name in metrics}

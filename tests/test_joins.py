@@ -169,3 +169,12 @@ def test_lookup_fill(spark):
     assert rows(filled, "id", "up_name") == [("1", "x"), ("2", "A"), ("3", "own"), ("4", None)]
     over = joins.lookup_fill(df, "up_name", "name", "id", "up", overwrite=True)
     assert rows(over, "id", "up_name") == [("1", "x"), ("2", "A"), ("3", "A"), ("4", None)]
+
+
+def test_stated_widths_of_bands_change_nothing(spark):
+    bands = spark.createDataFrame([(k % 3, float(k * 7), float(k * 7 + w)) for k in range(60) for w in (5, 99, 1000)], "k int, start double, end double")
+    points = spark.createDataFrame([(i, i % 3, i * 0.75) for i in range(700)], "id long, k int, x double")
+    want = sorted(map(tuple, joins.interval_join(points, bands, "x", "id", on=["k"]).collect()), key=str)
+    for widths in ([99.0, 1000.0], [5.0], [1000.0]):
+        found = joins.interval_join(points, bands, "x", "id", on=["k"], widths=widths)
+        assert sorted(map(tuple, found.collect()), key=str) == want
