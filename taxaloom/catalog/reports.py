@@ -10,7 +10,7 @@ from taxaloom.catalog.lineages import SORTED_SQL, sorted_taxa
 from taxaloom.catalog.registry import query, table
 from taxaloom.operators import treatment
 from taxaloom.session import scratch_dir
-from taxaloom.sources.checklist import number_lines, read_delimited, write_treatment
+from taxaloom.sources.checklist import number_lines, read_delimited, write_one_csv, write_treatment
 from taxaloom.sources.checklist import write_table_csv as write_table_csv_files
 
 
@@ -78,3 +78,19 @@ def write_table_csv(spark, sf_dir):
     return back.select(
         F.col("c_custkey").cast("long"), "c_name", "c_mktsegment", F.col("c_nationkey").cast("int")
     )
+
+
+@query(
+    """
+    SELECT CAST(1 AS BIGINT) AS line_no, 'c_custkey,c_name,segment' AS line
+    UNION ALL
+    SELECT 1 + row_number() OVER (ORDER BY c_mktsegment, c_custkey),
+           c_custkey || ',' || c_name || ',"a ""' || c_mktsegment || '"", b"' FROM customer
+    """
+)
+def one_csv_file(spark, sf_dir):
+    """Customers as one sorted CSV file with a header, read back line by line."""
+    path = f"{scratch_dir(spark)}/taxaloom/one-{uuid4().hex}.csv"
+    segment = F.concat(F.lit('a "'), "c_mktsegment", F.lit('", b')).alias("segment")
+    write_one_csv(table(spark, sf_dir, "customer").select("c_custkey", "c_name", segment), path, ["segment", "c_custkey"])
+    return number_lines(spark.read.text(path), "line_no").withColumnRenamed("value", "line")

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import csv
+import io
+
+from pyspark.errors.exceptions.captured import UnsupportedOperationException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +13,7 @@ from taxaloom.operators.columns import clean_names, drop_empty_columns
 from taxaloom.operators.ordering import sort_names
 from taxaloom.operators.treatment import report_sort
 from taxaloom.operators.windows import number_rows
+from taxaloom.session import stage_path
 from taxaloom.sources.quoted import PLACE, read_quoted
 from taxaloom.sources.workbook import read_workbook
 
@@ -94,6 +99,59 @@ def write_table_csv(df: DataFrame, path: str, order: list[str] | None = None) ->
     return path
 
 
+def write_one_csv(df: DataFrame, path: str, order: list[str]) -> str:
+    """One CSV file with a header, its lines sorted by ``order``.
+
+    Tasks write sorted parts, which the file system joins in order. Where it can't (local disks, object stores), the
+    driver's JVM copies them one behind the other as bytes: no row passes through Python or one task.
+    """
+    spark = df.sparkSession
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    folder = stage_path(spark, "parts")
+    rows = sort_names(df, *order)
+    rows.write.options(
+        header=False, nullValue="", emptyValue="", escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    ).csv(folder)
+    target, source = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(folder)
+    fs = target.getFileSystem(conf)
+    here = source.getFileSystem(conf)
+    found = [f.getPath() for f in here.listStatus(source) if f.getPath().getName().startswith("part-") and f.getLen()]
+    parts = sorted(found, key=lambda p: p.getName())  # numbered with leading zeros, in the order of the sort
+    header = io.StringIO()
+    csv.writer(header, lineterminator="\n").writerow(df.columns)
+
+    def write(behind: list) -> None:
+        out = fs.create(target, True)
+        try:
+            out.write(bytearray(header.getvalue().encode()))
+            for part in behind:
+                stream = here.open(part)
+                try:
+                    jvm.org.apache.hadoop.io.IOUtils.copyBytes(stream, out, 1 << 20, False)
+                finally:
+                    stream.close()
+        finally:
+            out.close()
+
+    write([])
+    same = fs.getUri().equals(here.getUri())
+    if parts and not (same and _joined(spark, fs, target, parts)):
+        write(parts)
+    return path
+
+
+def _joined(spark: SparkSession, fs, target, parts: list) -> bool:
+    """Whether the file system has put the parts behind the target by itself."""
+    array = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Path, len(parts))
+    for i, part in enumerate(parts):
+        array[i] = part
+    try:
+        fs.concat(target, array)
+    except UnsupportedOperationException:
+        return False
+    return True
+
+
 def write_treatment(lines: DataFrame, path: str) -> str:
     """Text files whose lines, read in file order, are the treatment."""
     report_sort(lines).select("line").write.text(path)

@@ -271,6 +271,18 @@ def test_csv_round_trip(spark, mini_taxa, tmp_path):
     assert ordered == sorted(ordered)
 
 
+def test_one_sorted_file(spark, tmp_path):
+    import csv
+
+    rows = [(f"n{i:04}", None if i % 5 == 0 else f'say "{i}", x', i) for i in range(1000)]
+    path = files.write_one_csv(spark.createDataFrame(rows[::-1], "name string, `a,b` string, n int").repartition(6), str(tmp_path / "one.csv"), ["name"])
+    with open(path, newline="") as f:
+        found = list(csv.reader(f))
+    assert found[0] == ["name", "a,b", "n"] and found[1:] == [[a, b or "", str(n)] for a, b, n in rows]
+    files.write_one_csv(spark.createDataFrame(rows[:0], "name string, b string, n int"), path, ["name"])
+    assert open(path).read() == "name,b,n\n"
+
+
 def test_file_order_over_files_and_splits(spark, tmp_path):
     n = 3000
     lines = [f"{i}|x{i}|" for i in range(n)]
