@@ -119,7 +119,7 @@ def rank_from_name(df: DataFrame, name: str, target: str = "taxonRank", strict:
 
 def normalise_initials(c: Column | str) -> Column:
     """``R. Br.`` -> ``R.Br.``"""
-    return F.regexp_replace(_col(c), r"(?U)(?<=[A-Z])\.\s+(?=[A-Z])", ".")
+    return F.regexp_replace(_col(c), vocab.INITIALS_PATTERN, ".")
 
 
 def italicise_name(name: Column | str, rank: Column | str) -> Column:

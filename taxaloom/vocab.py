@@ -179,6 +179,9 @@ NAME_OVERRIDES = {
     ),
 }
 
+# Fixed value: a dot and blanks between two initials of an author.
+INITIALS_PATTERN = r"(?U)(?<=[A-Z])\.\s+(?=[A-Z])"
+
 # Ranks that are counted, in report order.
 COUNTED_RANKS = ["order", "family", "subfamily", "tribe", "genus", "nothogenus", "species"]
 
