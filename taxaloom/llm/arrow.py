@@ -86,7 +86,10 @@ def add_columns(
         work = make()
         for whole in batches:
             for batch in sliced(whole, text_col, slice_bytes):
-                extra = [pa.array(values, type=f.type) for values, f in zip(work(batch), fields, strict=True)]
+                extra = [
+                    values.cast(f.type) if isinstance(values, pa.Array) else pa.array(values, type=f.type)
+                    for values, f in zip(work(batch), fields, strict=True)
+                ]
                 yield pa.RecordBatch.from_arrays(batch.columns + extra, names=batch.schema.names + fields.names)
         del work
         give_back()

@@ -22,6 +22,7 @@ import re
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 
@@ -31,10 +32,11 @@ from taxaloom.llm.arrow import Work, add_columns, own_cache, texts
 MARK = "▁"
 #: different chunks of one of the two generations that a Python worker remembers: a chunk that is met again moves from
 #: the old generation to the young one, and a full young one takes the place of the old one
-CACHE_CHUNKS = 300_000
+CACHE_CHUNKS = 100_000
 #: chunks that the library checks as one text
 TOGETHER = 64
-#: bytes of text that are encoded at once, so that array agendas have rows enough
+#: bytes of text that are encoded at once for digests, so that array agendas have rows enough; where ids and texts are
+#: returned, slices have the usual size
 SLICE_BYTES = 4 << 20
 #: chunks of up to so many characters share an array agenda
 SHORT = 48
@@ -332,12 +334,14 @@ def encode_decode(df: DataFrame, model_file: str, text_col: str = "text") -> Dat
 
         def work(batch) -> list:
             out = own.code(texts(batch, text_col))
-            ids = [[int(x) for x in a.split(",")] if a else [] for a, _ in out]
-            return [ids, [len(x) for x in ids], [b for _, b in out]]
+            counts = [a.count(",") + 1 if a else 0 for a, _ in out]
+            flat = np.fromstring(",".join([a for a, _ in out if a]), np.int32, sep=",") if any(counts) else np.zeros(0, np.int32)
+            ids = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *counts]), pa.int32()), pa.array(flat))
+            return [ids, counts, [b for _, b in out]]
 
         return work
 
-    return add_columns(df, text_col, "ids array<int>, n_tokens long, decoded string", make, SLICE_BYTES)
+    return add_columns(df, text_col, "ids array<int>, n_tokens long, decoded string", make)
 
 
 def digests(df: DataFrame, model_file: str, text_col: str = "text") -> DataFrame:

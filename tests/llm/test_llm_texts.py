@@ -131,6 +131,24 @@ def test_token_query(spark, documents, library):
         assert r.decoded_sha256 == hashlib.sha256(library.decode(ids).encode()).hexdigest()
 
 
+def test_generations_of_chunks(library, monkeypatch):
+    """Chunks that are met again stay, the others of an old generation go, and ids stay those of the library."""
+    monkeypatch.setattr(sentencepiece_bpe, "CACHE_CHUNKS", 50)
+    coder = sentencepiece_bpe.Coder(model_file())
+    rng = random.Random(21)
+    words = [f"wörd{i}" for i in range(400)] + ["日本\u3000x", "\x00\x01", "▁", "a▁b", "tab\tx"]
+    learnt = []
+    monkeypatch.setattr(coder, "learn", lambda new, learn=coder.learn: (learnt.append(len(new)), learn(new))[1])
+    for k in range(12):
+        texts = ["often " + " ".join(rng.choice(words[k * 30 :]) for _ in range(20)) + rng.choice(["", " ", "  "]) for _ in range(5)] + ["", None, "  x  "]
+        for text, (ids, back) in zip(texts, coder.code(texts), strict=True):
+            want = library.encode(text or "")
+            assert ids == ",".join(map(str, want)) and back == library.decode(want)
+        assert "often" in coder.young and len(coder.young) <= 50 + 150 and len(coder.old) <= 50 + 150
+        assert all(c in coder.young or c in coder.old for c in coder.odd)
+    assert sum(learnt) < 12 * 105 and len(learnt) > 5
+
+
 def test_long_chunks_and_heap_agree(library):
     own = sentencepiece_bpe.Vocabulary(model_file())
     random.seed(3)
