@@ -277,4 +277,4 @@ def identify(docs: DataFrame, samples: dict[str, str], text_col: str = "text") -
         return work
 
     added = "lang_pred string, score double, phrase_rate double"
-    return add_columns(docs, text_col, added, make, slice_bytes=8 << 20)  # many texts side by side
+    return add_columns(docs, text_col, added, make, slice_bytes=4 << 20)  # many texts side by side
