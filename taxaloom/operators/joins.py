@@ -101,6 +101,7 @@ def lookup_join(
     keys_from: DataFrame | None = None,
     salt_by: Sequence[str] | None = None,
     bounded: bool = False,
+    exploded: bool = False,
 ) -> DataFrame:
     """Equi join of a possibly skewed ``left`` with ``right``.
 
@@ -110,6 +111,7 @@ def lookup_join(
     ``skewed=False``: the key is unique on the left, so there is nothing to salt.
     ``salt_by``: left columns that tell rows of one key apart (default: all).
     ``bounded=True``: the size of ``right`` has a fixed bound; it is broadcast.
+    ``exploded=True``: a side makes many rows of each stored one, which Spark's estimate doesn't see; neither is broadcast.
     """
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join: {how}")
@@ -131,6 +133,8 @@ def lookup_join(
         condition = condition & residual
     if bounded:
         return left.join(F.broadcast(target), condition, how).drop(*renamed.values())
+    if exploded:
+        target = target.hint("merge")
     left_hash, right_hash = _key_hashes(left, target, [(l, renamed[r]) for l, r in pairs])
     searched = skewed and keys_from is not None and _estimated_bytes(keys_from) >= SMALL_BYTES
     hot = hot_hashes(keys_from, left_hash) if searched else []
@@ -242,6 +246,8 @@ def parent_for_alias(
 # band sizes are powers of two; bands of 2^62 and more, and open ones, share one cell per key
 _OPEN_LEVEL = 9_999
 _LARGEST_LEVEL, _SMALLEST_LEVEL = 62, -1_022
+#: bands that are broadcast at most
+FEW_BANDS = 5_000
 
 
 def _level(start: Column, end: Column) -> Column:
@@ -278,7 +284,8 @@ def interval_join(
     never compares all pairs of a key. The sizes in use are read first, unless the caller states the ``widths`` of
     the bands (others match too, from more cells). Matching runs over (id, point, keys)
     only, each different one once, and is joined back, so rows that repeat an id keep their own matches.
-    Cells with very many points are left to adaptive skew handling, which copies no bands.
+    Cells with very many points are left to adaptive skew handling, which copies no bands. Only bands that were counted
+    and are at most ``FEW_BANDS`` are broadcast.
     """
     low, high, at = F.col(start).cast("double"), F.col(end).cast("double"), F.col(point).cast("double")
     pairs = key_pairs(on)
@@ -292,7 +299,9 @@ def interval_join(
     filed = sound.withColumn("_level", level).withColumn(
         "_cell", F.explode(F.sequence(_cell(low, F.col("_level")), _cell(high, F.col("_level"))))
     )
-    levels = stated or sorted(r[0] for r in sound.select(level).distinct().collect())
+    in_use = {} if stated else dict(sound.groupBy(level.alias("level")).agg(F.count(F.lit(1))).collect())
+    levels = stated or sorted(in_use)
+    few = not stated and sum(in_use.values()) <= FEW_BANDS
     inside = (low <= at) & ((at <= high) if closed else (at < high))
     needed = list(dict.fromkeys([id_col, point, *[l for l, _ in pairs]]))
     band_columns = [c for c in bands.columns if c not in {r for _, r in pairs}]
@@ -301,7 +310,7 @@ def interval_join(
         "_cell", _cell(at, F.col("_level"))
     )
     keys = [*pairs, ("_level", "_level"), ("_cell", "_cell")]
-    matched = lookup_join(probes, filed, keys, "inner", residual=inside).select(
+    matched = lookup_join(probes, filed, keys, "inner", residual=inside, bounded=few, exploded=True).select(
         *[F.col(c).alias(f"_point_{i}") for i, c in enumerate(needed)], *band_columns
     )
     same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_point_{i}")) for i, c in enumerate(needed)])

@@ -178,3 +178,16 @@ def test_stated_widths_of_bands_change_nothing(spark):
     for widths in ([99.0, 1000.0], [5.0], [1000.0]):
         found = joins.interval_join(points, bands, "x", "id", on=["k"], widths=widths)
         assert sorted(map(tuple, found.collect()), key=str) == want
+
+
+@pytest.mark.parametrize("few", [10, 20])
+def test_cells_of_many_bands_are_not_broadcast(spark, monkeypatch, few):
+    """Spark's estimate doesn't see that points and bands are copied per size and cell."""
+    monkeypatch.setattr(joins, "FEW_BANDS", few)
+    bands = spark.range(20).selectExpr("id % 3 AS k", "double(id * 7) AS start", "double(id * 7 + id + 1) AS end", "id AS band")
+    points = spark.range(150).selectExpr("id", "id % 3 AS k", "double(id) AS x")
+    joined = joins.interval_join(points, bands, "x", "id", on=["k"], how="inner")
+    plan = joined._jdf.queryExecution().sparkPlan().toString()
+    assert ("SortMergeJoin" in plan) == (few < 20)
+    want = points.join(bands, "k").where("start <= x and x < end")
+    assert rows(joined, "id", "band") == rows(want, "id", "band")
