@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -92,6 +93,8 @@ def match_reference(
 
 #: letters of a name that stand together in the index, and the edits allowed for names of four and of eight letters
 GRAM, EDITS = 3, {4: 1, 8: 2}
+#: variants of a name up to which it is looked up by them; with two edits, names of 65 letters
+MOST_VARIANTS = 2_200
 
 
 def _grams(name: Column) -> Column:
@@ -111,29 +114,74 @@ def _prefixes(named: DataFrame, counts: DataFrame, edits: int) -> DataFrame:
     return weighed.groupBy("name").agg(F.explode(rarest).alias("place")).select("name", F.col("place.gram").alias("gram"))
 
 
+def _variants(name: Column, deleted: Column, most: int) -> Column:
+    """Hashes of a name and of what is left of it without any one letter, two letters and so on up to ``deleted``."""
+    from_place = F.struct(name.alias("s"), F.lit(1).alias("p"))
+    level = F.array(from_place)
+    levels = [level]
+    for n in range(1, most + 1):
+        # letters go in order, so that each set of places is taken once
+        def shorter(x: Column) -> Column:
+            places = F.when(x["p"] <= F.length(x["s"]), F.sequence(x["p"], F.length(x["s"]))).otherwise(F.array().cast("array<int>"))
+            return F.transform(
+                places,
+                lambda i: F.struct(
+                    F.concat(F.substring(x["s"], F.lit(1), i - 1), F.substring(x["s"], i + 1, F.length(x["s"]))).alias("s"), i.alias("p")
+                ),
+            )
+
+        level = F.when(deleted >= n, F.flatten(F.transform(level, shorter))).otherwise(F.array().cast("array<struct<s:string,p:int>>"))
+        levels.append(level)
+    return F.array_distinct(F.transform(F.concat(*levels), lambda x: F.xxhash64(x["s"])))
+
+
+def _longest(edits: int) -> int:
+    """Length up to which a name has at most ``MOST_VARIANTS`` variants."""
+    length = edits
+    while sum(math.comb(length + 1, n) for n in range(edits + 1)) <= MOST_VARIANTS:
+        length += 1
+    return length
+
+
+def _meet_by_variants(asked: DataFrame, known: DataFrame, most: int) -> DataFrame:
+    """(name, match_name, allowed) of names that are alike when up to ``allowed`` and ``most`` letters are deleted."""
+    left = asked.select("name", "allowed", F.explode(_variants(F.col("name"), F.col("allowed"), most)).alias("variant"))
+    right = known.select(F.col("name").alias("match_name"), F.explode(_variants(F.col("name"), F.lit(most), most)).alias("variant"))
+    return left.join(right.hint("merge"), "variant").select("name", "match_name", "allowed")
+
+
+def _meet_by_grams(asked: DataFrame, known: DataFrame, most: int) -> DataFrame:
+    """(name, match_name, allowed) of names that have one of their rarest grams in common."""
+    counts = stage(known.select(F.explode(_grams(F.col("name"))).alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("n")), "grams")
+    left = _prefixes(asked, counts, most).join(asked, "name")
+    right = _prefixes(known, counts, most).withColumnRenamed("name", "match_name")
+    return left.join(right.hint("merge"), "gram").select("name", "match_name", "allowed")
+
+
 def similar_names(asked: DataFrame, known: DataFrame, edits: dict[int, int] | None = None) -> DataFrame:
     """(name, match_name, distance) of pairs of different names that few edits apart, for two columns ``name``.
 
-    ``edits`` says from which length of the asked name on how many are allowed. Names meet under the rarest grams of
-    each only, and lengths must agree, so few pairs are compared letter by letter; no pair is lost.
+    ``edits`` says from which length of the asked name on how many are allowed. Names that are so many edits apart have
+    a variant in common, which is what remains when as many letters are deleted from each. How many names share a variant
+    depends on their length and letters, not on the size of the table. Names with more than ``MOST_VARIANTS`` variants
+    meet under the rarest grams of each instead. Pairs are then compared letter by letter; no pair is lost.
     """
     edits = EDITS if edits is None else edits
     most = max(edits.values())
     if any(length + GRAM - 1 <= GRAM * n for length, n in edits.items()):
         raise ValueError("so many edits may leave a short name without any gram in common")
     asked, known = (d.select("name").where(F.col("name").isNotNull()).distinct() for d in (asked, known))
-    counts = stage(known.select(F.explode(_grams(F.col("name"))).alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("n")), "grams")
     allowed = F.lit(0)
     for length, n in sorted(edits.items()):
         allowed = F.when(F.length("name") >= length, n).otherwise(allowed)
     long_enough = asked.withColumn("allowed", allowed).where("allowed > 0")
-    left = _prefixes(long_enough, counts, most).join(long_enough, "name")
-    right = _prefixes(known, counts, most).withColumnRenamed("name", "match_name")
-    near = F.abs(F.length("name") - F.length("match_name")) <= F.col("allowed")
-    pairs = left.join(right, "gram").where(near).select("name", "match_name", "allowed").distinct()
+    longest, size = _longest(most), F.length("name")
+    short = _meet_by_variants(long_enough.where(size <= longest), known.where(size <= longest + most), most)
+    long = _meet_by_grams(long_enough.where(size > longest), known.where(size > longest - most), most)
+    near = F.abs(size - F.length("match_name")) <= F.col("allowed")
     distance = F.levenshtein("name", "match_name", most)  # below 0 beyond that
-    found = pairs.withColumn("distance", distance).where("distance between 1 and allowed")
-    return found.select("name", "match_name", "distance")
+    pairs = short.unionByName(long).where(near).withColumn("distance", distance).where("distance between 1 and allowed")
+    return pairs.select("name", "match_name", "distance").distinct()
 
 
 def match_similar(

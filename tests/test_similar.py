@@ -55,6 +55,43 @@ def test_nearest_row_by_distance_then_priority(spark):
     assert (rows["e"].match_name, rows["e"].authors) == ("Beta primus", "z")
 
 
+def test_names_longer_than_their_variants_allow(spark, monkeypatch):
+    """Short and long names meet in different ways; neither way loses those that lie between."""
+    monkeypatch.setattr(reconcile, "MOST_VARIANTS", 40)
+    assert reconcile._longest(2) == 8
+    rng = random.Random(8)
+    known = sorted({"".join(rng.choice("ab") for _ in range(n)) for n in (6, 7, 8, 9, 10, 11, 14) for _ in range(25)})
+    asked = sorted({x[:k] + rng.choice(["", "a", "c"]) + x[k + rng.randint(0, 2) :] for x in known for k in (1, 5)})
+    a, k = (spark.createDataFrame([(n,) for n in x], "name string") for x in (asked, known))
+    found = {(r.name, r.match_name): r.distance for r in reconcile.similar_names(a, k).collect()}
+    near = {(x, y): edits(x, y) for x in asked for y in known if abs(len(x) - len(y)) <= 2}
+    limit = {x: max([n for length, n in reconcile.EDITS.items() if len(x) >= length], default=0) for x in asked}
+    assert found == {(x, y): d for (x, y), d in near.items() if 1 <= d <= limit[x]}
+    assert len({(len(x), len(y)) for x, y in found}) > 15
+
+
+def test_pairs_compared_grow_with_the_names(spark, monkeypatch):
+    """Names that share most letter groups, as species of one genus do, are not compared with all others."""
+
+    def names(n):  # genera that are more than two edits apart, with 100 codes each
+        digit = lambda k: F.repeat(F.substring(F.lit("abc"), (F.col("id") / (100 * 3**k)).cast("int") % 3 + 1, F.lit(1)), 3)
+        code = F.translate(F.lpad((F.col("id") % 100).cast("string"), 2, "0"), "0123456789", "defghijklm")
+        known = spark.range(n).select(F.concat(*[digit(k) for k in range(4)], F.lit(" "), code).alias("name"))
+        return known.select(F.concat("name", F.lit("x")).alias("name"), F.lit(2).alias("allowed")), known
+
+    def growth(meet):
+        few, many = (meet(*names(n), 2).distinct().count() for n in (500, 4000))
+        assert few >= 500
+        return many / few
+
+    assert growth(reconcile._meet_by_variants) < 10 and growth(reconcile._meet_by_grams) > 30
+    by_grams = []
+    real = reconcile._meet_by_grams
+    monkeypatch.setattr(reconcile, "_meet_by_grams", lambda a, k, most: by_grams.append(a.count() + k.count()) or real(a, k, most))
+    asked, known = names(500)
+    assert reconcile.similar_names(asked, known).count() >= 500 and by_grams == [0]
+
+
 ROWS = [(i, f"n{i % 90}", None if i % 4 else "x", "a|b" if i % 2 else "a", "c" if i % 2 else "b|c") for i in range(100)]
 RULES = [("id", ["id"], True), ("name", ["name"], True), ("mark", ["mark"], True), ("mark_known", ["mark"], False), ("pair", ["u", "v", "id"], True)]
 
