@@ -5,8 +5,9 @@
 2. Generators with higher recall run over the text with the base spans blanked out, so they also
    see what a greedy base pattern swallowed. Their spans may overlap.
 3. Boosted trees score each candidate from format and context features. They are fitted on the candidates of
-   a bounded sample of documents, labelled by the validators, with reformatted copies of the good
-   ones (formats that no base pattern reads) and corrupted ones (formats near misses have).
+   all documents, labelled by the validators, with reformatted copies of the good
+   ones (formats that no base pattern reads) and corrupted ones (formats near misses have). Candidates that agree in
+   kind, label and features are one row with their number as weight.
 4. Per kind, the threshold is the lowest score from which on ``PRECISION`` of the held-back candidates are
    good. Candidates above it are redacted; of overlapping ones the best scored.
 
@@ -15,12 +16,13 @@ no row leaves its task, and there is no shuffle. Positions are code points, ends
 the matches of a text are taken in blocks, so that a text with very many matches stays linear.
 
 Defined results: a null text counts as empty and has no spans; rows are independent, so repeated rows
-repeat their result; without good and bad candidates in the sample only base spans are found; an empty
+repeat their result; without good and bad candidates in the texts only base spans are found; an empty
 table gives an empty result; columns of the input whose names this module adds are replaced.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Callable
 
@@ -32,8 +34,6 @@ from pyspark.sql import functions as F
 from taxaloom.session import stage
 
 KINDS = ["email", "ip", "card", "phone"]
-#: documents whose candidates the trees are fitted on, about
-SAMPLE_DOCS = 20_000
 TREES, DEPTH, STEP = 12, 4, 0.3
 #: share of good candidates that a threshold has to reach on the held-back ones
 PRECISION = 0.95
@@ -257,12 +257,12 @@ def features(c: Column) -> dict[str, Column]:
     }
 
 
-def training_rows(sample: DataFrame) -> DataFrame:
-    """(kind, label, features) of the sample's candidates, and of altered copies of the good ones.
+def training_rows(docs: DataFrame) -> DataFrame:
+    """(kind, label, features) of all candidates, and of altered copies of the good ones.
 
     Here the generators see the text as it is, since base spans are the good examples.
     """
-    raw = sample.withColumn("blanked", F.col("_sample_text"))
+    raw = docs.withColumn("blanked", F.col("_whole_text"))
     spans = [_with_context(F.col("base"), -1)]
     rows = candidates(raw).select(F.explode(F.concat(F.col("candidates"), *spans)).alias("c"), "half")
     good = F.lit(False)
@@ -272,7 +272,8 @@ def training_rows(sample: DataFrame) -> DataFrame:
         # a number without a country code is good only next to a cue
         shape = shape & (~bare | F.col("c.before").rlike(CUES["phone"])) if kind == "phone" else shape
         good = good | ((F.col("c.kind") == k) & shape)
-    real = rows.withColumn("label", F.when(good, 1.0).otherwise(0.0)).withColumn("match", F.col("c.match"))
+    # written once: the texts are not searched again for each of the copies
+    real = stage(rows.withColumn("label", F.when(good, 1.0).otherwise(0.0)), "found").withColumn("match", F.col("c.match"))
     copies = real.where("label = 1")
     email, ip, card, phone = (F.col("c.kind") == k for k in range(4))
     plain = digits(F.col("match"))
@@ -348,29 +349,30 @@ def read_tree(text: str, names: list[str]) -> object:
     return node()
 
 
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_docs: int = SAMPLE_DOCS) -> Model:
-    """Fit trees and thresholds on the candidates of about ``sample_docs`` documents, chosen by a hash of the id."""
-    share = min(1.0, sample_docs / max(1, docs.count()))
-    unit = F.pmod(F.xxhash64(F.col(id_col), F.lit("sample")), F.lit(1 << 20)) / float(1 << 20)
-    sample = docs.where(unit < share).select(F.coalesce(F.col(text_col), F.lit("")).alias("_sample_text"))
-    sample = sample.where(F.col("_sample_text").rlike(r"@|[0-9]{3}|[0-9]\.[0-9]+\.[0-9]| dot |[(\[{] ?at ?[)\]}]"))
-    sample = sample.withColumn("half", F.pmod(F.xxhash64("_sample_text", F.lit("half")), F.lit(3)) == 0)
-    rows = stage(training_rows(base_spans(sample, "_sample_text")), "candidates")
-    counts = {(r.half, r.label): r.n for r in rows.groupBy("half", "label").agg(F.count("*").alias("n")).collect()}
+def fit(docs: DataFrame, text_col: str = "text") -> Model:
+    """Fit trees and thresholds on the candidates of all texts; a third of the texts, chosen by a hash, is held back
+    from the trees for the thresholds."""
+    texts = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("_whole_text"))
+    texts = texts.withColumn("half", F.pmod(F.xxhash64("_whole_text", F.lit("half")), F.lit(3)) == 0)
+    each = training_rows(base_spans(texts, "_whole_text"))
+    names = [c for c in each.columns if c not in ("kind", "label", "half")]
+    rows = stage(each.groupBy(*each.columns).agg(F.count(F.lit(1)).cast("double").alias("weight")), "candidates")
+    counts = {(r.half, r.label): r.n for r in rows.groupBy("half", "label").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not all(counts.get((half, label)) for half in (False, True) for label in (0.0, 1.0)):
         return Model([], {})
-    names = [c for c in rows.columns if c not in ("kind", "label", "half")]
     vectors = VectorAssembler(inputCols=names, outputCol="vector").transform(rows.where("not half"))
+    # MLlib looks for limits of features in maxBins ** 2 rows; so it sees all
+    bins = max(32, math.isqrt(counts[False, 0.0] + counts[False, 1.0]) + 1)
     fitted = GBTClassifier(
-        featuresCol="vector", labelCol="label", maxIter=TREES, maxDepth=DEPTH, stepSize=STEP, seed=3
+        featuresCol="vector", labelCol="label", weightCol="weight", maxIter=TREES, maxDepth=DEPTH, stepSize=STEP, maxBins=bins, seed=3
     ).fit(vectors)
     trees = [(float(w), read_tree(t.toDebugString, names)) for w, t in zip(fitted.treeWeights, fitted.trees, strict=True)]
     scored = rows.where("half").withColumn("bin", F.floor(Model(trees, {}).score(F.col) * 100).cast("int"))
-    bins = scored.groupBy("kind", "bin").agg(F.sum("label").alias("good"), F.count("*").alias("n")).collect()  # 4 x 101 rows
+    shares = scored.groupBy("kind", "bin").agg(F.sum(F.col("label") * F.col("weight")).alias("good"), F.sum("weight").alias("n")).collect()  # 4 x 101 rows
     thresholds: dict[int, float] = {}
     for kind in range(len(KINDS)):
         good = n = 0.0
-        for r in sorted((r for r in bins if r.kind == kind), key=lambda r: -r.bin):
+        for r in sorted((r for r in shares if r.kind == kind), key=lambda r: -r.bin):
             good, n = good + r.good, n + r.n
             if good < PRECISION * n:
                 break

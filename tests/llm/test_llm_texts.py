@@ -91,6 +91,18 @@ def test_model_finds_what_the_base_swallows_and_redacts(spark):
     assert out[0].note == "x"
 
 
+def test_every_text_is_learned_from(spark, monkeypatch):
+    """Candidates of all rows are counted, however many there are; equal ones are one row."""
+    seen = []
+    real = pii.stage
+    monkeypatch.setattr(pii, "stage", lambda df, tag: seen.append(real(df, tag)) or seen[-1])
+    docs = spark.range(25_000).selectExpr("id AS doc_id", "if(id = 24999, 'from 10.0.0.7 or 10.0.0.999', 'mail joe@mail.example.com') AS text")
+    pii.fit(docs)
+    weights = {r.kind: (r.n, r.rows) for r in seen[-1].groupBy("kind").agg(F.sum("weight").alias("n"), F.count("*").alias("rows")).collect()}
+    # an address as it is, in another format, with numbers around it, and corrupted
+    assert weights[0] == (4 * 24_999, 4) and weights[1][0] > 4
+
+
 def test_private_data_of_empty_and_unfit_tables(spark):
     empty = spark.createDataFrame([], DOCS)
     assert pii.find(empty, pii.fit(empty)).count() == 0
