@@ -4,7 +4,10 @@ A range of a file can't tell whether it begins inside quotes. So each range is r
 how the range would end from either beginning: outside quotes, or inside. These answers, one row per range, are
 composed in file order and give every range its true beginning. The second time the records of the ranges are put
 together; a record that crosses cuts comes as fragments, at most two per range, which are glued. No task reads more
-than its range, whatever the size of the file.
+than its part of the scan, whatever the size of the file.
+
+A part of the scan may hold many ranges, one behind the other: how large ranges are doesn't set the number of tasks and written files.
+Ranges inside a part begin as the one before ends, so only the parts' beginnings are composed, one row per part.
 
 Lines are what stands between line feeds; a carriage return before one belongs to the line break outside quotes. A
 quote opens a field only at the field's beginning, and doubled quotes are one quote.
@@ -16,7 +19,9 @@ import csv
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -49,40 +54,55 @@ def ends_inside(line: str, inside: bool, open_end: re.Pattern) -> bool:
 
 
 def _lines(spark: SparkSession, path: str, range_bytes: int | None) -> DataFrame:
-    """(line, x_file, x_block) in file order within each range."""
-    if range_bytes:  # a session of its own, since only sessions say how files are cut
-        spark = spark.newSession()
+    """(line, x_file, x_block, x_length) in file order within each part of the scan, which is not smaller than a range."""
+    if range_bytes and range_bytes > spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes():
+        spark = spark.newSession()  # a session of its own, since only sessions say how files are cut
         spark.conf.set("spark.sql.files.maxPartitionBytes", str(range_bytes))
         spark.conf.set("spark.sql.files.openCostInBytes", str(range_bytes))
     return spark.read.option("lineSep", "\n").text(path).select(
         F.col("value").alias("line"),
         F.col("_metadata.file_path").alias("x_file"),
         F.col("_metadata.file_block_start").alias("x_block"),
+        F.col("_metadata.file_block_length").alias("x_length"),
     )
 
 
-def _by_range(batches: Iterator[pa.RecordBatch], *more: str) -> Iterator[tuple[tuple, list[str], bool]]:
-    """(range, some lines of it in order, whether they are its first) of the batches of a task."""
-    last = None
+def _by_range(
+    batches: Iterator[pa.RecordBatch], range_bytes: int | None, *more: str
+) -> Iterator[tuple[tuple, list[str], bool, bool]]:
+    """(range, some lines of it in order, whether they are its first, or the first of a part) of the batches of a task."""
+    part, last, at = None, None, 0
     for batch in batches:
         rows = batch.to_pydict()
-        keys = list(zip(rows["x_file"], rows["x_block"], *(rows[c] for c in more), strict=True))
+        parts = list(zip(rows["x_file"], rows["x_block"], rows["x_length"], *(rows[c] for c in more), strict=True))
+        sizes = pc.binary_length(batch["line"]).to_numpy(zero_copy_only=False) + 1
         start = 0
-        while start < len(keys):
+        while start < len(parts):
             end = start
-            while end < len(keys) and keys[end] == keys[start]:
+            while end < len(parts) and parts[end] == parts[start]:
                 end += 1
-            yield keys[start], rows["line"][start:end], keys[start] != last
-            last, start = keys[start], end
+            if parts[start] != part:
+                part, last, at = parts[start], None, 0
+            x_file, begin, length = part[:3]
+            begins = at + np.cumsum(sizes[start:end], dtype=np.int64) - sizes[start:end]
+            at += int(sizes[start:end].sum())
+            # a part's last line may begin right behind it
+            ranges = np.minimum(begins, max(length - 1, 0)) // (range_bytes or max(length, 1))
+            cuts = [0, *(np.flatnonzero(np.diff(ranges)) + 1).tolist(), end - start]
+            for low, high in zip(cuts, cuts[1:]):
+                key = (x_file, begin + int(ranges[low]) * (range_bytes or 0), *part[3:])
+                yield key, rows["line"][start + low : start + high], key != last, last is None
+                last = key
+            start = end
 
 
 def range_ends(lines: DataFrame, sep: str) -> DataFrame:
-    """(x_file, x_block, from_outside, from_inside): whether a range ends inside quotes, from either beginning."""
+    """(x_file, x_block, from_outside, from_inside): whether a part ends inside quotes, from either beginning."""
     open_end = _open_end(sep)
 
     def run(batches):
         current, ends = None, (False, True)
-        for key, part, first in _by_range(batches):
+        for key, part, first, _ in _by_range(batches, None):
             if first:
                 if current:
                     yield _rows([(*current, *ends)])
@@ -105,7 +125,7 @@ def range_beginnings(ends: DataFrame) -> DataFrame:
     """(x_file, x_block, inside): whether each range begins inside quotes.
 
     A range either ends alike from both beginnings, or keeps the beginning, or turns it round. So a beginning is the last
-    settled end before it, turned as often as ranges since then turn it. The windows see one row per range of a file.
+    settled end before it, turned as often as ranges since then turn it. The windows see one row per part of a file.
     """
     before = Window.partitionBy("x_file").orderBy("x_block").rowsBetween(Window.unboundedPreceding, -1)
     upto = before.rowsBetween(Window.unboundedPreceding, 0)
@@ -119,7 +139,7 @@ def range_beginnings(ends: DataFrame) -> DataFrame:
 _FRAGMENT = "x_file string, x_block long, x_row long, head boolean, open boolean, record string"
 
 
-def _fragments(lines: DataFrame, beginnings: DataFrame, sep: str, longest: int) -> DataFrame:
+def _fragments(lines: DataFrame, beginnings: DataFrame, sep: str, longest: int, range_bytes: int | None) -> DataFrame:
     """Records of each range: ``head`` goes on from the range before, ``open`` goes on in the next one."""
     open_end = _open_end(sep)
     names = [c.split()[0] for c in _FRAGMENT.split(", ")]
@@ -146,11 +166,12 @@ def _fragments(lines: DataFrame, beginnings: DataFrame, sep: str, longest: int)
             out.clear()
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=names)
 
-        for now, part, first in _by_range(batches, "inside"):
+        for now, part, first, begins_part in _by_range(batches, range_bytes, "inside"):
             if first:
                 if held:
                     emit(True)
-                key, row, inside, head = now, 0, now[2], now[2]
+                inside = now[2] if begins_part else inside
+                key, row, head = now, 0, inside
             for line in part:
                 held.append(line)
                 size += len(line)
@@ -159,12 +180,13 @@ def _fragments(lines: DataFrame, beginnings: DataFrame, sep: str, longest: int)
                     emit(False)
                 elif size > longest:
                     raise OpenQuote(f"{key[0]}: a field is open for more than {longest} characters, after byte {key[1]}")
-            yield batch()
+            if len(out) >= 10_000:
+                yield batch()
         if held:
             emit(True)
         yield batch()
 
-    # one row per range, which the scan's driver has planned one by one
+    # one row per part, which the scan's driver has planned one by one
     known = lines.join(F.broadcast(beginnings), ["x_file", "x_block"])
     return known.mapInArrow(run, _FRAGMENT)
 
@@ -186,12 +208,12 @@ def _glued(fragments: DataFrame, longest: int) -> DataFrame:
 def read_records(spark: SparkSession, path: str, sep: str, range_bytes: int | None = None, longest: int = LONGEST_RECORD) -> DataFrame:
     """(x_file, x_block, x_row, record): the records of delimited files as text, quotes and all.
 
-    They are written once. ``range_bytes`` is the size of a range; without it the session decides, as for any scan.
+    They are written once. ``range_bytes`` is the size of a range; without it each part of the scan, as the session cuts it, is one.
     """
     lines = _lines(spark, path, range_bytes)
     beginnings = range_beginnings(range_ends(lines, sep))
     folder = stage_path(spark, "records")
-    _fragments(lines, beginnings, sep, longest).write.parquet(folder)
+    _fragments(lines, beginnings, sep, longest, range_bytes).write.parquet(folder)
     found = spark.read.schema(_FRAGMENT).parquet(folder)
     whole = found.where("not head and not open").drop("head", "open")
     return whole.unionByName(_glued(found.where("head or open"), longest))

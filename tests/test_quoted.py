@@ -39,6 +39,26 @@ def test_ranges_give_the_rows_of_the_file(spark, tmp_path, range_bytes, end):
     assert len(ranges) > (8 if range_bytes else 0)
 
 
+def test_small_ranges_make_no_more_tasks(spark, tmp_path, monkeypatch):
+    """Parts of a scan hold many ranges, which are cut alike whether the scan has one part or many."""
+    rows = random_rows(9, 400)
+    path = tmp_path / "list.csv"
+    path.write_bytes(written([["Id", "A", "B", "C"], *rows]).encode())
+    folders = []
+    monkeypatch.setattr(quoted, "stage_path", lambda s, tag: folders.append(str(tmp_path / f"{tag}{len(folders)}")) or folders[-1])
+    parted = spark.newSession()
+    parted.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    parted.conf.set("spark.sql.files.openCostInBytes", "3000")
+    size = path.stat().st_size
+    for session, parts in ((spark, 1), (parted, size // 3000 + 1)):
+        found, got = read(session, path, 100)
+        assert got == rows
+        assert found.select("x_block").distinct().count() > size / 400
+        written_ = [f for f in (tmp_path / folders[-1]).iterdir() if f.name.startswith("part-")]
+        assert len(written_) <= 8 if parts == 1 else parts - 1 <= len(written_) <= parts
+    assert read(parted, path, 5000)[1] == rows and read(parted, path, None)[1] == rows
+
+
 def test_a_field_longer_than_many_ranges(spark, tmp_path):
     long = "\n".join(f'line {i} "" | {i}' for i in range(400))
     rows = [["1", "x"], ["2", long], ["3", "y"], ["4", long], ["5", "z"]]
